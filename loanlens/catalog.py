@@ -62,3 +62,75 @@ def q_iv_table(spark, sf_dir):
 register("a6_iv_table", _oracle(["applications"], [
     _SQL_DERIVED_APPS, woe.sql_woe_table("apps_d", TARGET, WOE_NUMERIC, WOE_CATEGORICAL)],
     woe.sql_iv_table()))(q_iv_table)
+
+
+def q_woe_table(spark, sf_dir):
+    df = _derived_apps(spark, sf_dir)
+    t = woe.woe_table_df(df, TARGET, WOE_NUMERIC, WOE_CATEGORICAL)
+    return t.select("feature", "kind", "bin", "category", "is_missing", r6("lo").alias("lo"),
+                    r6("hi").alias("hi"), "n", "n_ev", "n_nev", r6("woe").alias("woe"),
+                    r6("iv_part").alias("iv_part"))
+
+
+_SQL_WOE = woe.sql_woe_table("apps_d", TARGET, WOE_NUMERIC, WOE_CATEGORICAL)
+register("a2_a5_woe_table", _oracle(["applications"], [_SQL_DERIVED_APPS, _SQL_WOE],
+         "SELECT feature, kind, bin, category, is_missing, round(lo, 6) AS lo, round(hi, 6) AS hi, "
+         "n, n_ev, n_nev, round(woe, 6) AS woe, round(iv_part, 6) AS iv_part FROM woe_tbl"))(q_woe_table)
+
+
+def q_quantile_edges(spark, sf_dir):
+    df = _derived_apps(spark, sf_dir)
+    e = binning.quantile_edges(df, WOE_NUMERIC, binning.n_quantile_bins())
+    return e.select("feature", F.posexplode("edges").alias("edge_idx", "edge")).select(
+        "feature", "edge_idx", r6("edge").alias("edge"))
+
+
+register("a1_quantile_edges", _oracle(["applications"], [
+    _SQL_DERIVED_APPS, _SQL_WOE],
+    "SELECT feature, CAST(generate_subscripts(edges, 1) - 1 AS INTEGER) AS edge_idx, "
+    "round(unnest(edges), 6) AS edge FROM w_edges"))(q_quantile_edges)
+
+
+def q_select_by_iv(spark, sf_dir):
+    return woe.select_features_by_iv(q_iv_table(spark, sf_dir)).select("feature", "iv")
+
+
+register("p9_select_features_by_iv", _oracle(["applications"], [
+    _SQL_DERIVED_APPS, _SQL_WOE, f"ivt AS ({woe.sql_iv_table()})"],
+    f"SELECT feature, iv FROM ivt WHERE iv >= {S.IV_THRESHOLD!r}"))(q_select_by_iv)
+
+
+def q_dropped_by_iv(spark, sf_dir):
+    return woe.dropped_features_by_iv(q_iv_table(spark, sf_dir)).select("feature", "iv")
+
+
+register("u3_dropped_features", _oracle(["applications"], [
+    _SQL_DERIVED_APPS, _SQL_WOE, f"ivt AS ({woe.sql_iv_table()})"],
+    f"SELECT feature, iv FROM ivt WHERE iv < {S.IV_THRESHOLD!r}"))(q_dropped_by_iv)
+
+
+def q_woe_transform(spark, sf_dir):
+    """J1 + J2: every application's 23 features replaced by their WoE."""
+    df = _derived_apps(spark, sf_dir)
+    model = woe.fit_woe(df, TARGET, WOE_NUMERIC, WOE_CATEGORICAL)
+    out = model.transform(df, keep=["application_id"])
+    return out.select("application_id", *[r6(c).alias(c) for c in WOE_NUMERIC + WOE_CATEGORICAL])
+
+
+def _sql_woe_transform() -> str:
+    num = ",\n".join(
+        f"coalesce((SELECT w.woe FROM woe_tbl w WHERE w.feature = '{c}' AND "
+        f"((a.{c} IS NULL AND w.is_missing) OR (a.{c} IS NOT NULL AND NOT w.is_missing AND w.bin = "
+        f"{binning.sql_bin_index('a.' + c, '(SELECT edges FROM w_edges WHERE feature = ' + repr(c) + ')')}))), 0.0) AS {c}"
+        for c in WOE_NUMERIC)
+    cat = ",\n".join(
+        f"coalesce((SELECT w.woe FROM woe_tbl w WHERE w.feature = '{c}' AND NOT w.is_missing AND w.category = a.{c}), "
+        f"(SELECT w.woe FROM woe_tbl w WHERE w.feature = '{c}' AND w.is_missing), 0.0) AS {c}"
+        for c in WOE_CATEGORICAL)
+    return f"woe_x AS (SELECT a.application_id,\n{num},\n{cat}\nFROM apps_d a)"
+
+
+register("j1_j2_woe_transform", _oracle(["applications"], [
+    _SQL_DERIVED_APPS, _SQL_WOE, _sql_woe_transform()],
+    "SELECT application_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in WOE_NUMERIC + WOE_CATEGORICAL)
+    + " FROM woe_x"))(q_woe_transform)
