@@ -134,3 +134,222 @@ register("j1_j2_woe_transform", _oracle(["applications"], [
     _SQL_DERIVED_APPS, _SQL_WOE, _sql_woe_transform()],
     "SELECT application_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in WOE_NUMERIC + WOE_CATEGORICAL)
     + " FROM woe_x"))(q_woe_transform)
+
+
+# --- evaluation over the scored fixture ---------------------------------------
+from .functions import scorecard as SC  # noqa: E402
+from .operators import evaluation as EV  # noqa: E402
+
+
+def _scored(spark, sf_dir):
+    return FX.scored(spark, sf_dir)
+
+
+def _sql_bin(p: str, edges, last_closed=True) -> str:
+    idx = " + ".join(f"CAST({p} >= {e!r} AS INTEGER)" for e in edges[1:-1])
+    hi = f"{p} <= {edges[-1]!r}" if last_closed else f"{p} < {edges[-1]!r}"
+    return f"CASE WHEN {p} >= {edges[0]!r} AND {hi} THEN {idx} END"
+
+
+def _sql_rank(src: str, label: str, prob: str, name: str) -> str:
+    return (f"{name}_bs AS (SELECT {prob} AS p, sum({label}) AS pos, sum(1 - {label}) AS neg FROM {src} GROUP BY 1),\n"
+            f"{name}_cm AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS cum_pos, "
+            f"sum(neg) OVER (ORDER BY p DESC) AS cum_neg, sum(pos) OVER () AS PP, sum(neg) OVER () AS NN FROM {name}_bs),\n"
+            f"{name} AS (SELECT sum(pos * (NN - cum_neg) + 0.5 * pos * neg) / (any_value(PP) * any_value(NN)) AS auc_roc, "
+            f"2 * sum(pos * (NN - cum_neg) + 0.5 * pos * neg) / (any_value(PP) * any_value(NN)) - 1 AS gini, "
+            f"max(abs(cum_pos / PP - cum_neg / NN)) AS ks_statistic, "
+            f"sum(pos / PP * cum_pos / (cum_pos + cum_neg)) AS average_precision FROM {name}_cm)")
+
+
+def q_ranking(spark, sf_dir):
+    m = EV.ranking_metrics(EV.cumulative_frame(EV.score_frame(_scored(spark, sf_dir), TARGET, "default_prob")))
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+register("w1_w3_ks_auc_gini_ap", _oracle(["scored"], [_sql_rank("scored", TARGET, "default_prob", "rk")],
+         "SELECT round(auc_roc, 6) AS auc_roc, round(gini, 6) AS gini, round(ks_statistic, 6) AS ks_statistic, "
+         "round(average_precision, 6) AS average_precision FROM rk"))(q_ranking)
+
+
+def q_calibration_curve(spark, sf_dir):
+    c = EV.calibration_curve(_scored(spark, sf_dir), TARGET, "default_prob")
+    return c.select(r6("bin_center").alias("bin_center"), r6("mean_predicted").alias("mean_predicted"),
+                    r6("fraction_positive").alias("fraction_positive"), "count")
+
+
+_CURVE_SQL = (f"curve AS (SELECT b, avg(default_prob) AS mean_predicted, avg(CAST({TARGET} AS DOUBLE)) AS fraction_positive, "
+              f"count(*) AS count FROM (SELECT *, {_sql_bin('default_prob', EV.PROB_EDGES_10, False)} AS b FROM scored) "
+              "WHERE b IS NOT NULL GROUP BY b)")
+_CENTERS = "[" + ", ".join(repr((a + b) / 2) for a, b in zip(EV.PROB_EDGES_10[:-1], EV.PROB_EDGES_10[1:])) + "]"
+register("a19_calibration_curve", _oracle(["scored"], [_CURVE_SQL],
+         f"SELECT round({_CENTERS}[b + 1], 6) AS bin_center, round(mean_predicted, 6) AS mean_predicted, "
+         "round(fraction_positive, 6) AS fraction_positive, count FROM curve"))(q_calibration_curve)
+
+
+def q_ece(spark, sf_dir):
+    return EV.expected_calibration_error(_scored(spark, sf_dir), TARGET, "default_prob").select(r6("ece").alias("ece"))
+
+
+register("a18_ece", _oracle(["scored"], [_CURVE_SQL],
+         "SELECT round(coalesce(sum(count * abs(fraction_positive - mean_predicted)) / "
+         "(SELECT count(*) FROM scored), 0), 6) AS ece FROM curve"))(q_ece)
+
+
+def q_brier(spark, sf_dir):
+    return EV.brier_score(_scored(spark, sf_dir), TARGET, "default_prob").select(r6("brier_score").alias("brier_score"))
+
+
+register("a20_brier_score", _oracle(["scored"], [],
+         f"SELECT round(avg((default_prob - {TARGET}) * (default_prob - {TARGET})), 6) AS brier_score FROM scored"))(q_brier)
+
+
+_THR_VALUES = ", ".join(f"({i}, {t!r})" for i, t in enumerate(EV.COST_THRESHOLDS))
+_SWEEP_SQL = (f"thr(threshold_idx, threshold) AS (VALUES {_THR_VALUES}),\n"
+              "sweep AS (SELECT t.threshold_idx, t.threshold, "
+              f"sum(CASE WHEN s.{TARGET} = 1 AND s.default_prob < t.threshold THEN 1 ELSE 0 END) AS fn, "
+              f"sum(CASE WHEN s.{TARGET} = 0 AND s.default_prob >= t.threshold THEN 1 ELSE 0 END) AS fp, "
+              f"sum(CASE WHEN s.{TARGET} = 1 AND s.default_prob >= t.threshold THEN 1 ELSE 0 END) AS tp, "
+              f"sum(CASE WHEN s.{TARGET} = 0 AND s.default_prob < t.threshold THEN 1 ELSE 0 END) AS tn "
+              "FROM thr t, scored s GROUP BY t.threshold_idx, t.threshold),\n"
+              f"sweep_c AS (SELECT *, fn * {S.COST_FN!r} + fp * {S.COST_FP!r} AS cost FROM sweep),\n"
+              "best AS (SELECT * FROM sweep_c ORDER BY cost, threshold_idx LIMIT 1)")
+
+
+def q_cost_sweep(spark, sf_dir):
+    s = EV.cost_sweep(_scored(spark, sf_dir), TARGET, "default_prob")
+    return s.select("threshold_idx", r6("threshold").alias("threshold"), "fn", "fp", "tp", "tn",
+                    r6("cost").alias("cost"))
+
+
+register("a23_cost_sweep", _oracle(["scored"], [_SWEEP_SQL],
+         "SELECT threshold_idx, round(threshold, 6) AS threshold, fn, fp, tp, tn, round(cost, 6) AS cost "
+         "FROM sweep_c"))(q_cost_sweep)
+
+
+def _rates_sql(src: str) -> str:
+    return (f"SELECT CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp, "
+            f"round(fn * {S.COST_FN!r} + fp * {S.COST_FP!r}, 6) AS total_cost, "
+            f"round((fn * {S.COST_FN!r} + fp * {S.COST_FP!r}) / (tn + fp + fn + tp), 6) AS cost_per_decision, "
+            "round(CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, 6) AS precision, "
+            "round(CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END, 6) AS recall, "
+            "round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS f1 "
+            f"FROM {src}")
+
+
+_RATE_COLS = ["tn", "fp", "fn", "tp", "total_cost", "cost_per_decision", "precision", "recall", "f1"]
+
+
+def _round_all(df):
+    return df.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def q_optimal_threshold(spark, sf_dir):
+    best = EV.optimal_threshold(EV.cost_sweep(_scored(spark, sf_dir), TARGET, "default_prob"))
+    out = EV.with_cost_and_rates(best, keep=[F.col("threshold").alias("optimal_threshold")])
+    return _round_all(out)
+
+
+register("a23_optimal_threshold", _oracle(["scored"], [_SWEEP_SQL],
+         _rates_sql("best").replace("SELECT ", "SELECT round(threshold, 6) AS optimal_threshold, ", 1)))(q_optimal_threshold)
+
+
+def q_confusion(spark, sf_dir):
+    """A21 + A22 at the served probability rule (predict default when p >= 0.5)."""
+    df = _scored(spark, sf_dir)
+    return _round_all(EV.confusion_at(df, TARGET, F.col("default_prob") >= 0.5))
+
+
+register("a21_a22_confusion_f1", _oracle(["scored"], [
+    "cmx AS (SELECT "
+    f"sum(CASE WHEN {TARGET} = 0 AND default_prob < 0.5 THEN 1 ELSE 0 END) AS tn, "
+    f"sum(CASE WHEN {TARGET} = 0 AND default_prob >= 0.5 THEN 1 ELSE 0 END) AS fp, "
+    f"sum(CASE WHEN {TARGET} = 1 AND default_prob < 0.5 THEN 1 ELSE 0 END) AS fn, "
+    f"sum(CASE WHEN {TARGET} = 1 AND default_prob >= 0.5 THEN 1 ELSE 0 END) AS tp FROM scored)"],
+    _rates_sql("cmx")))(q_confusion)
+
+
+def q_score_stats(spark, sf_dir):
+    return _round_all(EV.score_statistics(_scored(spark, sf_dir), "default_prob"))
+
+
+register("a24_score_statistics", _oracle(["scored"], [f"sc AS (SELECT {SC.sql_score('default_prob')} AS s FROM scored)"],
+         "SELECT round(avg(s), 6) AS score_mean, round(stddev_pop(s), 6) AS score_std, "
+         "CAST(min(s) AS INTEGER) AS score_min, CAST(max(s) AS INTEGER) AS score_max FROM sc"))(q_score_stats)
+
+
+def _drift_split(df):
+    ref = df.where(F.col("applied_at") < F.lit(FX.DRIFT_CUTOFF).cast("timestamp_ntz"))
+    cur = df.where(F.col("applied_at") >= F.lit(FX.DRIFT_CUTOFF).cast("timestamp_ntz"))
+    return ref, cur
+
+
+def _sql_psi(exp_src: str, act_src: str, prob: str) -> str:
+    b = _sql_bin(prob, EV.PROB_EDGES_10, True)
+    eps = repr(S.PSI_EPSILON)
+    return (f"pe AS (SELECT b, count(*) AS n FROM (SELECT {b} AS b FROM {exp_src}) GROUP BY b),\n"
+            f"pa AS (SELECT b, count(*) AS n FROM (SELECT {b} AS b FROM {act_src}) GROUP BY b),\n"
+            f"pj AS (SELECT coalesce(pe.b, pa.b) AS b, coalesce(pe.n, 0) / (SELECT count(*) FROM {exp_src}) AS e, "
+            f"coalesce(pa.n, 0) / (SELECT count(*) FROM {act_src}) AS a FROM pe FULL OUTER JOIN pa ON pe.b = pa.b "
+            "WHERE coalesce(pe.b, pa.b) IS NOT NULL),\n"
+            f"psi_t AS (SELECT coalesce(sum((CASE WHEN a = 0 THEN {eps} ELSE a END - CASE WHEN e = 0 THEN {eps} ELSE e END) * "
+            f"ln(CASE WHEN a = 0 THEN {eps} ELSE a END / CASE WHEN e = 0 THEN {eps} ELSE e END)), 0) AS psi FROM pj)")
+
+
+_SPLIT_SQL = [f"sref AS (SELECT * FROM scored WHERE applied_at < TIMESTAMP '{FX.DRIFT_CUTOFF}')",
+              f"scur AS (SELECT * FROM scored WHERE applied_at >= TIMESTAMP '{FX.DRIFT_CUTOFF}')"]
+
+
+def q_score_psi(spark, sf_dir):
+    ref, cur = _drift_split(_scored(spark, sf_dir))
+    return EV.score_psi(ref, "default_prob", cur, "default_prob").select(r6("psi").alias("psi"))
+
+
+register("a13_score_psi", _oracle(["scored"], _SPLIT_SQL + [_sql_psi("sref", "scur", "default_prob")],
+         "SELECT round(psi, 6) AS psi FROM psi_t"))(q_score_psi)
+
+
+def q_champion_challenger(spark, sf_dir):
+    out = EV.champion_vs_challenger(_scored(spark, sf_dir), TARGET, "default_prob", "challenger_prob")
+    return _round_all(out)
+
+
+register("j4_champion_vs_challenger", _oracle(["scored"], [
+    _sql_rank("scored", TARGET, "default_prob", "ca"), _sql_rank("scored", TARGET, "challenger_prob", "cb")],
+    "SELECT round(ca.auc_roc, 6) AS champion_auc, round(ca.ks_statistic, 6) AS champion_ks, "
+    "round(cb.auc_roc, 6) AS challenger_auc, round(cb.ks_statistic, 6) AS challenger_ks, "
+    "round(ca.auc_roc - cb.auc_roc, 6) AS auc_delta, "
+    "CASE WHEN ca.auc_roc - cb.auc_roc >= 0 THEN 'champion' ELSE 'challenger' END AS winner FROM ca, cb"))(q_champion_challenger)
+
+
+def q_evaluation_report(spark, sf_dir):
+    """test = current period, reference probabilities = earlier period (for PSI)."""
+    ref, cur = _drift_split(_scored(spark, sf_dir))
+    return _round_all(EV.evaluation_report(cur, TARGET, "default_prob", train=ref, train_prob="default_prob"))
+
+
+def _sql_report() -> str:
+    cur = "scur"
+    ctes = _SPLIT_SQL + [
+        _sql_rank(cur, TARGET, "default_prob", "rk"),
+        f"base AS (SELECT count(*) AS n_samples, avg(CAST({TARGET} AS DOUBLE)) AS default_rate, "
+        f"avg((default_prob - {TARGET}) * (default_prob - {TARGET})) AS brier_score FROM {cur})",
+        (f"curve AS (SELECT b, avg(default_prob) AS mp, avg(CAST({TARGET} AS DOUBLE)) AS fp_, count(*) AS c "
+         f"FROM (SELECT *, {_sql_bin('default_prob', EV.PROB_EDGES_10, False)} AS b FROM {cur}) WHERE b IS NOT NULL GROUP BY b)"),
+        f"ece_t AS (SELECT coalesce(sum(c * abs(fp_ - mp)) / (SELECT count(*) FROM {cur}), 0) AS ece FROM curve)",
+        _SWEEP_SQL.replace("FROM thr t, scored s", f"FROM thr t, {cur} s"),
+        f"rates AS ({_rates_sql('best').replace('SELECT ', 'SELECT threshold AS optimal_threshold, ', 1)})",
+        f"sc AS (SELECT {SC.sql_score('default_prob')} AS s FROM {cur})",
+        "sst AS (SELECT avg(s) AS score_mean, stddev_pop(s) AS score_std, CAST(min(s) AS INTEGER) AS score_min, "
+        "CAST(max(s) AS INTEGER) AS score_max FROM sc)",
+        _sql_psi("sref", cur, "default_prob"),
+    ]
+    final = ("SELECT round(rk.auc_roc, 6) AS auc_roc, round(rk.gini, 6) AS gini, round(rk.ks_statistic, 6) AS ks_statistic, "
+             "round(rk.average_precision, 6) AS average_precision, base.n_samples, round(base.default_rate, 6) AS default_rate, "
+             "round(base.brier_score, 6) AS brier_score, round(ece_t.ece, 6) AS ece, round(rates.optimal_threshold, 6) AS optimal_threshold, "
+             "rates.tn, rates.fp, rates.fn, rates.tp, rates.total_cost, rates.cost_per_decision, rates.precision, rates.recall, rates.f1, "
+             "round(sst.score_mean, 6) AS score_mean, round(sst.score_std, 6) AS score_std, sst.score_min, sst.score_max, "
+             "round(psi_t.psi, 6) AS psi FROM rk, base, ece_t, rates, sst, psi_t")
+    return _oracle(["scored"], ctes, final)
+
+
+register("a30_evaluation_report", _sql_report())(q_evaluation_report)

@@ -53,25 +53,30 @@ def cumulative_frame(by_score: DataFrame, k: int = PREFIX_BUCKETS) -> DataFrame:
         "bucket",
         F.coalesce(F.sum("b_pos").over(w_all), F.lit(0)).alias("off_pos"),
         F.coalesce(F.sum("b_neg").over(w_all), F.lit(0)).alias("off_neg"),
-        F.sum("b_pos").over(Window.partitionBy()).alias("P"),
-        F.sum("b_neg").over(Window.partitionBy()).alias("N"))
+        F.sum("b_pos").over(Window.partitionBy()).alias("tot_pos"),
+        F.sum("b_neg").over(Window.partitionBy()).alias("tot_neg"))
+    offsets = offsets.withColumnRenamed("bucket", "o_bucket")
     w_in = (Window.partitionBy("bucket").orderBy(F.desc("p"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (b.join(F.broadcast(offsets), "bucket")
-            .withColumn("cum_pos", F.sum("pos").over(w_in) + F.col("off_pos"))
-            .withColumn("cum_neg", F.sum("neg").over(w_in) + F.col("off_neg")))
+    running = b.select("bucket", "p", "pos", "neg",
+                       F.sum("pos").over(w_in).alias("run_pos"),
+                       F.sum("neg").over(w_in).alias("run_neg"))
+    j = running.join(F.broadcast(offsets), running["bucket"] == offsets["o_bucket"])
+    return j.select("bucket", "p", "pos", "neg",
+                    (F.col("run_pos") + F.col("off_pos")).alias("cum_pos"),
+                    (F.col("run_neg") + F.col("off_neg")).alias("cum_neg"), "tot_pos", "tot_neg")
 
 
 def ranking_metrics(cum: DataFrame) -> DataFrame:
     """One row: auc_roc, gini, ks_statistic, average_precision."""
-    P, N = F.col("P").cast("double"), F.col("N").cast("double")
+    P, N = F.col("tot_pos").cast("double"), F.col("tot_neg").cast("double")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     agg = cum.agg(
         F.max(F.abs(F.col("cum_pos") / P - F.col("cum_neg") / N)).alias("ks"),
         F.sum(pos * (N - F.col("cum_neg")) + F.lit(0.5) * pos * neg).alias("auc_num"),
         F.sum(pos / P * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("ap"),
-        F.first("P").alias("P"), F.first("N").alias("N"))
-    auc = F.col("auc_num") / (F.col("P").cast("double") * F.col("N").cast("double"))
+        F.first("tot_pos").alias("tot_pos"), F.first("tot_neg").alias("tot_neg"))
+    auc = F.col("auc_num") / (F.col("tot_pos").cast("double") * F.col("tot_neg").cast("double"))
     return agg.select(auc.alias("auc_roc"), (F.lit(2.0) * auc - F.lit(1.0)).alias("gini"),
                       F.col("ks").alias("ks_statistic"), F.col("ap").alias("average_precision"))
 
@@ -151,12 +156,12 @@ def cost_sweep(df: DataFrame, label: str, prob: str, cost_fn: float = S.COST_FN,
     w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = Window.partitionBy()
     cum = full.select("k", F.sum("pos").over(w).alias("fn"), F.sum("neg").over(w).alias("cum_neg"),
-                      F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N"))
+                      F.sum("pos").over(tot).alias("tot_pos"), F.sum("neg").over(tot).alias("tot_neg"))
     arr = F.array(*[F.lit(t) for t in thresholds])
     out = cum.where(F.col("k") < n).select(
         F.col("k").alias("threshold_idx"), F.get(arr, F.col("k")).alias("threshold"),
-        F.col("fn"), (F.col("N") - F.col("cum_neg")).alias("fp"),
-        (F.col("P") - F.col("fn")).alias("tp"), F.col("cum_neg").alias("tn"))
+        F.col("fn"), (F.col("tot_neg") - F.col("cum_neg")).alias("fp"),
+        (F.col("tot_pos") - F.col("fn")).alias("tp"), F.col("cum_neg").alias("tn"))
     return out.withColumn("cost", F.col("fn") * F.lit(cost_fn) + F.col("fp") * F.lit(cost_fp))
 
 
