@@ -353,3 +353,62 @@ def _sql_report() -> str:
 
 
 register("a30_evaluation_report", _sql_report())(q_evaluation_report)
+
+
+# --- drift over the application fixture -----------------------------------------
+from .operators import drift as DR  # noqa: E402
+
+_APP_SPLIT_SQL = [f"aref AS (SELECT * FROM applications WHERE applied_at < TIMESTAMP '{FX.DRIFT_CUTOFF}')",
+                  f"acur AS (SELECT * FROM applications WHERE applied_at >= TIMESTAMP '{FX.DRIFT_CUTOFF}')"]
+_DRIFT_SQL = _APP_SPLIT_SQL + DR.sql_drift_report("aref", "acur", S.NUMERIC_FEATURES, S.CATEGORICAL_FEATURES)
+
+
+def _app_split(spark, sf_dir):
+    return _drift_split(FX.applications(spark, sf_dir))
+
+
+def q_drift_report(spark, sf_dir):
+    ref, cur = _app_split(spark, sf_dir)
+    rep = DR.drift_report(ref, cur, S.NUMERIC_FEATURES, S.CATEGORICAL_FEATURES)
+    return rep.select("feature", r6("psi").alias("psi"), "status", "n_reference", "n_current")
+
+
+register("a16_drift_report", _oracle(["applications"], _DRIFT_SQL,
+         "SELECT feature, round(psi, 6) AS psi, status, n_reference, n_current FROM drift_rep "
+         "ORDER BY psi DESC, feature"))(q_drift_report)
+
+
+def q_drift_rollup(spark, sf_dir):
+    ref, cur = _app_split(spark, sf_dir)
+    return DR.drift_rollup(DR.drift_report(ref, cur, S.NUMERIC_FEATURES, S.CATEGORICAL_FEATURES))
+
+
+register("a17_drift_rollup", _oracle(["applications"], _DRIFT_SQL, DR.sql_drift_rollup()))(q_drift_rollup)
+
+
+def q_numeric_psi(spark, sf_dir):
+    ref, cur = _app_split(spark, sf_dir)
+    return DR.numeric_psi(ref, cur, S.NUMERIC_FEATURES).select("feature", r6("psi").alias("psi"))
+
+
+register("a14_numeric_psi", _oracle(["applications"], _DRIFT_SQL,
+         "SELECT feature, round(psi, 6) AS psi FROM dr_num"))(q_numeric_psi)
+
+
+def q_categorical_psi(spark, sf_dir):
+    ref, cur = _app_split(spark, sf_dir)
+    return DR.categorical_psi(ref, cur, S.CATEGORICAL_FEATURES).select("feature", r6("psi").alias("psi"))
+
+
+register("a15_j3_categorical_psi", _oracle(["applications"], _DRIFT_SQL,
+         "SELECT feature, round(psi, 6) AS psi FROM dr_cat"))(q_categorical_psi)
+
+
+def q_category_union(spark, sf_dir):
+    ref, cur = _app_split(spark, sf_dir)
+    return DR.category_union(ref, cur, "grade")
+
+
+register("u2_category_union", _oracle(["applications"], _APP_SPLIT_SQL,
+         "SELECT DISTINCT category FROM (SELECT grade AS category FROM aref UNION SELECT grade FROM acur) "
+         "WHERE category IS NOT NULL"))(q_category_union)
