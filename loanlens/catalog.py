@@ -412,3 +412,92 @@ def q_category_union(spark, sf_dir):
 register("u2_category_union", _oracle(["applications"], _APP_SPLIT_SQL,
          "SELECT DISTINCT category FROM (SELECT grade AS category FROM aref UNION SELECT grade FROM acur) "
          "WHERE category IS NOT NULL"))(q_category_union)
+
+
+# --- prediction-log reports -------------------------------------------------------
+from pyspark.sql import types as T  # noqa: E402
+
+from .operators import logreports as LR  # noqa: E402
+
+_LOG_COLS = ["id", "application_id", "timestamp", "default_prob", "decision", "model_version",
+             "latency_ms", "features_json"]
+_ASOF = "(SELECT max(timestamp) FROM prediction_log)"
+
+
+def _log(spark, sf_dir):
+    return FX.prediction_log(spark, sf_dir)
+
+
+def _in_window(hours: int) -> str:
+    return f"timestamp >= {_ASOF} - INTERVAL {hours} HOUR"
+
+
+def q_recent(spark, sf_dir):
+    return LR.recent(_log(spark, sf_dir), 24).select(*_LOG_COLS)
+
+
+register("p12_o2_recent_24h", _oracle(["prediction_log"], [],
+         f"SELECT {', '.join(_LOG_COLS)} FROM prediction_log WHERE {_in_window(24)} "
+         "ORDER BY timestamp DESC, id DESC"))(q_recent)
+
+LOG_FEATURE_SCHEMA = T.StructType([T.StructField("k", T.LongType())])
+
+
+def q_log_features(spark, sf_dir):
+    return LR.read_log_features(_log(spark, sf_dir), LOG_FEATURE_SCHEMA, 168)
+
+
+register("s6_log_features_168h", _oracle(["prediction_log"], [],
+         "SELECT id, application_id, CAST(json_extract(features_json, '$.k') AS BIGINT) AS k "
+         f"FROM prediction_log WHERE {_in_window(168)} AND json_valid(features_json)"))(q_log_features)
+
+
+def q_decision_counts(spark, sf_dir):
+    return LR.decision_counts(_log(spark, sf_dir), 24)
+
+
+register("a25_decision_counts_24h", _oracle(["prediction_log"], [],
+         f"SELECT decision, count(*) AS cnt FROM prediction_log WHERE {_in_window(24)} GROUP BY decision"))(q_decision_counts)
+
+
+def _sql_pct(src: str) -> str:
+    return (f"SELECT coalesce(list_sort(list(latency_ms))[CAST(least(floor(0.5 * count(*)), count(*) - 1) AS BIGINT) + 1], 0.0) AS p50, "
+            f"coalesce(list_sort(list(latency_ms))[CAST(least(floor(0.95 * count(*)), count(*) - 1) AS BIGINT) + 1], 0.0) AS p95, "
+            f"coalesce(list_sort(list(latency_ms))[CAST(least(floor(0.99 * count(*)), count(*) - 1) AS BIGINT) + 1], 0.0) AS p99 "
+            f"FROM {src}")
+
+
+def q_latency_pct(spark, sf_dir):
+    return LR.latency_percentiles(_log(spark, sf_dir), 1)
+
+
+register("w4_latency_percentiles_1h", _oracle(["prediction_log"], [
+    f"l1 AS (SELECT * FROM prediction_log WHERE {_in_window(1)})"], _sql_pct("l1")))(q_latency_pct)
+
+
+def q_total_count(spark, sf_dir):
+    return LR.total_count(_log(spark, sf_dir))
+
+
+register("a27_log_row_count", _oracle(["prediction_log"], [],
+         "SELECT count(*) AS total_predictions FROM prediction_log"))(q_total_count)
+
+
+def q_operational_metrics(spark, sf_dir):
+    return LR.operational_metrics(_log(spark, sf_dir))
+
+
+register("a26_operational_metrics", _oracle(["prediction_log"], [
+    f"l1 AS (SELECT * FROM prediction_log WHERE {_in_window(1)})",
+    f"l24 AS (SELECT *, {SC.sql_score('default_prob')} AS s FROM prediction_log WHERE {_in_window(24)})",
+    f"pct AS ({_sql_pct('l1')})",
+    "m AS (SELECT count(*) AS n24, sum(CASE WHEN decision = 'APPROVE' THEN 1 ELSE 0 END) AS n_app, "
+    "sum(CASE WHEN decision = 'REVIEW' THEN 1 ELSE 0 END) AS n_rev, sum(CASE WHEN decision = 'DECLINE' THEN 1 ELSE 0 END) AS n_dec, "
+    "avg(default_prob) AS avg_p, avg(s) AS avg_s, avg(latency_ms) AS avg_l FROM l24)"],
+    "SELECT (SELECT count(*) FROM prediction_log) AS total_predictions, (SELECT count(*) FROM l1) AS predictions_last_hour, "
+    "CASE WHEN n24 > 0 THEN round(n_app / n24, 4) ELSE 0.0 END AS approval_rate, "
+    "CASE WHEN n24 > 0 THEN round(n_rev / n24, 4) ELSE 0.0 END AS review_rate, "
+    "CASE WHEN n24 > 0 THEN round(n_dec / n24, 4) ELSE 0.0 END AS decline_rate, "
+    "coalesce(round(avg_p, 4), 0.0) AS avg_default_probability, coalesce(round(avg_s, 1), 0.0) AS avg_risk_score, "
+    "coalesce(round(avg_l, 2), 0.0) AS avg_latency_ms, pct.p95 AS p95_latency_ms, pct.p99 AS p99_latency_ms "
+    "FROM m, pct"))(q_operational_metrics)
