@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from . import schema as S
 from .functions import rules
+from .functions.numeric import round_dp
 from .operators import binning, woe
 from .sources import fixtures as FX
 
@@ -36,7 +37,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def r6(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    return round_dp(F.col(c) if isinstance(c, str) else c, 6)
 
 
 def _derived_apps(spark, sf_dir) -> DataFrame:
@@ -501,3 +502,110 @@ register("a26_operational_metrics", _oracle(["prediction_log"], [
     "coalesce(round(avg_p, 4), 0.0) AS avg_default_probability, coalesce(round(avg_s, 1), 0.0) AS avg_risk_score, "
     "coalesce(round(avg_l, 2), 0.0) AS avg_latency_ms, pct.p95 AS p95_latency_ms, pct.p99 AS p99_latency_ms "
     "FROM m, pct"))(q_operational_metrics)
+
+
+# --- scalar rules -----------------------------------------------------------------
+from .functions import validation as VA  # noqa: E402
+from .functions.sqlfuncs import register_sql_functions  # noqa: E402
+from .plans import scoring as SCO  # noqa: E402
+
+_APP_COLS = ["application_id"] + S.ALL_FEATURES
+
+
+def q_derived(spark, sf_dir):
+    df = _derived_apps(spark, sf_dir)
+    return df.select("application_id", *[r6(c).alias(c) for c in S.DERIVED_FEATURES])
+
+
+register("p1_derived_features", _oracle(["applications"], [_SQL_DERIVED_APPS],
+         "SELECT application_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in S.DERIVED_FEATURES)
+         + " FROM apps_d"))(q_derived)
+
+
+def q_select_columns(spark, sf_dir):
+    """Keep the listed columns that exist (unknown names are ignored)."""
+    return rules.select_columns(FX.applications(spark, sf_dir),
+                                ["application_id", "grade", "no_such_column", "debt_to_income"])
+
+
+register("p2_select_columns", _oracle(["applications"], [],
+         "SELECT application_id, grade, debt_to_income FROM applications"))(q_select_columns)
+
+
+def q_validate(spark, sf_dir):
+    v = VA.validate_applications(FX.applications(spark, sf_dir).select(*_APP_COLS))
+    return v.select("application_id", F.size("errors").alias("n_errors"),
+                    F.array_join("errors", ";").alias("errors"), "is_valid")
+
+
+register("p3_validate_applications", _oracle(["applications"], [
+    f"va AS (SELECT application_id, {VA.sql_validation_errors(_APP_COLS)} AS errs FROM applications)"],
+    "SELECT application_id, CAST(len(errs) AS INTEGER) AS n_errors, array_to_string(errs, ';') AS errors, "
+    "len(errs) = 0 AS is_valid FROM va"))(q_validate)
+
+
+def q_violation_counts(spark, sf_dir):
+    return VA.violation_counts(FX.applications(spark, sf_dir).select(*_APP_COLS))
+
+
+register("p3_rule_violation_counts", _oracle(["applications"], [
+    f"va AS (SELECT unnest({VA.sql_validation_errors(_APP_COLS)}) AS rule FROM applications)"],
+    "SELECT rule, count(*) AS n FROM va GROUP BY rule"))(q_violation_counts)
+
+
+def q_assign_id(spark, sf_dir):
+    df = FX.applications(spark, sf_dir).select("k")
+    return rules.assign_application_id(df, ["k"])
+
+
+register("p4_assign_application_id", _oracle(["applications"], [],
+         "SELECT k, concat('REQ-', upper(substr(md5(CAST(k AS VARCHAR)), 1, 12))) AS application_id "
+         "FROM applications"))(q_assign_id)
+
+
+def q_scorecard(spark, sf_dir):
+    """P5-P8 over the scored fixture."""
+    df = _scored(spark, sf_dir)
+    s = SC.probability_to_score(F.col("default_prob"))
+    return df.select("application_id", s.alias("risk_score"),
+                     SC.score_to_decision(s).alias("score_decision"),
+                     SC.probability_to_decision(F.col("default_prob")).alias("decision"),
+                     SC.decision_confidence(F.col("default_prob")).alias("confidence"))
+
+
+register("p5_p8_scorecard_rules", _oracle(["scored"], [
+    f"s1 AS (SELECT *, {SC.sql_score('default_prob')} AS risk_score FROM scored)"],
+    f"SELECT application_id, risk_score, {SC.sql_score_decision('risk_score')} AS score_decision, "
+    f"{SC.sql_prob_decision('default_prob')} AS decision, {SC.sql_confidence('default_prob')} AS confidence "
+    "FROM s1"))(q_scorecard)
+
+
+def q_risk_logit(spark, sf_dir):
+    df = FX.applications(spark, sf_dir)
+    return df.select("application_id", r6(rules.risk_probability()).alias("risk_probability"))
+
+
+register("p13_expert_risk_probability", _oracle(["applications"], [],
+         f"SELECT application_id, round({rules.sql_risk_probability()}, 6) AS risk_probability "
+         "FROM applications"))(q_risk_logit)
+
+
+def q_score_applications(spark, sf_dir):
+    df = FX.applications(spark, sf_dir).select(*_APP_COLS)
+    return SCO.score_applications(df)
+
+
+register("p15_score_applications", _oracle(["applications"], [],
+         SCO.sql_score_applications("applications", _APP_COLS)))(q_score_applications)
+
+
+def q_sql_functions(spark, sf_dir):
+    """The rules called by name from Spark SQL."""
+    register_sql_functions(spark)
+    return spark.sql(
+        "SELECT application_id, risk_score(default_prob) AS risk_score, "
+        "score_decision(risk_score(default_prob)) AS score_decision, prob_decision(default_prob) AS decision, "
+        "decision_confidence(default_prob) AS confidence FROM {scored}", scored=_scored(spark, sf_dir))
+
+
+register("e2_sql_functions", ORACLE["p5_p8_scorecard_rules"])(q_sql_functions)

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .numeric import round_dp
 
 
 def _col(c) -> Column:
@@ -61,7 +62,7 @@ def decision_confidence(p, threshold_approve=S.PROB_APPROVE,
     raw = (F.when(p <= a, F.lit(1.0) - p / F.lit(a))
            .when(p >= d, (p - F.lit(d)) / F.lit(1.0 - d))
            .otherwise(F.abs(p - F.lit(mid)) / F.lit(span)))
-    return F.round(raw, 4)
+    return round_dp(raw, 4)
 
 
 def iv_strength(iv) -> Column:
@@ -94,7 +95,8 @@ def sql_score(p: str, base_score=S.SCORE_BASE, base_odds=S.SCORE_ODDS, pdo=S.SCO
     pc = f"least(greatest(({p}), 1e-7), {1 - 1e-7!r})"
     raw = f"({offset!r} - {factor!r} * ln({pc} / (1.0 - {pc})))"
     r = f"round_even({raw}, 0)" if rint == "round_even" else f"rint({raw})"
-    return (f"CAST(least(greatest({r}, {float(score_min)!r}), {float(score_max)!r}) AS INTEGER)")
+    return (f"CASE WHEN ({p}) IS NULL THEN NULL ELSE "
+            f"CAST(least(greatest({r}, {float(score_min)!r}), {float(score_max)!r}) AS INTEGER) END")
 
 
 def sql_prob_decision(p: str, a=S.PROB_APPROVE, d=S.PROB_DECLINE) -> str:
@@ -109,9 +111,10 @@ def sql_score_decision(s: str, a=S.SCORE_APPROVE, d=S.SCORE_DECLINE) -> str:
 
 def sql_confidence(p: str, a=S.PROB_APPROVE, d=S.PROB_DECLINE) -> str:
     mid, span = (a + d) / 2, (d - a) / 2
-    return (f"round(CASE WHEN {p} <= {a!r} THEN 1.0 - {p} / {a!r} "
+    # Scale-then-round: the binary value is rounded in Spark SQL and DuckDB alike.
+    return (f"round((CASE WHEN {p} <= {a!r} THEN 1.0 - {p} / {a!r} "
             f"WHEN {p} >= {d!r} THEN ({p} - {d!r}) / {1.0 - d!r} "
-            f"ELSE abs({p} - {mid!r}) / {span!r} END, 4)")
+            f"ELSE abs({p} - {mid!r}) / {span!r} END) * 10000.0, 0) / 10000.0")
 
 
 def sql_iv_strength(iv: str) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numeric import round_dp
 from ..functions.scorecard import probability_to_score
 from .ranking import value_at_ranks
 
@@ -105,13 +106,13 @@ def operational_metrics(log: DataFrame, as_of=None, score: Column | None = None)
     pct = latency_percentiles(log, 1, as_of)
 
     def r4(c):
-        return F.when(F.col("n24") > 0, F.round(F.col(c) / F.col("n24"), 4)).otherwise(F.lit(0.0))
+        return F.when(F.col("n24") > 0, round_dp(F.col(c) / F.col("n24"), 4)).otherwise(F.lit(0.0))
     return agg.join(pct).select(
         F.col("total_predictions").cast("long").alias("total_predictions"),
         F.col("predictions_last_hour").cast("long").alias("predictions_last_hour"),
         r4("n_app").alias("approval_rate"), r4("n_rev").alias("review_rate"),
         r4("n_dec").alias("decline_rate"),
-        F.coalesce(F.round("avg_p", 4), F.lit(0.0)).alias("avg_default_probability"),
-        F.coalesce(F.round("avg_s", 1), F.lit(0.0)).alias("avg_risk_score"),
-        F.coalesce(F.round("avg_l", 2), F.lit(0.0)).alias("avg_latency_ms"),
+        F.coalesce(round_dp("avg_p", 4), F.lit(0.0)).alias("avg_default_probability"),
+        F.coalesce(round_dp("avg_s", 1), F.lit(0.0)).alias("avg_risk_score"),
+        F.coalesce(round_dp("avg_l", 2), F.lit(0.0)).alias("avg_latency_ms"),
         F.col("p95").alias("p95_latency_ms"), F.col("p99").alias("p99_latency_ms"))

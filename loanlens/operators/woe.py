@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numeric import round_dp
 from .. import schema as S
 from ..functions.scorecard import iv_strength, sql_iv_strength
 from . import binning
@@ -231,7 +232,7 @@ def iv_table(woe_table: DataFrame) -> DataFrame:
     agg = (woe_table.groupBy("feature")
            .agg(F.sum("iv_part").alias("iv_raw"),
                 F.sum(F.when(F.col("is_missing"), 0).otherwise(1)).alias("n_occ")))
-    return (agg.select("feature", F.round("iv_raw", 4).alias("iv"),
+    return (agg.select("feature", round_dp("iv_raw", 4).alias("iv"),
                        iv_strength(F.col("iv_raw")).alias("strength"),
                        (F.col("n_occ") + 1).cast("int").alias("n_bins"))
             .orderBy(F.desc("iv"), "feature"))
