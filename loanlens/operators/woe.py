@@ -76,19 +76,27 @@ class WoeModel:
                 cats[r["feature"]][r["category"]] = r["woe"]
         return numeric, cats, missing
 
-    def woe_columns(self, columns) -> dict[str, Column]:
-        """One expression per fitted feature; absent columns give 0.0."""
+    def woe_columns(self, columns, bin_cols: dict[str, str] | None = None) -> dict[str, Column]:
+        """One expression per fitted feature; absent columns give 0.0.
+
+        Numeric lookups index an array literal of bin WoEs by the bin index
+        (computed once per value, optionally in an earlier projection named by
+        ``bin_cols``), so the expression stays small and codegen-friendly.
+        """
         numeric, cats, missing = self._maps()
         out: dict[str, Column] = {}
         for c in self.numeric_cols:
             if c not in columns:
                 out[c] = F.lit(0.0)
                 continue
-            idx = binning.bin_index(F.col(c), self.edges.get(c, []))
-            expr = F.when(idx.isNull(), F.lit(missing.get(c, 0.0)))
-            for b, w in sorted(numeric[c].items()):
-                expr = expr.when(idx == b, F.lit(w))
-            out[c] = expr.otherwise(F.lit(0.0))
+            idx = (F.col(bin_cols[c]) if bin_cols and c in bin_cols
+                   else binning.bin_index(F.col(c), self.edges.get(c, [])))
+            table = numeric[c]
+            n = (max(table) + 1) if table else 0
+            woes = F.array(*[F.lit(table.get(b)).cast("double") for b in range(n)]) if n else None
+            hit = F.get(woes, idx) if n else F.lit(None).cast("double")
+            out[c] = F.when(idx.isNull(), F.lit(missing.get(c, 0.0))).otherwise(
+                F.coalesce(hit, F.lit(0.0)))
         for c in self.categorical_cols:
             if c not in columns:
                 out[c] = F.lit(0.0)
@@ -104,14 +112,23 @@ class WoeModel:
             out[c] = F.coalesce(F.try_element_at(lookup, F.col(c).cast("string")), miss)
         return out
 
+    def bin_columns(self, df: DataFrame, keep: list[str]) -> tuple[DataFrame, dict[str, str]]:
+        """First projection of the lookup: numeric values -> bin index columns."""
+        names = {c: f"__bin_{c}" for c in self.numeric_cols if c in df.columns}
+        others = [c for c in df.columns if c not in names and c not in keep]
+        staged = df.select(*keep, *others, *[binning.bin_index(F.col(c), self.edges.get(c, [])).alias(n)
+                                             for c, n in names.items()])
+        return staged, names
+
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Replace feature values by their WoE (one projection, no shuffle)."""
         keep = [k for k in (keep or []) if k in df.columns]
         _, cats, _ = self._maps()
         big = [c for c in self.categorical_cols if len(cats.get(c, {})) > MAX_LITERAL_CATEGORIES]
         if not big:
-            cols = self.woe_columns(df.columns)
-            return df.select(*keep, *[v.alias(k) for k, v in cols.items()])
+            staged, names = self.bin_columns(df, keep)
+            cols = self.woe_columns(set(df.columns), names)
+            return staged.select(*keep, *[v.alias(k) for k, v in cols.items()])
         # High-cardinality columns: equi-join on the fitted table instead.
         small = self.woe_columns([c for c in df.columns if c not in big])
         out = df
