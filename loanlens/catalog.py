@@ -609,3 +609,169 @@ def q_sql_functions(spark, sf_dir):
 
 
 register("e2_sql_functions", ORACLE["p5_p8_scorecard_rules"])(q_sql_functions)
+
+
+# --- preparation --------------------------------------------------------------------
+from .operators import prepare as PR  # noqa: E402
+
+
+def _apps(spark, sf_dir):
+    return FX.applications(spark, sf_dir)
+
+
+def q_class_balance(spark, sf_dir):
+    return _round_all(PR.class_balance(_apps(spark, sf_dir), TARGET))
+
+
+register("a8_class_balance", _oracle(["applications"], [],
+         f"SELECT sum({TARGET}) AS n_pos, sum(1 - {TARGET}) AS n_neg, "
+         f"round(sum(1 - {TARGET}) / greatest(sum({TARGET}), 1), 6) AS class_weight_ratio FROM applications"))(q_class_balance)
+
+
+def q_profile(spark, sf_dir):
+    df = _apps(spark, sf_dir).select(*_APP_COLS, TARGET)
+    return PR.dataset_profile(df, TARGET)
+
+
+register("a9_dataset_profile", _oracle(["applications"], [],
+         f"SELECT count(*) AS n_rows, {len(_APP_COLS)} AS n_features, round(avg({TARGET}), 4) AS default_rate "
+         "FROM applications"))(q_profile)
+
+
+def q_missing(spark, sf_dir):
+    return PR.missing_summary(_apps(spark, sf_dir).select(*_APP_COLS))
+
+
+register("a10_missing_summary", _oracle(["applications"], [
+    "ms AS (" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS share "
+                                    f"FROM applications" for c in _APP_COLS) + ")"],
+    "SELECT column_name, round(share, 4) AS missing_pct FROM ms WHERE share > 0"))(q_missing)
+
+
+def q_medians(spark, sf_dir):
+    return PR.fit_medians(_apps(spark, sf_dir), S.NUMERIC_FEATURES).select("feature", r6("median").alias("median"))
+
+
+_MED_SQL = ("med AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, quantile_cont({c}, 0.5) AS median FROM applications"
+                                            for c in S.NUMERIC_FEATURES) + ")")
+register("a11_impute_medians", _oracle(["applications"], [_MED_SQL],
+         "SELECT feature, round(median, 6) AS median FROM med"))(q_medians)
+
+
+def q_imputed(spark, sf_dir):
+    df = _apps(spark, sf_dir)
+    med = {r["feature"]: r["median"] for r in PR.fit_medians(df, S.NUMERIC_FEATURES).collect()}
+    out = PR.impute(df.select(*_APP_COLS), med, S.CATEGORICAL_FEATURES)
+    return out.select("application_id", *[r6(c).alias(c) for c in S.NUMERIC_FEATURES], *S.CATEGORICAL_FEATURES)
+
+
+register("a11_imputed_frame", _oracle(["applications"], [_MED_SQL],
+         "SELECT application_id, " + ", ".join(
+             f"round(coalesce({c}, (SELECT median FROM med WHERE feature = '{c}')), 6) AS {c}" for c in S.NUMERIC_FEATURES)
+         + ", " + ", ".join(f"coalesce({c}, 'MISSING') AS {c}" for c in S.CATEGORICAL_FEATURES)
+         + " FROM applications"))(q_imputed)
+
+
+def q_scaler(spark, sf_dir):
+    st = PR.fit_scaler(_apps(spark, sf_dir), S.NUMERIC_FEATURES)
+    return st.select("feature", r6("mean").alias("mean"), r6("scale").alias("scale"))
+
+
+register("a12_standardise_stats", _oracle(["applications"], [
+    "st AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, avg({c}) AS mean, stddev_pop({c}) AS sd FROM applications"
+                                    for c in S.NUMERIC_FEATURES) + ")"],
+    "SELECT feature, round(mean, 6) AS mean, round(CASE WHEN sd = 0 THEN 1.0 ELSE sd END, 6) AS scale FROM st"))(q_scaler)
+
+_VIF3 = ["interest_rate", "debt_to_income", "credit_utilization_ratio"]
+
+
+def q_vif3(spark, sf_dir):
+    return PR.compute_vif(_apps(spark, sf_dir), _VIF3)
+
+
+def _sql_vif3() -> tuple[str, str]:
+    a, b, c = _VIF3
+    cte = (f"cc AS (SELECT corr({a}, {b}) AS r_ab, corr({a}, {c}) AS r_ac, corr({b}, {c}) AS r_bc "
+           f"FROM applications WHERE {a} IS NOT NULL AND {b} IS NOT NULL AND {c} IS NOT NULL)")
+
+    def vif(rij, rik, rjk):
+        r2 = f"(({rij} * {rij} + {rik} * {rik} - 2 * {rij} * {rik} * {rjk}) / (1 - {rjk} * {rjk}))"
+        return f"round(1 / (1 - {r2}), 2)"
+    final = (f"SELECT '{a}' AS feature, {vif('r_ab', 'r_ac', 'r_bc')} AS vif FROM cc UNION ALL "
+             f"SELECT '{b}', {vif('r_ab', 'r_bc', 'r_ac')} FROM cc UNION ALL "
+             f"SELECT '{c}', {vif('r_ac', 'r_bc', 'r_ab')} FROM cc")
+    return cte, final
+
+
+register("a28_vif_three_columns", _oracle(["applications"], [_sql_vif3()[0]], _sql_vif3()[1]))(q_vif3)
+
+
+def q_vif_all(spark, sf_dir):
+    """A28 over every numeric and derived feature (k x k inverse on the driver; rows-only check)."""
+    return PR.compute_vif(_derived_apps(spark, sf_dir), WOE_NUMERIC)
+
+
+register("a28_vif_all_numeric")(q_vif_all)
+
+
+def q_vif_prune(spark, sf_dir):
+    """Features kept after dropping the worst VIF until all <= 10."""
+    df = _derived_apps(spark, sf_dir)
+    kept, dropped, v = PR.drop_high_vif(df, WOE_NUMERIC)
+    rows = [(c, "kept", round(float(v[c]), 2)) for c in kept] + [(c, "dropped", None) for c in dropped]
+    return spark.createDataFrame(rows, "feature string, status string, vif double")
+
+
+register("a29_vif_pruning")(q_vif_prune)
+
+_SPLIT_HASH_SQL = "CAST('0x' || substr(md5(CAST(application_id AS VARCHAR) || ':42'), 1, 15) AS BIGINT)"
+_SPLIT_SQL_CTE = (
+    f"sp_h AS (SELECT application_id, {TARGET}, {_SPLIT_HASH_SQL} AS h, "
+    f"row_number() OVER (PARTITION BY {TARGET} ORDER BY {_SPLIT_HASH_SQL}) - 1 AS r, "
+    f"count(*) OVER (PARTITION BY {TARGET}) AS n FROM applications),\n"
+    "sp AS (SELECT application_id, dflt, CASE WHEN r < ceil(0.2 * n) THEN 'test' "
+    "WHEN r < ceil(0.2 * n) + ceil(0.125 * (n - ceil(0.2 * n))) THEN 'val' ELSE 'train' END AS split, r, n FROM sp_h)")
+
+
+def q_split(spark, sf_dir):
+    return PR.stratified_split(_apps(spark, sf_dir).select("application_id", TARGET), TARGET)
+
+
+register("w6_stratified_split", _oracle(["applications"], [_SPLIT_SQL_CTE],
+         "SELECT application_id, dflt, split FROM sp"))(q_split)
+
+
+def q_split_shares(spark, sf_dir):
+    s = PR.stratified_split(_apps(spark, sf_dir).select("application_id", TARGET), TARGET)
+    return s.groupBy("split", TARGET).agg(F.count(F.lit(1)).alias("n"))
+
+
+register("w6_split_class_counts", _oracle(["applications"], [_SPLIT_SQL_CTE],
+         "SELECT split, dflt, count(*) AS n FROM sp GROUP BY ALL"))(q_split_shares)
+
+
+def q_folds(spark, sf_dir):
+    return PR.stratified_folds(_apps(spark, sf_dir).select("application_id", TARGET), 5, TARGET)
+
+
+register("w8_stratified_folds", _oracle(["applications"], [_SPLIT_SQL_CTE],
+         "SELECT application_id, dflt, CAST(" + " + ".join(
+             f"CASE WHEN r >= floor({j} * n / 5) THEN 1 ELSE 0 END" for j in range(1, 5))
+         + " AS INTEGER) AS fold FROM sp"))(q_folds)
+
+
+def q_train_val(spark, sf_dir):
+    s = PR.stratified_split(_apps(spark, sf_dir).select("application_id", TARGET), TARGET)
+    return PR.train_val(s)
+
+
+register("u1_train_union_val", _oracle(["applications"], [_SPLIT_SQL_CTE],
+         "SELECT application_id, dflt, split FROM sp WHERE split IN ('train', 'val')"))(q_train_val)
+
+
+def q_sample(spark, sf_dir):
+    return PR.uniform_sample(_apps(spark, sf_dir).select("application_id", "grade"), 500)
+
+
+register("o4_reference_sample_500", _oracle(["applications"], [],
+         f"SELECT application_id, grade FROM applications ORDER BY {_SPLIT_HASH_SQL}, application_id LIMIT 500"))(q_sample)

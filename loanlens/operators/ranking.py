@@ -20,32 +20,42 @@ from pyspark.sql import functions as F
 RANK_BUCKETS = 1024
 
 
-def value_at_ranks(df: DataFrame, value: str, fractions: dict[str, float],
-                   k: int = RANK_BUCKETS, group: str | None = None) -> DataFrame:
-    """One row (or one per ``group``) with a column per fraction; NULL when empty."""
+def value_at_ranks(df: DataFrame, value: str, fractions: dict[str, float] | None = None,
+                   k: int = RANK_BUCKETS, group: str | None = None, ranks: dict | None = None) -> DataFrame:
+    """One row (or one per ``group``) with a column per fraction; NULL when empty.
+
+    ``ranks`` maps a name to a function of the count column ``n`` giving a
+    0-based rank, for callers that need other rank rules than ``floor(p n)``.
+    """
     keys = [group] if group else []
     vc = (df.where(F.col(value).isNotNull())
-          .groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")))
+          .groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c")))
     stats = vc.groupBy(*keys).agg(F.min("v").alias("vmin"), F.max("v").alias("vmax"),
                                   F.sum("c").alias("n"))
-    j = vc.join(F.broadcast(stats) if not group else stats, keys) if keys else vc.join(F.broadcast(stats))
+    # ``group`` is low-cardinality (classes, features): stats has one row per
+    # group and the offsets K rows per group, so both are broadcast; a shuffle
+    # join on a 2-valued key would put half the table in one task.
+    j = vc.join(F.broadcast(stats), keys) if keys else vc.join(F.broadcast(stats))
     span = F.col("vmax") - F.col("vmin")
-    bucket = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("vmin")) / span * k),
+    bucket = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("vmin")).cast("double")
+                                              / span.cast("double") * k),
                                       F.lit(k - 1))).otherwise(F.lit(0)).cast("int")
     b = j.withColumn("bucket", bucket)
     tot = b.groupBy(*keys, "bucket").agg(F.sum("c").alias("bc"))
     wo = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*keys, F.col("bucket").alias("o_bucket"),
+    off = tot.select(*[F.col(kk).alias(f"o_{kk}") for kk in keys], F.col("bucket").alias("o_bucket"),
                      F.coalesce(F.sum("bc").over(wo), F.lit(0)).alias("off"))
     wi = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     run = b.select(*keys, "bucket", "v", "n", F.sum("c").over(wi).alias("run"))
     cond = run["bucket"] == off["o_bucket"]
     for kk in keys:
-        cond = cond & (run[kk] == off[kk])
-    cum = run.join(F.broadcast(off) if not group else off, cond).select(
+        cond = cond & (run[kk] == off[f"o_{kk}"])
+    cum = run.join(F.broadcast(off), cond).select(
         *[run[kk] for kk in keys], "v", "n", (F.col("run") + F.col("off")).alias("cum"))
     aggs = []
-    for name, p in fractions.items():
+    for name, p in (fractions or {}).items():
         r = F.least(F.floor(F.lit(float(p)) * F.col("n")), F.col("n") - 1)
         aggs.append(F.min(F.when(F.col("cum") > r, F.col("v"))).alias(name))
+    for name, fn in (ranks or {}).items():
+        aggs.append(F.min(F.when(F.col("cum") > fn(F.col("n")), F.col("v"))).alias(name))
     return cum.groupBy(*keys).agg(*aggs)
