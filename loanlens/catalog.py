@@ -775,3 +775,52 @@ def q_sample(spark, sf_dir):
 
 register("o4_reference_sample_500", _oracle(["applications"], [],
          f"SELECT application_id, grade FROM applications ORDER BY {_SPLIT_HASH_SQL}, application_id LIMIT 500"))(q_sample)
+
+
+# --- sources -------------------------------------------------------------------------
+from .sources import files as FI  # noqa: E402
+from .sources import predlog as PL  # noqa: E402
+
+
+def q_read_dataset(spark, sf_dir):
+    """The reader on a given table (parquet by extension)."""
+    return FI.read_dataset(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+register("s1_read_dataset", _oracle([], [], "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+         .replace("WITH \n", ""))(q_read_dataset)
+
+
+def q_enforce_schema(spark, sf_dir):
+    """Applications as text (as a CSV gives them) plus a leakage column -> typed frame."""
+    df = FX.applications(spark, sf_dir)
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in _APP_COLS],
+                     F.col(TARGET).cast("string").alias("default"), F.lit("0.5").alias("default_probability_true"))
+    out = FI.enforce_schema(text)
+    return out.select("application_id", *[r6(c).alias(c) for c in S.NUMERIC_FEATURES], *S.CATEGORICAL_FEATURES,
+                      "default")
+
+
+register("s2_enforce_schema", _oracle(["applications"], [],
+         "SELECT application_id, " + ", ".join(f"round({c}, 6) AS {c}" for c in S.NUMERIC_FEATURES) + ", "
+         + ", ".join(S.CATEGORICAL_FEATURES) + f", CAST({TARGET} AS INTEGER) AS \"default\" FROM applications"))(q_enforce_schema)
+
+
+def q_log_rows(spark, sf_dir):
+    """The log row shape for scored applications (features as JSON text)."""
+    df = FX.applications(spark, sf_dir).select(*_APP_COLS, "applied_at")
+    scored_df = SCO.score_applications(df, only_valid=False).join(df.select("application_id", "applied_at", "grade",
+                                                                          "loan_purpose"), "application_id")
+    rows = PL.log_rows(scored_df, ["grade", "loan_purpose"], "default_probability", F.col("model_version"),
+                       ts=F.col("applied_at"))
+    return rows.select("application_id", "timestamp", "default_prob", "risk_score", "decision", "confidence",
+                       "model_version", "features_json")
+
+
+register("s5_prediction_log_rows", _oracle(["applications"], [
+    f"sa AS (SELECT application_id, applied_at, grade, loan_purpose, round({rules.sql_risk_probability()}, 6) AS p "
+    "FROM applications)"],
+    f"SELECT application_id, applied_at AS timestamp, p AS default_prob, {SC.sql_score('p')} AS risk_score, "
+    f"{SC.sql_prob_decision('p')} AS decision, {SC.sql_confidence('p')} AS confidence, "
+    "'expert-logit-v1' AS model_version, to_json(struct_pack(grade := grade, loan_purpose := loan_purpose)) AS features_json "
+    "FROM sa"))(q_log_rows)
