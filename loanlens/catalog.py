@@ -824,3 +824,107 @@ register("s5_prediction_log_rows", _oracle(["applications"], [
     f"{SC.sql_prob_decision('p')} AS decision, {SC.sql_confidence('p')} AS confidence, "
     "'expert-logit-v1' AS model_version, to_json(struct_pack(grade := grade, loan_purpose := loan_purpose)) AS features_json "
     "FROM sa"))(q_log_rows)
+
+
+# --- models (rows-only checks: fits are iterative) ------------------------------------
+from .plans import models as MO  # noqa: E402
+from .session import cut_lineage  # noqa: E402
+
+
+def _model_frames(spark, sf_dir):
+    """train+val and test rows of the application fixture (W6 split), lineage cut once."""
+    df = FX.applications(spark, sf_dir).withColumn(TARGET, F.col(TARGET).cast("double"))
+    s = cut_lineage(PR.stratified_split(df, TARGET))
+    return PR.train_val(s), s.where(F.col("split") == "test")
+
+
+def _test_report(model, test):
+    scored_test = model.transform(test)
+    return _round_all(EV.evaluation_report(scored_test, TARGET, MO.PROB_COL))
+
+
+def q_feature_pipeline(spark, sf_dir):
+    """M1: derive -> impute -> WoE -> scale, fitted on train+val, applied to every row."""
+    from pyspark.ml import Pipeline
+    from .plans.stages import DerivedFeatureAdder
+    tv, _ = _model_frames(spark, sf_dir)
+    stages, _vec = MO.feature_stages(MO.MODEL_FEATURES, TARGET)
+    pm = Pipeline(stages=[DerivedFeatureAdder()] + stages[:-1]).fit(tv)
+    out = pm.transform(FX.applications(spark, sf_dir))
+    return out.select("application_id", *[r6(f"{c}__z").alias(c) for c in MO.MODEL_FEATURES])
+
+
+register("m1_feature_pipeline")(q_feature_pipeline)
+
+
+def q_scorecard_model(spark, sf_dir):
+    """M3 (transparent scorecard): WoE + logistic regression, test-set report."""
+    tv, test = _model_frames(spark, sf_dir)
+    return _test_report(MO.fit_plain(tv, TARGET, kind="logistic"), test)
+
+
+register("m3_woe_logistic_scorecard")(q_scorecard_model)
+
+
+def q_calibrated_scorecard(spark, sf_dir):
+    """M4: 5-fold sigmoid-calibrated ensemble of the scorecard pipeline."""
+    tv, test = _model_frames(spark, sf_dir)
+    return _test_report(MO.fit_calibrated(tv, TARGET, kind="logistic", method="sigmoid", parallelism=5), test)
+
+
+register("m4_sigmoid_calibrated_scorecard")(q_calibrated_scorecard)
+
+
+def q_isotonic_scorecard(spark, sf_dir):
+    """M5: the same ensemble with isotonic calibrators."""
+    tv, test = _model_frames(spark, sf_dir)
+    return _test_report(MO.fit_calibrated(tv, TARGET, kind="logistic", method="isotonic", parallelism=5), test)
+
+
+register("m5_isotonic_calibrated_scorecard")(q_isotonic_scorecard)
+
+
+def q_champion_booster(spark, sf_dir):
+    """M2: boosted trees with the fixed defaults (300 trees, depth 4, lr .05, subsample .8)
+    and the class weight n_neg / n_pos, test-set report."""
+    tv, test = _model_frames(spark, sf_dir)
+    bal = PR.class_balance(tv, TARGET).first()
+    model = MO.fit_plain(tv, TARGET, kind="champion", class_weight_ratio=bal["class_weight_ratio"])
+    return _test_report(model, test)
+
+
+register("m2_champion_booster")(q_champion_booster)
+
+
+def q_batch_scoring(spark, sf_dir):
+    """M8 + P15: score every application with the fitted scorecard model."""
+    tv, _ = _model_frames(spark, sf_dir)
+    model = MO.fit_plain(tv, TARGET, kind="logistic")
+    apps = FX.applications(spark, sf_dir).select(*_APP_COLS)
+    scored_df = model.transform(apps)
+    return scored_df.select("application_id", r6(MO.PROB_COL).alias("default_probability"),
+                            SC.probability_to_score(F.col(MO.PROB_COL)).alias("risk_score"),
+                            SC.probability_to_decision(F.col(MO.PROB_COL)).alias("decision"),
+                            SC.decision_confidence(F.col(MO.PROB_COL)).alias("confidence"))
+
+
+register("m8_batch_scoring_scorecard")(q_batch_scoring)
+
+
+def q_latest_versions(spark, sf_dir):
+    """Registry rows derived from the log (version, first/last use); newest per role."""
+    log = _log(spark, sf_dir)
+    reg = (log.groupBy("model_version").agg(F.min("timestamp").alias("created_at"),
+                                            F.max("timestamp").alias("last_used"),
+                                            F.count(F.lit(1)).alias("n_predictions"))
+           .withColumn("role", F.when(F.col("model_version").startswith("v_"), "champion").otherwise("other"))
+           .withColumnRenamed("model_version", "version"))
+    return MO.latest_models(reg, "role", "created_at", None, "version")
+
+
+register("w7_latest_model_version", _oracle(["prediction_log"], [
+    "rg AS (SELECT model_version AS version, min(timestamp) AS created_at, max(timestamp) AS last_used, "
+    "count(*) AS n_predictions, CASE WHEN starts_with(model_version, 'v_') THEN 'champion' ELSE 'other' END AS role "
+    "FROM prediction_log GROUP BY model_version)"],
+    "SELECT version, created_at, last_used, n_predictions, role FROM rg "
+    "QUALIFY row_number() OVER (PARTITION BY role ORDER BY created_at DESC, version DESC) = 1"))(q_latest_versions)
