@@ -928,3 +928,38 @@ register("w7_latest_model_version", _oracle(["prediction_log"], [
     "FROM prediction_log GROUP BY model_version)"],
     "SELECT version, created_at, last_used, n_predictions, role FROM rg "
     "QUALIFY row_number() OVER (PARTITION BY role ORDER BY created_at DESC, version DESC) = 1"))(q_latest_versions)
+
+
+# --- explanations ------------------------------------------------------------------------
+from .operators import explain as XP  # noqa: E402
+
+
+def q_attribution(spark, sf_dir):
+    a = XP.expert_attribution(_apps(spark, sf_dir), 5)
+    return a.select("application_id", "rank", "feature", r6("impact").alias("impact"), "direction",
+                    r6("base_value").alias("base_value"))
+
+
+register("x1_w5_o3_top5_attribution", _oracle(["applications"], XP.sql_attribution("applications", 5),
+         "SELECT application_id, rank, feature, round(impact, 6) AS impact, direction, "
+         "round(base_value, 6) AS base_value FROM attr"))(q_attribution)
+
+
+def q_counterfactual(spark, sf_dir):
+    return XP.counterfactual(_apps(spark, sf_dir))
+
+
+register("x3_counterfactual", _oracle(["applications"], XP.sql_counterfactual("applications"),
+         "SELECT * FROM cf_out"))(q_counterfactual)
+
+
+def q_explanation_table(spark, sf_dir):
+    t = XP.explanation_table(_apps(spark, sf_dir))
+    return t.select("application_id", "default_probability", "decision",
+                    F.transform("top_factors", lambda e: e["feature"]).alias("f"),
+                    "n_changes", "counterfactual_decision").select(
+        "application_id", "default_probability", "decision", F.array_join("f", ";").alias("top_factors"),
+        "n_changes", "counterfactual_decision")
+
+
+register("x4_explanation_table")(q_explanation_table)

@@ -98,18 +98,22 @@ def _grade_risk(c: Column) -> Column:
     return expr.otherwise(F.lit(0.0))
 
 
-def risk_terms() -> dict[str, Column]:
-    """The scaled drivers of the expert logit."""
+def risk_terms(get=None) -> dict[str, Column]:
+    """The scaled drivers of the expert logit (P13); ``get`` maps a name to its Column."""
+    get = get or F.col
+
     def z(col, key, sign=1.0):
         m, s = LOGIT_SCALING[key]
         return F.lit(sign) * (col - F.lit(m)) / F.lit(s)
-    col = lambda n: F.col(n).cast("double")
+
+    def col(n):
+        return get(n).cast("double")
     dti = z(col("debt_to_income"), "dti")
     util = z(col("credit_utilization_ratio"), "util")
     return {
         "dti": dti,
         "util": util,
-        "grade": _grade_risk(F.col("grade")),
+        "grade": _grade_risk(get("grade")),
         "derog": F.log1p(col("num_derog_records")),
         "inq": z(col("num_credit_inquiries"), "inq"),
         "rate": z(col("interest_rate"), "rate"),
@@ -120,35 +124,45 @@ def risk_terms() -> dict[str, Column]:
     }
 
 
-def risk_logit() -> Column:
-    terms = risk_terms()
+def risk_logit(get=None) -> Column:
+    terms = risk_terms(get)
     out = F.lit(LOGIT_INTERCEPT)
     for k, w in LOGIT_WEIGHTS.items():
         out = out + F.lit(w) * terms[k]
     return out
 
 
-def risk_probability() -> Column:
+def risk_probability(get=None) -> Column:
     """P13 re-aimed as an expert scorecard column: sigmoid of the fixed logit."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-risk_logit()))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-risk_logit(get)))
+
+
+def sql_risk_terms(sub: dict[str, str] | None = None) -> dict[str, str]:
+    """SQL twins of ``risk_terms``; ``sub`` replaces column names by expressions."""
+    sub = sub or {}
 
+    def c(n):
+        return f"({sub[n]})" if n in sub else n
 
-def sql_risk_probability() -> str:
     def z(expr, key, sign=1.0):
         m, s = LOGIT_SCALING[key]
         return f"({sign!r} * (({expr}) - {m!r}) / {s!r})"
-    grade = "CASE " + " ".join(f"WHEN grade = '{g}' THEN {v!r}" for g, v in GRADE_RISK.items()) + " ELSE 0.0 END"
-    dti = z("debt_to_income", "dti")
-    util = z("credit_utilization_ratio", "util")
-    terms = {
+    grade = "CASE " + " ".join(f"WHEN {c('grade')} = '{g}' THEN {v!r}" for g, v in GRADE_RISK.items()) + " ELSE 0.0 END"
+    dti = z(c("debt_to_income"), "dti")
+    util = z(c("credit_utilization_ratio"), "util")
+    return {
         "dti": dti, "util": util, "grade": grade,
-        "derog": "ln(1 + num_derog_records)",
-        "inq": z("num_credit_inquiries", "inq"),
-        "rate": z("interest_rate", "rate"),
-        "income": z("ln(annual_income + 1.0)", "income", -1.0),
-        "emp": z("ln(1 + employment_length_years)", "emp", -1.0),
-        "delinq": z("ln(1 + months_since_last_delinq)", "delinq", -1.0),
+        "derog": f"ln(1 + {c('num_derog_records')})",
+        "inq": z(c("num_credit_inquiries"), "inq"),
+        "rate": z(c("interest_rate"), "rate"),
+        "income": z(f"ln({c('annual_income')} + 1.0)", "income", -1.0),
+        "emp": z(f"ln(1 + {c('employment_length_years')})", "emp", -1.0),
+        "delinq": z(f"ln(1 + {c('months_since_last_delinq')})", "delinq", -1.0),
         "interaction": f"({dti} * {util} * {INTERACTION_SCALE!r})",
     }
+
+
+def sql_risk_probability(sub: dict[str, str] | None = None) -> str:
+    terms = sql_risk_terms(sub)
     logit = f"{LOGIT_INTERCEPT!r}" + "".join(f" + {w!r} * {terms[k]}" for k, w in LOGIT_WEIGHTS.items())
-    return f"1.0 / (1.0 + exp(-({logit})))"
+    return f"(1.0 / (1.0 + exp(-({logit}))))"
