@@ -963,3 +963,54 @@ def q_explanation_table(spark, sf_dir):
 
 
 register("x4_explanation_table")(q_explanation_table)
+
+
+# --- streaming (run with availableNow, sink read back) ---------------------------------
+from .streaming import streams as ST  # noqa: E402
+
+
+def q_stream_score(spark, sf_dir):
+    """Equals the batch P15 result once the stream has consumed every file."""
+    path = ST.stream_score(spark, sf_dir)
+    return spark.read.parquet(path).select("application_id", "default_probability", "risk_score", "decision",
+                                           "confidence", "model_version")
+
+
+register("t1_stream_score", ORACLE["p15_score_applications"])(q_stream_score)
+
+
+def q_stream_metrics(spark, sf_dir):
+    """Closed sliding windows; equals the batch windows ending <= max(ts) - 1 h."""
+    return spark.read.parquet(ST.stream_metrics(spark, sf_dir))
+
+
+def _sql_window_metrics() -> str:
+    return _oracle(["prediction_log"], [
+        "wl AS (SELECT l.*, date_trunc('hour', l.timestamp) - to_hours(r.k) AS ws "
+        "FROM prediction_log l, range(0, 24) r(k))",
+        f"wm AS (SELECT ws, count(*) AS n, sum(CASE WHEN decision = 'APPROVE' THEN 1 ELSE 0 END) AS n_app, "
+        "sum(CASE WHEN decision = 'REVIEW' THEN 1 ELSE 0 END) AS n_rev, "
+        "sum(CASE WHEN decision = 'DECLINE' THEN 1 ELSE 0 END) AS n_dec, avg(default_prob) AS avg_p, "
+        f"avg({SC.sql_score('default_prob')}) AS avg_s, avg(latency_ms) AS avg_l FROM wl GROUP BY ws)"],
+        "SELECT ws AS window_start, ws + INTERVAL 24 HOUR AS window_end, n, "
+        "round(n_app / n, 4) AS approval_rate, round(n_rev / n, 4) AS review_rate, round(n_dec / n, 4) AS decline_rate, "
+        "round(avg_p, 4) AS avg_default_probability, round(avg_s, 1) AS avg_risk_score, round(avg_l, 2) AS avg_latency_ms "
+        f"FROM wm WHERE ws + INTERVAL 24 HOUR <= {_ASOF} - INTERVAL 1 HOUR")
+
+
+register("t2_stream_window_metrics", _sql_window_metrics())(q_stream_metrics)
+
+
+def q_stream_drift(spark, sf_dir):
+    """Drift report written by foreachBatch (168 h current window vs the older log)."""
+    rep = spark.read.parquet(ST.stream_drift(spark, sf_dir))
+    return rep.select("feature", r6("psi").alias("psi"), "status", "n_reference", "n_current")
+
+
+_LOG_SPLIT = [
+    "lg AS (SELECT id, timestamp, CAST(json_extract(features_json, '$.k') AS BIGINT) AS k FROM prediction_log "
+    "WHERE json_valid(features_json))",
+    f"lref AS (SELECT k FROM lg WHERE timestamp < {_ASOF} - INTERVAL 168 HOUR)",
+    f"lcur AS (SELECT k FROM lg WHERE timestamp >= {_ASOF} - INTERVAL 168 HOUR)"]
+register("t3_stream_drift", _oracle(["prediction_log"], _LOG_SPLIT + DR.sql_drift_report("lref", "lcur", ["k"], []),
+         "SELECT feature, round(psi, 6) AS psi, status, n_reference, n_current FROM drift_rep"))(q_stream_drift)

@@ -178,6 +178,17 @@ def sql_drift_report(ref: str, cur: str, numeric_cols, categorical_cols, n_bins:
                 "THEN len(list_filter(e.edges[2:len(e.edges)-1], lambda x: x <= l.value)) END")
     psi = (f"(CASE WHEN a = 0 THEN {eps} ELSE a END - CASE WHEN e = 0 THEN {eps} ELSE e END) * "
            f"ln(CASE WHEN a = 0 THEN {eps} ELSE a END / CASE WHEN e = 0 THEN {eps} ELSE e END)")
+    if categorical_cols:
+        cat_ctes = [
+            f"dr_cr AS (SELECT feature, category, count(*) AS n FROM ({longc(ref)}) GROUP BY ALL)",
+            f"dr_cc AS (SELECT feature, category, count(*) AS n FROM ({longc(cur)}) GROUP BY ALL)",
+            "dr_cj AS (SELECT coalesce(r.feature, c.feature) AS feature, coalesce(r.n, 0) AS n_ref, "
+            "coalesce(c.n, 0) AS n_cur FROM dr_cr r FULL OUTER JOIN dr_cc c ON r.feature = c.feature AND r.category = c.category)",
+            f"dr_cat AS (SELECT feature, sum({psi}) AS psi FROM (SELECT feature, n_ref / sum(n_ref) OVER (PARTITION BY feature) AS e, "
+            "n_cur / sum(n_cur) OVER (PARTITION BY feature) AS a FROM dr_cj) GROUP BY feature)",
+        ]
+    else:
+        cat_ctes = ["dr_cat AS (SELECT CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS psi WHERE false)"]
     return [
         f"dr_lr AS ({longv(ref)})", f"dr_lc AS ({longv(cur)})",
         f"dr_e AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{probs}]))) AS edges "
@@ -194,12 +205,7 @@ def sql_drift_report(ref: str, cur: str, numeric_cols, categorical_cols, n_bins:
         "sum(n_cur) OVER (PARTITION BY feature) AS t_cur FROM dr_j)",
         f"dr_num AS (SELECT feature, CASE WHEN min(t_ref) > 0 AND min(t_cur) > 0 THEN coalesce(sum({psi}) "
         "FILTER (WHERE bin IS NOT NULL), 0) ELSE 0 END AS psi FROM dr_s GROUP BY feature)",
-        f"dr_cr AS (SELECT feature, category, count(*) AS n FROM ({longc(ref)}) GROUP BY ALL)",
-        f"dr_cc AS (SELECT feature, category, count(*) AS n FROM ({longc(cur)}) GROUP BY ALL)",
-        "dr_cj AS (SELECT coalesce(r.feature, c.feature) AS feature, coalesce(r.n, 0) AS n_ref, "
-        "coalesce(c.n, 0) AS n_cur FROM dr_cr r FULL OUTER JOIN dr_cc c ON r.feature = c.feature AND r.category = c.category)",
-        f"dr_cat AS (SELECT feature, sum({psi}) AS psi FROM (SELECT feature, n_ref / sum(n_ref) OVER (PARTITION BY feature) AS e, "
-        "n_cur / sum(n_cur) OVER (PARTITION BY feature) AS a FROM dr_cj) GROUP BY feature)",
+        *cat_ctes,
         f"drift_rep AS (SELECT feature, psi, {sql_psi_status('psi')} AS status, "
         f"(SELECT count(*) FROM {ref}) AS n_reference, (SELECT count(*) FROM {cur}) AS n_current "
         "FROM (SELECT * FROM dr_num UNION ALL SELECT * FROM dr_cat))",

@@ -60,7 +60,7 @@ def read_log_features(log: DataFrame, feature_schema: T.StructType, hours: int =
     schema = T.StructType(list(feature_schema.fields) + [T.StructField(corrupt, T.StringType())])
     parsed = F.from_json("features_json", schema, {"mode": "PERMISSIVE",
                                                   "columnNameOfCorruptRecord": corrupt})
-    w = recent(log, hours, as_of)
+    w = with_window_flags(log, {"_in": hours}, as_of).where("_in")  # no sort needed here
     out = w.select(*keep, parsed.alias("f")).where(F.col(f"f.{corrupt}").isNull())
     return out.select(*keep, *[F.col(f"f.{f.name}").alias(f.name) for f in feature_schema.fields])
 
