@@ -1014,3 +1014,11 @@ _LOG_SPLIT = [
     f"lcur AS (SELECT k FROM lg WHERE timestamp >= {_ASOF} - INTERVAL 168 HOUR)"]
 register("t3_stream_drift", _oracle(["prediction_log"], _LOG_SPLIT + DR.sql_drift_report("lref", "lcur", ["k"], []),
          "SELECT feature, round(psi, 6) AS psi, status, n_reference, n_current FROM drift_rep"))(q_stream_drift)
+
+
+def q_local_surrogate(spark, sf_dir):
+    """500 perturbed samples per application, ridge weights, top 8."""
+    return XP.local_surrogate(_apps(spark, sf_dir), n_samples=500, top_n=8)
+
+
+register("x2_local_surrogate_top8")(q_local_surrogate)

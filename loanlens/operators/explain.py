@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .. import schema as S
 from ..functions import rules
@@ -224,3 +227,74 @@ def sql_counterfactual(src: str, max_changes: int = 4, target: str = "APPROVE",
                 f"{dec('p_cur')} AS counterfactual_decision, coalesce({dec('p_cur')} = '{target}', false) AS achievable "
                 f"FROM {prev})")
     return ctes
+
+
+# --- X2 local surrogate ------------------------------------------------------------------------
+# fixed values: the continuous drivers perturbed by the surrogate
+SURROGATE_FEATURES = ["debt_to_income", "credit_utilization_ratio", "interest_rate", "num_derog_records",
+                      "num_credit_inquiries", "annual_income", "employment_length_years",
+                      "months_since_last_delinq"]
+
+
+def _gaussian(id_col: str, s: Column, j: int, seed: int) -> Column:
+    """Standard normal from two hashed uniforms (Box-Muller); reproducible per (row, sample, feature)."""
+    def uni(tag):
+        h = F.pmod(F.xxhash64(F.col(id_col), s, F.lit(j), F.lit(seed), F.lit(tag)), F.lit(1 << 52))
+        return (h.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+    return F.sqrt(F.lit(-2.0) * F.ln(uni(1))) * F.cos(F.lit(2 * 3.141592653589793) * uni(2))
+
+
+def local_surrogate(df: DataFrame, scorer: Scorer = expert_scorer, features=None, n_samples: int = 500,
+                    top_n: int = 8, alpha: float = 1.0, seed: int = S.SEED, id_col: str = S.ID_COL) -> DataFrame:
+    """Distance-weighted ridge fit of the score around each application, top ``top_n`` weights.
+
+    Samples are generated inside the task that holds the row (explode of a
+    fixed-length sequence), scored in the same projection, and reduced to the
+    weighted normal equations with a partial aggregate, so only one row per
+    application crosses the shuffle. The (k+1)x(k+1) systems are solved in
+    Arrow batches by a pandas UDF.
+    """
+    feats = list(features or SURROGATE_FEATURES)
+    k = len(feats)
+    width = 0.75 * (k ** 0.5)
+    stats = df.agg(*[F.avg(F.col(f).cast("double")).alias(f"mu_{f}") for f in feats],
+                   *[F.stddev_pop(F.col(f).cast("double")).alias(f"sd_{f}") for f in feats])
+    base = df.join(F.broadcast(stats))  # one-row frame
+    ex = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("_s"))
+    z = {f: F.when(F.col("_s") == 0, F.lit(0.0)).otherwise(_gaussian(id_col, F.col("_s"), j, seed))
+         for j, f in enumerate(feats)}
+    sd = {f: F.when(F.col(f"sd_{f}") > 0, F.col(f"sd_{f}")).otherwise(F.lit(1.0)) for f in feats}
+    x_new = {f: F.coalesce(F.col(f).cast("double"), F.col(f"mu_{f}")) + z[f] * sd[f] for f in feats}
+    samples = ex.select(id_col, *[z[f].alias(f"z_{f}") for f in feats],
+                        scorer({**{c: F.col(c) for c in df.columns}, **x_new}).alias("_y"))
+    d2 = None
+    for f in feats:
+        t = F.col(f"z_{f}") * F.col(f"z_{f}")
+        d2 = t if d2 is None else d2 + t
+    samples = samples.withColumn("_w", F.sqrt(F.exp(-d2 / F.lit(width * width))))
+    xs = [F.lit(1.0)] + [F.col(f"z_{f}") for f in feats]
+    a_terms = [F.sum(F.col("_w") * xs[i] * xs[j]) for i in range(k + 1) for j in range(i, k + 1)]
+    b_terms = [F.sum(F.col("_w") * xs[i] * F.col("_y")) for i in range(k + 1)]
+    sums = samples.groupBy(id_col).agg(F.array(*a_terms).alias("A"), F.array(*b_terms).alias("b"))
+
+    iu = np.triu_indices(k + 1)
+
+    @pandas_udf("array<double>")
+    def solve(a: pd.Series, b: pd.Series) -> pd.Series:
+        n = len(a)
+        mats = np.zeros((n, k + 1, k + 1))
+        av = np.stack(a.to_numpy())
+        mats[:, iu[0], iu[1]] = av
+        mats[:, iu[1], iu[0]] = av
+        reg = np.eye(k + 1) * alpha
+        reg[0, 0] = 0.0  # the intercept is not penalised
+        beta = np.linalg.solve(mats + reg, np.stack(b.to_numpy())[..., None])[..., 0]
+        return pd.Series(list(beta[:, 1:]))
+
+    coefs = sums.select(id_col, solve("A", "b").alias("beta"))
+    entries = F.array(*[F.struct((-F.abs(F.col("beta")[j])).alias("k1"), F.lit(f).alias("feature"),
+                                 F.col("beta")[j].alias("weight")) for j, f in enumerate(feats)])
+    top = coefs.select(id_col, F.slice(F.array_sort(entries), 1, top_n).alias("top"))
+    out = top.select(id_col, F.posexplode("top").alias("pos", "e"))
+    return out.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
+                      round_dp(F.col("e.weight"), 4).alias("weight"))
