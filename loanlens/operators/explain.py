@@ -50,16 +50,14 @@ def attribution_arrays(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) ->
     entries = []
     for k, w in rules.LOGIT_WEIGHTS.items():
         imp = F.lit(w) * (terms[k] - F.col(f"m_{k}"))
-        entries.append(F.struct(F.abs(imp).alias("neg_abs"), F.lit(k).alias("feature"), imp.alias("impact")))
-    # sort by |impact| desc, then name: negate inside the key
-    keyed = F.transform(F.array(*entries), lambda e: F.struct(
-        (-e["neg_abs"]).alias("k1"), e["feature"].alias("feature"), e["impact"].alias("impact")))
+        # key: |impact| descending, then name; NULL impacts sort last
+        entries.append(F.struct(F.coalesce(-F.abs(imp), F.lit(float("inf"))).alias("k1"),
+                                F.lit(k).alias("feature"), imp.alias("impact")))
     base = F.lit(rules.LOGIT_INTERCEPT)
     for k, w in rules.LOGIT_WEIGHTS.items():
         base = base + F.lit(w) * F.col(f"m_{k}")
     return j.select(F.col(id_col), base.alias("base_value"),
-                    F.slice(F.array_sort(F.filter(keyed, lambda e: e["impact"].isNotNull())), 1, top_n)
-                    .alias("top"))
+                    F.slice(F.sort_array(F.array(*entries)), 1, top_n).alias("top"))
 
 
 def expert_attribution(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
@@ -67,7 +65,8 @@ def expert_attribution(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) ->
     mean: impact_k = w_k * (term_k - mean_k), so the impacts sum to logit - base_value.
     One row per application and ranked driver (rank <= top_n)."""
     ranked = attribution_arrays(df, top_n, id_col)
-    out = ranked.select(id_col, "base_value", F.posexplode("top").alias("pos", "e"))
+    out = (ranked.select(id_col, "base_value", F.posexplode("top").alias("pos", "e"))
+           .where(F.col("e.impact").isNotNull()))
     return out.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
                       F.col("e.impact").alias("impact"),
                       F.when(F.col("e.impact") > 0, "increases_risk").otherwise("decreases_risk").alias("direction"),
@@ -79,7 +78,7 @@ def linear_attribution(df: DataFrame, coefs: dict[str, float], means: dict[str,
     """X1(a) for a fitted linear scorecard: coef_j * (z_j - mean_j), ranked per row."""
     entries = [F.struct((-F.abs(F.lit(c) * (F.col(f) - F.lit(means[f])))).alias("k1"), F.lit(f).alias("feature"),
                         (F.lit(c) * (F.col(f) - F.lit(means[f]))).alias("impact")) for f, c in coefs.items()]
-    ranked = df.select(id_col, F.slice(F.array_sort(F.array(*entries)), 1, top_n).alias("top"))
+    ranked = df.select(id_col, F.slice(F.sort_array(F.array(*entries)), 1, top_n).alias("top"))
     out = ranked.select(id_col, F.posexplode("top").alias("pos", "e"))
     return out.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
                       F.col("e.impact").alias("impact"),
@@ -126,17 +125,21 @@ def counterfactual(df: DataFrame, scorer: Scorer = expert_scorer, max_changes: i
             ok = (~F.array_contains(F.col("changes"), F.lit(f))) & (delta > 0)
             cands.append(F.when(ok, F.struct(delta.alias("delta"), F.lit(-i).alias("neg_i"),
                                              F.lit(f).alias("feature"), val.alias("value"))))
-        best = F.array_max(F.filter(F.array(*cands), lambda x: x.isNotNull()))
-        state = state.withColumn("_best", best)
+        best = F.greatest(*cands)  # NULLs skipped; codegen'd (no lambda)
+        state = state.select("*", best.alias("_best"))
         go = (~F.col("done")) & F.col("_best").isNotNull() & (F.col("_best.delta") >= MIN_IMPROVEMENT)
-        upd = {f"cf_{f}": F.when(go & (F.col("_best.feature") == f), F.col("_best.value"))
-               .otherwise(F.col(f"cf_{f}")) for f in feats}
-        state = state.withColumns(upd)
-        state = state.withColumn("changes", F.when(go, F.array_append("changes", F.col("_best.feature")))
-                                 .otherwise(F.col("changes")))
-        state = state.withColumn("p_cur", F.when(go, scorer(cols_now())).otherwise(F.col("p_cur")))
-        state = state.withColumn("done", F.col("done") | ~go |
-                                 F.coalesce(decision(F.col("p_cur")) == target, F.lit(False))).drop("_best")
+        moved = [f"cf_{f}" for f in feats] + ["changes"]
+        state = state.select(
+            *[c for c in state.columns if c not in moved],
+            *[F.when(go & (F.col("_best.feature") == f), F.col("_best.value")).otherwise(F.col(f"cf_{f}"))
+              .alias(f"cf_{f}") for f in feats],
+            F.when(go, F.array_append("changes", F.col("_best.feature"))).otherwise(F.col("changes")).alias("changes"),
+            go.alias("_go"))
+        p_new = F.when(F.col("_go"), scorer(cols_now())).otherwise(F.col("p_cur"))
+        keep = [c for c in state.columns if c not in ("p_cur", "done", "_best", "_go")]
+        state = state.select(*keep, p_new.alias("p_cur"),
+                             (F.col("done") | ~F.col("_go") |
+                              F.coalesce(decision(p_new) == target, F.lit(False))).alias("done"))
     return state.select(
         id_col, decision(F.col("p_start")).alias("decision"),
         F.size("changes").alias("n_changes"), F.array_join("changes", ";").alias("changed_features"),
@@ -151,9 +154,7 @@ def explanation_table(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) ->
     p = rules.risk_probability()
     dec = df.select(id_col, round_dp(p, 6).alias("default_probability"),
                     SC.probability_to_decision(p).alias("decision"))
-    att = attribution_arrays(df, top_n, id_col).select(
-        id_col, F.transform("top", lambda e: F.struct(e["feature"].alias("feature"),
-                                                      e["impact"].alias("impact"))).alias("top_factors"))
+    att = attribution_arrays(df, top_n, id_col).select(id_col, F.col("top").alias("top_factors"))
     cf = counterfactual(df, id_col=id_col).drop("decision")
     return dec.join(att, id_col, "left").join(cf, id_col, "left")
 
@@ -294,7 +295,7 @@ def local_surrogate(df: DataFrame, scorer: Scorer = expert_scorer, features=None
     coefs = sums.select(id_col, solve("A", "b").alias("beta"))
     entries = F.array(*[F.struct((-F.abs(F.col("beta")[j])).alias("k1"), F.lit(f).alias("feature"),
                                  F.col("beta")[j].alias("weight")) for j, f in enumerate(feats)])
-    top = coefs.select(id_col, F.slice(F.array_sort(entries), 1, top_n).alias("top"))
+    top = coefs.select(id_col, F.slice(F.sort_array(entries), 1, top_n).alias("top"))
     out = top.select(id_col, F.posexplode("top").alias("pos", "e"))
     return out.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
                       round_dp(F.col("e.weight"), 4).alias("weight"))

@@ -157,7 +157,6 @@ class CalibratedModel:
                 cal.append(c)
         meta = {"method": self.method, "kind": self.kind, "features": self.features, "calibrators": cal,
                 "n_folds": len(self.folds), **self.meta}
-        spark = spark or self.folds[0].stages[0]._transform.__self__ and None
         from pyspark.sql import SparkSession
         s = spark or SparkSession.getActiveSession()
         s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
@@ -263,3 +262,53 @@ def latest_models(registry: DataFrame, role: str = "role", created: str = "creat
     order = [F.col(canonical).desc()] if canonical and canonical in registry.columns else []
     w = Window.partitionBy(role).orderBy(*order, F.col(created).desc(), F.col(name).desc())
     return registry.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+# --- M7 training run ---------------------------------------------------------------------------
+def train_run(df: DataFrame, label: str = S.TARGET_COL, id_col: str = S.ID_COL, n_trials: int = 0,
+              champion_kind: str = "champion", challenger_kind: str | None = "challenger",
+              method: str = "sigmoid", cv: int = S.CV_FOLDS, iv_threshold: float = S.IV_THRESHOLD,
+              params: dict | None = None, model_dir: str | None = None, parallelism: int = 2) -> dict:
+    """split -> class weight -> IV selection -> (search) -> fit on train+val -> test report
+    -> challenger -> comparison -> save. Returns DataFrames and the fitted models."""
+    from ..operators import woe as W
+    from ..functions import rules
+    split = cut_lineage(prepare.stratified_split(df, label, id_col))
+    train = split.where(F.col("split") == "train")
+    val = split.where(F.col("split") == "val")
+    trainval = prepare.train_val(split)
+    test = split.where(F.col("split") == "test")
+    bal = prepare.class_balance(train, label).first()
+    ratio = float(bal["class_weight_ratio"])
+    derived = rules.add_derived_features(train)
+    num = [c for c in S.NUMERIC_FEATURES + S.DERIVED_FEATURES if c in derived.columns]
+    cat = [c for c in S.CATEGORICAL_FEATURES if c in derived.columns]
+    iv = W.woe_table_df(derived, label, num, cat)
+    iv_tbl = W.iv_table(iv)
+    selected = [r["feature"] for r in W.select_features_by_iv(iv_tbl, iv_threshold).collect()]
+    best_params, best_auc = params, None
+    if n_trials:
+        best_params, best_auc, _ = random_search(train, val, label, selected, n_trials, ratio, cv, method,
+                                                 parallelism)
+    champ = fit_calibrated(trainval, label, selected, champion_kind, best_params, method, cv, ratio, id_col,
+                           parallelism)
+    champ_scored = champ.transform(test)
+    champ_train = champ.transform(trainval)
+    report = EV.evaluation_report(champ_scored, label, PROB_COL, champ_train, PROB_COL)
+    out = {"split": split, "iv_table": iv_tbl, "selected_features": selected, "class_weight_ratio": ratio,
+           "champion": champ, "champion_report": report, "best_params": best_params, "best_val_auc": best_auc}
+    if challenger_kind:
+        chall = fit_calibrated(trainval, label, selected, challenger_kind, None, method, cv, 1.0, id_col,
+                               parallelism)
+        chall_report = EV.evaluation_report(chall.transform(test), label, PROB_COL, champ_train, PROB_COL)
+        both = (champ_scored.select(id_col, label, F.col(PROB_COL).alias("champion_prob"))
+                .join(chall.transform(test).select(id_col, F.col(PROB_COL).alias("challenger_prob")), id_col))
+        out.update({"challenger": chall, "challenger_report": chall_report,
+                    "comparison": EV.champion_vs_challenger(both, label, "champion_prob", "challenger_prob")})
+    if model_dir:
+        champ.meta.update({"selected_features": selected, "class_weight_ratio": ratio, "role": "champion"})
+        champ.save(f"{model_dir}/champion")
+        if challenger_kind:
+            out["challenger"].meta.update({"role": "challenger"})
+            out["challenger"].save(f"{model_dir}/challenger")
+    return out
