@@ -21,6 +21,7 @@ from .. import schema as S
 from ..functions import rules
 from ..functions import scorecard as SC
 from ..functions.numeric import round_dp
+from ..session import cut_lineage
 
 # --- fixed values: counterfactual levers (feature, direction) ---------------------------
 MUTABLE_FEATURES = [
@@ -88,13 +89,17 @@ def linear_attribution(df: DataFrame, coefs: dict[str, float], means: dict[str,
 # --- X3 counterfactual ------------------------------------------------------------------------
 def counterfactual(df: DataFrame, scorer: Scorer = expert_scorer, max_changes: int = 4,
                    target: str = "APPROVE", id_col: str = S.ID_COL,
-                   threshold_approve: float = S.PROB_APPROVE, threshold_decline: float = S.PROB_DECLINE) -> DataFrame:
+                   threshold_approve: float = S.PROB_APPROVE, threshold_decline: float = S.PROB_DECLINE,
+                   materialize: bool = True) -> DataFrame:
     """Greedy recourse: up to ``max_changes`` rounds, each trying every unchanged lever.
 
     Each round is one projection: the ten candidate probabilities are columns,
     the best is the max of (delta, -lever index) structs (largest drop, first
     lever on ties). Rows already at the target, or whose best drop is below
     0.001, keep their values.
+
+    The result is checkpointed (``materialize``): a filter pushed through the
+    rounds would inline every earlier round into its condition.
     """
     feats = [f for f, _ in MUTABLE_FEATURES]
     cur = {f: F.col(f).cast("double") for f in feats}
@@ -140,12 +145,14 @@ def counterfactual(df: DataFrame, scorer: Scorer = expert_scorer, max_changes: i
         state = state.select(*keep, p_new.alias("p_cur"),
                              (F.col("done") | ~F.col("_go") |
                               F.coalesce(decision(p_new) == target, F.lit(False))).alias("done"))
-    return state.select(
-        id_col, decision(F.col("p_start")).alias("decision"),
+    out = state.select(
+        id_col, round_dp(F.col("p_start"), 4).alias("start_probability"),
+        decision(F.col("p_start")).alias("decision"),
         F.size("changes").alias("n_changes"), F.array_join("changes", ";").alias("changed_features"),
         round_dp(F.col("p_cur"), 4).alias("counterfactual_probability"),
         decision(F.col("p_cur")).alias("counterfactual_decision"),
         (F.coalesce(decision(F.col("p_cur")) == target, F.lit(False))).alias("achievable"))
+    return cut_lineage(out) if materialize else out
 
 
 # --- X4 -----------------------------------------------------------------------------------------
@@ -222,7 +229,8 @@ def sql_counterfactual(src: str, max_changes: int = 4, target: str = "APPROVE",
                     f"done OR NOT go OR coalesce({dec(f'(CASE WHEN go THEN {pn} ELSE p_cur END)')} = '{target}', false) AS done "
                     f"FROM cf{r}c)")
         prev = f"cf{r}"
-    ctes.append(f"cf_out AS (SELECT {id_col}, {dec('p_start')} AS decision, CAST(len(changes) AS INTEGER) AS n_changes, "
+    ctes.append(f"cf_out AS (SELECT {id_col}, round(p_start * 10000.0) / 10000.0 AS start_probability, "
+                f"{dec('p_start')} AS decision, CAST(len(changes) AS INTEGER) AS n_changes, "
                 "array_to_string(changes, ';') AS changed_features, "
                 "round(p_cur * 10000.0) / 10000.0 AS counterfactual_probability, "
                 f"{dec('p_cur')} AS counterfactual_decision, coalesce({dec('p_cur')} = '{target}', false) AS achievable "

@@ -21,10 +21,9 @@ def test_attribution_additive(spark, sf_dir):
 
 def test_counterfactual_never_raises_probability(spark, sf_dir):
     apps = FX.applications(spark, sf_dir)
-    cf = XP.counterfactual(apps)
-    p0 = apps.select("application_id", F.round(rules.risk_probability(), 4).alias("p0"))
-    rows = cf.join(p0, "application_id").where(F.col("counterfactual_probability").isNotNull()).collect()
-    assert all(r.counterfactual_probability <= r.p0 + 1e-4 for r in rows)
+    rows = XP.counterfactual(apps).where(F.col("counterfactual_probability").isNotNull()).collect()
+    assert rows
+    assert all(r.counterfactual_probability <= r.start_probability for r in rows)
     assert all(r.n_changes == 0 for r in rows if r.decision == "APPROVE")
     assert all(r.n_changes <= 4 for r in rows)
 
