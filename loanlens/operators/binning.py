@@ -64,17 +64,16 @@ def collect_edges(edges_df: DataFrame) -> dict[str, list[float]]:
 def bin_index(value: Column, edges: list[float]) -> Column:
     """Number of interior edges <= value: bins ``[lo, hi)``, outer bins open; NULL stays NULL.
 
-    A sum of comparisons against literals: pure codegen arithmetic, no lookup.
+    Edges are strictly increasing, so the count is the position of the first
+    interior edge above the value: one CASE chain against literals (codegen'd,
+    stops at the first hit).
     """
     interior = edges[1:-1]
     v = value.cast("double")
-    if not interior:
-        return F.when(v.isNull(), F.lit(None).cast("int")).otherwise(F.lit(0))
-    idx = None
-    for e in interior:
-        term = F.when(v >= F.lit(float(e)), 1).otherwise(0)
-        idx = term if idx is None else idx + term
-    return F.when(v.isNull(), F.lit(None).cast("int")).otherwise(idx)
+    out = F.when(v.isNull(), F.lit(None).cast("int"))
+    for i, e in enumerate(interior):
+        out = out.when(v < F.lit(float(e)), F.lit(i))
+    return out.otherwise(F.lit(len(interior)))
 
 
 def sql_bin_index(value: str, edges_expr: str) -> str:

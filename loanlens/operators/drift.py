@@ -61,10 +61,11 @@ def hist_bin(v: Column, edges: list[float]) -> Column:
     """Histogram bin: ``[e_i, e_i+1)``, last bin closed, NULL outside or for < 2 edges."""
     if len(edges) < 2:
         return F.lit(None).cast("int")
-    idx = F.lit(0)
-    for e in edges[1:-1]:
-        idx = idx + F.when(v >= F.lit(float(e)), 1).otherwise(0)
-    return F.when((v >= F.lit(float(edges[0]))) & (v <= F.lit(float(edges[-1]))), idx)
+    inside = (v >= F.lit(float(edges[0]))) & (v <= F.lit(float(edges[-1])))
+    out = F.when(~inside | v.isNull(), F.lit(None).cast("int"))
+    for i, e in enumerate(edges[1:-1]):
+        out = out.when(v < F.lit(float(e)), F.lit(i))
+    return out.otherwise(F.lit(len(edges) - 2))
 
 
 def _binned_counts(df: DataFrame, cols: list[str], edges: dict[str, list[float]]) -> DataFrame:

@@ -87,13 +87,12 @@ def prob_bin(p: Column, edges=PROB_EDGES_10, last_closed: bool = True) -> Column
     ``last_closed`` puts p == 1.0 in the last bin (histogram rule); without
     it p == 1.0 falls in no bin (calibration rule).
     """
-    idx = None
-    for e in edges[1:-1]:
-        t = F.when(p >= F.lit(e), 1).otherwise(0)
-        idx = t if idx is None else idx + t
     lo, hi = edges[0], edges[-1]
     inside = (p >= lo) & ((p <= hi) if last_closed else (p < hi))
-    return F.when(inside, idx)
+    out = F.when(~inside | p.isNull(), F.lit(None).cast("int"))
+    for i, e in enumerate(edges[1:-1]):
+        out = out.when(p < F.lit(e), F.lit(i))
+    return out.otherwise(F.lit(len(edges) - 2))
 
 
 def calibration_curve(df: DataFrame, label: str, prob: str, n_bins: int = 10) -> DataFrame:
