@@ -55,6 +55,7 @@ def _oracle(views, ctes: list[str], final: str) -> str:
 
 # --- A6 / flagship: IV table over the application fixture ----------------------
 def q_iv_table(spark, sf_dir):
+    """Edges pass (collected, bounded) + one lazy long-format aggregate -> IV table."""
     df = _derived_apps(spark, sf_dir)
     tbl = woe.woe_table_df(df, TARGET, WOE_NUMERIC, WOE_CATEGORICAL)
     return woe.iv_table(tbl)

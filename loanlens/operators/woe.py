@@ -21,8 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import round_dp
 from .. import schema as S
+from ..functions.numeric import round_dp
+from ..session import persisted
 from ..functions.scorecard import iv_strength, sql_iv_strength
 from . import binning
 
@@ -208,8 +209,15 @@ def woe_from_counts(counts: DataFrame, edges_df: DataFrame | None,
 def fit_woe(df: DataFrame, target: str = S.TARGET_COL, numeric_cols=None, categorical_cols=None,
             exclude=(S.ID_COL,), smoothing: float = S.WOE_SMOOTHING,
             max_bins: int = S.WOE_MAX_BINS, min_bin_pct: float = S.WOE_MIN_BIN_PCT,
-            quantiles: str = "exact") -> WoeModel:
+            quantiles: str = "exact", persist=False) -> WoeModel:
     """Fit WoE bins for every feature: two passes over the data in total."""
+    with persisted(df, persist):
+        return _fit_woe(df, target, numeric_cols, categorical_cols, exclude, smoothing, max_bins,
+                        min_bin_pct, quantiles)
+
+
+def _fit_woe(df, target, numeric_cols, categorical_cols, exclude, smoothing, max_bins, min_bin_pct,
+             quantiles) -> WoeModel:
     numeric_cols, categorical_cols = _feature_lists(df, target, numeric_cols, categorical_cols, exclude)
     n_bins = binning.n_quantile_bins(max_bins, min_bin_pct)
     spark = df.sparkSession

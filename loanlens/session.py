@@ -75,3 +75,35 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def expensive_to_recompute(df) -> bool:
+    """True when the optimized plan has a join or an aggregate (re-reading a plain scan is cheap)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "Join " in plan or "Aggregate " in plan
+
+
+class persisted:
+    """Context manager for multi-pass fits (like MLlib's handlePersistence).
+
+    ``mode="auto"`` persists (MEMORY_AND_DISK) only inputs that are expensive
+    to recompute and not already cached; the cache is released on exit.
+    """
+
+    def __init__(self, df, mode: str = "auto"):
+        self.df, self.mode, self.did = df, mode, False
+
+    def __enter__(self):
+        from pyspark import StorageLevel
+        cached = self.df.storageLevel != StorageLevel(False, False, False, False, 1)
+        want = self.mode is True or self.mode == "always" or (
+            self.mode == "auto" and expensive_to_recompute(self.df))
+        if want and not cached:
+            self.df.persist(StorageLevel.MEMORY_AND_DISK)
+            self.did = True
+        return self.df
+
+    def __exit__(self, *exc):
+        if self.did:
+            self.df.unpersist()
+        return False
