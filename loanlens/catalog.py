@@ -1023,3 +1023,20 @@ def q_local_surrogate(spark, sf_dir):
 
 
 register("x2_local_surrogate_top8")(q_local_surrogate)
+
+
+def q_tree_attribution(spark, sf_dir):
+    """X1(b) + W5 + O3: path attribution of the champion booster (fixed defaults, class weight)
+    for every application; top 5 per application; additive to the margin."""
+    from .plans.stages import DerivedFeatureAdder
+    tv, _ = _model_frames(spark, sf_dir)
+    bal = PR.class_balance(tv, TARGET).first()
+    model = MO.fit_plain(tv, TARGET, kind="champion", class_weight_ratio=bal["class_weight_ratio"])
+    pm = model.folds[0]
+    feats = pm.transform(DerivedFeatureAdder().transform(FX.applications(spark, sf_dir)))
+    att = XP.tree_attribution(feats, pm.stages[-1], "features0", MO.MODEL_FEATURES, top_n=5)
+    return att.select("application_id", "rank", "feature", r6("impact").alias("impact"), "direction",
+                      r6("base_value").alias("base_value"), r6("margin").alias("margin"))
+
+
+register("x1b_tree_attribution_top5")(q_tree_attribution)

@@ -307,3 +307,91 @@ def local_surrogate(df: DataFrame, scorer: Scorer = expert_scorer, features=None
     out = top.select(id_col, F.posexplode("top").alias("pos", "e"))
     return out.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
                       round_dp(F.col("e.weight"), 4).alias("weight"))
+
+
+# --- X1(b) tree-ensemble attribution -------------------------------------------------------------
+def tree_tables(gbt_model, spark) -> dict:
+    """Node arrays of a fitted MLlib tree ensemble, read from its saved model data.
+
+    Bounded by the model (trees x nodes), never by the data; saved under the
+    shared checkpoint folder so every executor can be handed the same arrays.
+    """
+    import uuid
+
+    from ..session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/attr-{uuid.uuid4().hex[:12]}"
+    gbt_model.write().overwrite().save(path)
+    rows = (spark.read.parquet(f"{path}/data")
+            .select("treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("pred"),
+                    F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+                    F.col("nodeData.split.featureIndex").alias("feat"),
+                    F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("thr")).collect())
+    weights = [float(r[2]) for r in spark.read.parquet(f"{path}/treesMetadata").orderBy("_1").collect()]
+    n_trees = len(weights)
+    n_nodes = max(r["id"] for r in rows) + 1
+    pred = np.zeros((n_trees, n_nodes))
+    left = -np.ones((n_trees, n_nodes), dtype=np.int64)
+    right = -np.ones((n_trees, n_nodes), dtype=np.int64)
+    feat = np.zeros((n_trees, n_nodes), dtype=np.int64)
+    thr = np.zeros((n_trees, n_nodes))
+    for r in rows:
+        t, i = r["treeID"], r["id"]
+        pred[t, i] = r["pred"]
+        left[t, i], right[t, i] = r["left"], r["right"]
+        if r["left"] >= 0:
+            feat[t, i], thr[t, i] = r["feat"], r["thr"]
+    return {"pred": pred, "left": left, "right": right, "feat": feat, "thr": thr,
+            "weights": np.array(weights)}
+
+
+def tree_attribution(df: DataFrame, gbt_model, features_col: str, feature_names: list[str],
+                     top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
+    """Path attribution on the ensemble margin: each split on a row's path credits its
+    feature with the change of node value (times the tree weight). Additive:
+    base_value + sum of impacts = margin (= rawPrediction[1]).
+
+    The node arrays are broadcast (model-sized); rows are processed in Arrow
+    batches by ``mapInPandas``, all trees walked level by level with numpy.
+    """
+    from pyspark.ml.functions import vector_to_array
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast(tree_tables(gbt_model, spark))
+    k = len(feature_names)
+
+    def attribute(batches):
+        t = bc.value
+        pred, left, right, feat, thr, w = (t["pred"], t["left"], t["right"], t["feat"], t["thr"],
+                                           t["weights"])
+        base = float((w * pred[:, 0]).sum())
+        for pdf in batches:
+            x = np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, k))
+            n = x.shape[0]
+            rows = np.arange(n)
+            contrib = np.zeros((n, k))
+            margin = np.zeros(n)
+            for ti in range(pred.shape[0]):
+                node = np.zeros(n, dtype=np.int64)
+                while True:
+                    internal = left[ti, node] >= 0
+                    if not internal.any():
+                        break
+                    f = feat[ti, node]
+                    go_left = x[rows, f] <= thr[ti, node]
+                    child = np.where(internal, np.where(go_left, left[ti, node], right[ti, node]), node)
+                    delta = (pred[ti, child] - pred[ti, node]) * w[ti]
+                    np.add.at(contrib, (rows[internal], f[internal]), delta[internal])
+                    node = child
+                margin += w[ti] * pred[ti, node]
+            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "base_value": np.full(n, base),
+                                "margin": margin, "impacts": list(contrib)})
+
+    x = df.select(id_col, vector_to_array(features_col).alias("x"))
+    out = x.mapInPandas(attribute, f"{id_col} string, base_value double, margin double, impacts array<double>")
+    entries = F.array(*[F.struct((-F.abs(F.col("impacts")[j])).alias("k1"), F.lit(n).alias("feature"),
+                                 F.col("impacts")[j].alias("impact")) for j, n in enumerate(feature_names)])
+    ranked = out.select(id_col, "base_value", "margin", F.slice(F.sort_array(entries), 1, top_n).alias("top"))
+    ex = ranked.select(id_col, "base_value", "margin", F.posexplode("top").alias("pos", "e"))
+    return ex.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
+                     F.col("e.impact").alias("impact"),
+                     F.when(F.col("e.impact") > 0, "increases_risk").otherwise("decreases_risk").alias("direction"),
+                     "base_value", "margin")

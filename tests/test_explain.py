@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loanlens.functions import rules
+from loanlens.plans.stages import DerivedFeatureAdder
 from loanlens.operators import explain as XP
 from loanlens.sources import fixtures as FX
 
@@ -33,3 +34,21 @@ def test_surrogate_reproducible(spark, sf_dir):
     a = sorted(XP.local_surrogate(apps, n_samples=100).collect())
     b = sorted(XP.local_surrogate(apps, n_samples=100).collect())
     assert a == b and len(a) == 20 * 8
+
+
+def test_tree_attribution_additive(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    from loanlens.plans import models as M
+    apps = FX.applications(spark, sf_dir).withColumn("dflt", F.col("dflt").cast("double"))
+    m = M.fit_plain(apps, "dflt", kind="champion", params={"n_estimators": 5})
+    pm = m.folds[0]
+    feats = pm.transform(DerivedFeatureAdder().transform(apps))
+    att = XP.tree_attribution(feats, pm.stages[-1], "features0", M.MODEL_FEATURES, top_n=len(M.MODEL_FEATURES))
+    tot = att.groupBy("application_id").agg(F.sum("impact").alias("s"), F.first("base_value").alias("b"),
+                                            F.first("margin").alias("m"))
+    raw = feats.select("application_id", vector_to_array("raw0")[1].alias("r"))
+    rows = tot.join(raw, "application_id").collect()
+    assert rows
+    assert all(r.s + r.b == pytest.approx(r.m, abs=1e-9) for r in rows)
+    assert all(r.m == pytest.approx(r.r, abs=1e-9) for r in rows)
