@@ -136,11 +136,10 @@ def drift_report(reference: DataFrame, current: DataFrame, numeric_cols=None,
     num, cat = drift_columns(reference, current, numeric_cols, categorical_cols)
     psi = numeric_psi(reference, current, num, n_bins, epsilon).unionByName(
         categorical_psi(reference, current, cat, epsilon))
-    sizes = (reference.agg(F.count(F.lit(1)).alias("n_reference"))
-             .join(current.agg(F.count(F.lit(1)).alias("n_current"))))
-    return (psi.join(F.broadcast(sizes))  # one-row frame
-            .select("feature", "psi", psi_status(F.col("psi")).alias("status"),
-                    "n_reference", "n_current")
+    n_ref = reference.agg(F.count(F.lit(1))).scalar()
+    n_cur = current.agg(F.count(F.lit(1))).scalar()
+    return (psi.select("feature", "psi", psi_status(F.col("psi")).alias("status"),
+                       n_ref.alias("n_reference"), n_cur.alias("n_current"))
             .orderBy(F.desc("psi"), "feature"))
 
 

@@ -112,11 +112,10 @@ def calibration_curve(df: DataFrame, label: str, prob: str, n_bins: int = 10) ->
 def expected_calibration_error(df: DataFrame, label: str, prob: str, n_bins: int = 10) -> DataFrame:
     """Sum over bins of n_b / N * |acc_b - conf_b| (N counts every row)."""
     curve = calibration_curve(df, label, prob, n_bins)
-    n_all = df.agg(F.count(F.lit(1)).alias("n_all"))
+    n_all = df.agg(F.count(F.lit(1))).scalar()
     return (curve.agg(F.sum(F.col("count") * F.abs(F.col("fraction_positive") - F.col("mean_predicted")))
                       .alias("ece_num"))
-            .join(n_all)
-            .select(F.coalesce(F.col("ece_num") / F.col("n_all"), F.lit(0.0)).alias("ece")))
+            .select(F.coalesce(F.col("ece_num") / n_all, F.lit(0.0)).alias("ece")))
 
 
 def brier_score(df: DataFrame, label: str, prob: str) -> DataFrame:

@@ -46,17 +46,18 @@ def expert_scorer(cols: dict[str, Column]) -> Column:
 def attribution_arrays(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
     """(id, base_value, top: array<struct<k1, feature, impact>>) - ranked inside the row."""
     terms = rules.risk_terms()
-    means = df.agg(*[F.avg(t).alias(f"m_{k}") for k, t in terms.items()])
-    j = df.join(F.broadcast(means))  # one-row frame
+    # data means as scalar subqueries (merged into one aggregate by the optimizer)
+    mean = {k: df.agg(F.avg(t)).scalar() for k, t in terms.items()}
+    j = df
     entries = []
     for k, w in rules.LOGIT_WEIGHTS.items():
-        imp = F.lit(w) * (terms[k] - F.col(f"m_{k}"))
+        imp = F.lit(w) * (terms[k] - mean[k])
         # key: |impact| descending, then name; NULL impacts sort last
         entries.append(F.struct(F.coalesce(-F.abs(imp), F.lit(float("inf"))).alias("k1"),
                                 F.lit(k).alias("feature"), imp.alias("impact")))
     base = F.lit(rules.LOGIT_INTERCEPT)
     for k, w in rules.LOGIT_WEIGHTS.items():
-        base = base + F.lit(w) * F.col(f"m_{k}")
+        base = base + F.lit(w) * mean[k]
     return j.select(F.col(id_col), base.alias("base_value"),
                     F.slice(F.sort_array(F.array(*entries)), 1, top_n).alias("top"))
 
@@ -266,10 +267,10 @@ def local_surrogate(df: DataFrame, scorer: Scorer = expert_scorer, features=None
     feats = list(features or SURROGATE_FEATURES)
     k = len(feats)
     width = 0.75 * (k ** 0.5)
-    stats = df.agg(*[F.avg(F.col(f).cast("double")).alias(f"mu_{f}") for f in feats],
-                   *[F.stddev_pop(F.col(f).cast("double")).alias(f"sd_{f}") for f in feats])
-    base = df.join(F.broadcast(stats))  # one-row frame
-    ex = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("_s"))
+    mu = {f: df.agg(F.avg(F.col(f).cast("double"))).scalar() for f in feats}
+    sdev = {f: df.agg(F.stddev_pop(F.col(f).cast("double"))).scalar() for f in feats}
+    ex = df.select("*", *[mu[f].alias(f"mu_{f}") for f in feats], *[sdev[f].alias(f"sd_{f}") for f in feats],
+                   F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1))).alias("_s"))
     z = {f: F.when(F.col("_s") == 0, F.lit(0.0)).otherwise(_gaussian(id_col, F.col("_s"), j, seed))
          for j, f in enumerate(feats)}
     sd = {f: F.when(F.col(f"sd_{f}") > 0, F.col(f"sd_{f}")).otherwise(F.lit(1.0)) for f in feats}

@@ -1,8 +1,9 @@
 """Prediction-log reports.
 
 "Now" is a parameter (``as_of``): when it is not given, the log's own latest
-timestamp is used, computed as a one-row aggregate and joined back, so a
-re-run over the same table gives the same answer. Time predicates are written
+timestamp is used, as a scalar subquery (evaluated once, merged with other
+scalar aggregates of the same scan), so a re-run over the same table gives
+the same answer. Time predicates are written
 against the timestamp column so that they reach the Parquet scan (and the
 ``date`` partition column, when the log is partitioned by date).
 """
@@ -22,20 +23,20 @@ from .ranking import value_at_ranks
 TS = "timestamp"
 
 
-def _as_of_frame(log: DataFrame, as_of) -> DataFrame:
+def _as_of(log: DataFrame, as_of) -> Column:
+    """"Now": a literal, or the log's latest timestamp as a scalar subquery (computed once)."""
     if as_of is None:
-        return log.agg(F.max(TS).alias("as_of"))
+        return log.agg(F.max(TS)).scalar()
     if isinstance(as_of, (_dt.datetime, str)):
-        return log.sparkSession.range(1).select(F.lit(as_of).cast(log.schema[TS].dataType).alias("as_of"))
+        return F.lit(as_of).cast(log.schema[TS].dataType)
     raise TypeError("as_of must be None, a datetime or an ISO string")
 
 
 def with_window_flags(log: DataFrame, hours: dict[str, int], as_of=None) -> DataFrame:
     """Adds one boolean column per named look-back window."""
-    j = log.join(F.broadcast(_as_of_frame(log, as_of)))  # one-row frame
-    flags = {name: F.col(TS) >= F.col("as_of") - F.make_dt_interval(F.lit(0), F.lit(h))
-             for name, h in hours.items()}
-    return j.withColumns(flags)
+    now = _as_of(log, as_of)
+    return log.withColumns({name: F.col(TS) >= now - F.make_dt_interval(F.lit(0), F.lit(h))
+                            for name, h in hours.items()})
 
 
 def recent(log: DataFrame, hours: int = 24, as_of=None, limit: int | None = None) -> DataFrame:
@@ -44,7 +45,7 @@ def recent(log: DataFrame, hours: int = 24, as_of=None, limit: int | None = None
         start = F.lit(as_of).cast(log.schema[TS].dataType) - F.make_dt_interval(F.lit(0), F.lit(hours))
         out = log.where(F.col(TS) >= start)
     else:
-        out = with_window_flags(log, {"_in": hours}).where("_in").drop("_in", "as_of")
+        out = with_window_flags(log, {"_in": hours}).where("_in").drop("_in")
     out = out.orderBy(F.col(TS).desc(), F.col("id").desc())
     return out.limit(limit) if limit else out
 
