@@ -5,7 +5,9 @@ Each query applies one operator, with its production parameters, to the whole in
 
 from __future__ import annotations
 
-from . import chat, jaccard, licenses
+import public_tokenizers
+
+from . import bpe, chat, decontaminate, jaccard, licenses
 from .common import table
 
 
@@ -13,6 +15,16 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     return jaccard.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op3_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        *decontaminate.COLUMNS)
+
+
+def op6_byte_bpe(spark, sf_dir):
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN, ids=False)
+
+
 def op7_chat_prefix_target(spark, sf_dir):
     return chat.query(table(spark, sf_dir, "conversations"))
 
@@ -22,5 +34,5 @@ def op8_license_signatures(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op7_chat_prefix_target, op8_license_signatures)}
-ORACLE = {"op7_chat_prefix_target": chat.ORACLE}
+    op1_ngram_jaccard_join, op3_benchmark_decontamination, op6_byte_bpe, op7_chat_prefix_target, op8_license_signatures)}
+ORACLE = {"op3_benchmark_decontamination": decontaminate.ORACLE, "op7_chat_prefix_target": chat.ORACLE}
