@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, chat, decontaminate, jaccard, licenses
+from . import bpe, chat, decontaminate, jaccard, licenses, ppm, repeats
 from .common import table
 
 
@@ -33,6 +33,15 @@ def op8_license_signatures(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_ppm_language_model(spark, sf_dir):
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_bucket_dedup(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op3_benchmark_decontamination, op6_byte_bpe, op7_chat_prefix_target, op8_license_signatures)}
+    op1_ngram_jaccard_join, op3_benchmark_decontamination, op6_byte_bpe, op7_chat_prefix_target, op8_license_signatures,
+    op9_ppm_language_model, op10_suffix_bucket_dedup)}
 ORACLE = {"op3_benchmark_decontamination": decontaminate.ORACLE, "op7_chat_prefix_target": chat.ORACLE}
