@@ -1,14 +1,14 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
-The model is a byte-context trie of order three, trained on the training documents: counts of every
-byte after every context of up to three bytes. A byte that is new in a context escapes to the next
-shorter one; the escape's probability is that of method C (distinct bytes seen against bytes seen),
+The model is a byte-context trie of order four, trained on the training documents: counts of every
+byte after every context of up to four bytes. A byte that is new in a context escapes to the next
+shorter one; escapes are estimated by method D (half the distinct bytes seen against all bytes seen),
 and symbols of longer contexts are excluded from the shorter ones. The score of a text is the sum of
 the base-10 logarithms of its bytes' probabilities (bytes before a text's start count as zero bytes).
 
-The trie is never gathered anywhere: its nodes are partitioned by the middle two bytes of a
-four-byte string, so that a node, its shorter contexts and its children meet in one group of at most
-65,536 strings; only counts of single bytes and of byte pairs (65,536 at most) are collected.
+The trie is never gathered anywhere: its five-byte strings are partitioned by the last two bytes of
+their context, so that a node, its shorter contexts and its children meet in one group of at most
+2**24 strings, however large the corpus; only counts of byte pairs (65,536 at most) are collected.
 A plain unigram word model with add-one smoothing is scored beside it (``base_score``). Word and
 trie facts reach the documents by the ask-and-answer exchange of ``exchange.py``.
 
@@ -30,6 +30,8 @@ from . import textkit as T
 from .common import cut_lineage
 
 _U = np.uint64
+#: Longest context in bytes.
+ORDER = 4
 _END = _U(0xE7D1A2C3B4958677)
 _DENSE = 12_000_000
 
@@ -52,17 +54,16 @@ def _tokens(chunk: X.Chunk) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([*(n for _, n in got), np.zeros(0, np.int64)]))
 
 
-def _strings(chunk: X.Chunk) -> np.ndarray:
-    """Four-byte string ending at every byte (big-endian; zero bytes before a text's start)."""
-    code = chunk.data.astype(np.uint32)
+def _strings(chunk: X.Chunk, order: int = ORDER) -> np.ndarray:
+    """String of ``order + 1`` bytes ending at every byte (big-endian; zero bytes before a text's start)."""
+    code = chunk.data.astype(np.uint64)
     n = len(code)
-    size = np.diff(chunk.offs)
-    at = np.arange(n) - np.repeat(chunk.offs[:-1], size)
-    for k in (1, 2, 3):
-        shifted = np.zeros(n, np.uint32)
-        shifted[k:] = chunk.data[:-k]
+    at = np.arange(n) - np.repeat(chunk.offs[:-1], np.diff(chunk.offs))
+    for k in range(1, order + 1):
+        shifted = np.zeros(n, np.uint64)
+        shifted[k:] = chunk.data[:n - k]
         shifted[at < k] = 0
-        code |= shifted << np.uint32(8 * k)
+        code |= shifted << _U(8 * k)
     return code
 
 
@@ -76,8 +77,8 @@ def _word_parts(words: np.ndarray, parts: int):
 
 
 def _string_parts(codes: np.ndarray, parts: int):
-    """Order of distinct strings by the group of their middle bytes, and where each group begins."""
-    group = (T.mix64((codes >> np.uint32(8) & np.uint32(0xFFFF)).astype(np.uint64)) % _U(parts)).astype(np.int64)
+    """Order of distinct strings by the group of their last two context bytes, and where each group begins."""
+    group = (T.mix64(codes >> _U(8) & _U(0xFFFF)) % _U(parts)).astype(np.int64)
     order = np.argsort(group, kind="stable")
     return order, np.searchsorted(group[order], np.arange(parts + 1))
 
@@ -121,34 +122,13 @@ def _sums(keys: np.ndarray, counts: np.ndarray):
     return u, np.bincount(place, weights=counts, minlength=len(u)), place
 
 
-def log_probabilities(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """log10 P(last byte | three bytes before) for distinct four-byte strings.
+def log_probabilities(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """log10 P(last byte | ``order`` bytes before) for distinct strings of ``order + 1`` bytes.
 
-    ``codes``, ``counts``: all strings of some groups of middle bytes, with their training counts;
-    ``pairs``: training counts of (byte, next byte), 256 x 256.
+    ``codes``, ``counts``: all strings of some groups of equal last two context bytes, with their
+    training counts; ``pairs``: training counts of (byte, next byte), 256 x 256.
     """
-    ctx3, sym = codes >> np.uint32(8), (codes & np.uint32(255)).astype(np.int64)
-    c = counts.astype(np.float64)
-    # order 2: counts of (middle bytes, symbol) over all first bytes
-    mid = (ctx3 & np.uint32(0xFFFF)).astype(np.int64)
-    u2, c2, at2 = _sums(mid * 256 + sym, c)
-    m2, total2, of2 = _sums(u2 >> 8, c2)
-    kinds2 = np.bincount(of2, weights=c2 > 0, minlength=len(m2))
-    # order 3
-    u3, total3, at3 = _sums(ctx3.astype(np.int64), c)
-    kinds3 = np.bincount(at3, weights=c > 0, minlength=len(u3))
-    own2 = c2[at2]
-    gone2 = np.bincount(at3, weights=np.where(c > 0, own2, 0), minlength=len(u3))
-    m_of = of2[at2]
-    # order 1: symbols seen after the last context byte; order 0: symbols at all
-    c1 = pairs.astype(np.float64)
-    c0 = c1.sum(0)
-    last = (m2 & 255).astype(np.int64)
-    gone1 = np.bincount(of2, weights=np.where(c2 > 0, c1[last[of2], u2 & 255], 0), minlength=len(m2))
-    total1, kinds1 = c1.sum(1), (c1 > 0).sum(1).astype(np.float64)
-    gone0 = np.where(c1 > 0, c0[None, :], 0).sum(1)
-    total0, kinds0 = c0.sum(), float((c0 > 0).sum())
-
+    sym = (codes & _U(255)).astype(np.int64)
     p = np.ones(len(codes))
     done = np.zeros(len(codes), bool)
 
@@ -156,15 +136,37 @@ def log_probabilities(codes: np.ndarray, counts: np.ndarray, pairs: np.ndarray)
         """Code at one order: own count, all counts and distinct symbols that are not excluded."""
         nonlocal p
         live = ~done & (kinds > 0)
-        scale = np.where(kinds > 0, total + kinds, 1)
+        scale = np.where(live, 2 * total, 1)
         seen = live & (own > 0)
-        p = np.where(seen, p * own / scale, np.where(live, p * kinds / scale, p))
+        p = np.where(seen, p * (2 * own - 1) / scale, np.where(live, p * kinds / scale, p))
         done[seen] = True
 
-    level(c, total3[at3], kinds3[at3])
-    level(own2, total2[m_of] - gone2[at3], kinds2[m_of] - kinds3[at3])
-    low = last[m_of]
-    level(c1[low, sym], total1[low] - gone1[m_of], kinds1[low] - kinds2[m_of])
+    # contexts of order..2 bytes; what a longer context has seen is taken out of the shorter one
+    key, count, row = codes, counts.astype(np.float64), np.arange(len(codes))
+    of = kinds = None
+    for k in range(order, 1, -1):
+        upper, upper_count = of, count
+        key, count, at = _sums(key & _U((1 << 8 * (k + 1)) - 1), count)
+        row = at[row]
+        contexts, total, of_now = _sums(key >> _U(8), count)
+        kinds_now = np.bincount(of_now, weights=count > 0, minlength=len(contexts))
+        if upper is None:
+            level(count[row], total[of_now[row]], kinds_now[of_now[row]])
+        else:
+            gone = np.bincount(upper, weights=np.where(upper_count > 0, count[at], 0), minlength=len(kinds))
+            level(count[row], total[of_now[row]] - gone[longer], kinds_now[of_now[row]] - kinds[longer])
+        of, kinds, longer = of_now, kinds_now, of_now[row]
+    # one byte and no byte of context
+    c1 = pairs.astype(np.float64)
+    c0 = c1.sum(0)
+    last = (contexts & _U(255)).astype(np.int64)
+    low = last[longer]
+    gone1 = np.bincount(of, weights=np.where(count > 0, c1[last[of], (key & _U(255)).astype(np.int64)], 0),
+                        minlength=len(last))
+    total1, kinds1 = c1.sum(1), (c1 > 0).sum(1).astype(np.float64)
+    gone0 = np.where(c1 > 0, c0[None, :], 0).sum(1)
+    total0, kinds0 = c0.sum(), float((c0 > 0).sum())
+    level(c1[low, sym], total1[low] - gone1[longer], kinds1[low] - kinds[longer])
     level(c0[sym], total0 - gone0[low], kinds0 - kinds1[low])
     p[~done] /= max(256 - kinds0, 1)
     return np.log10(p)
@@ -181,9 +183,9 @@ def _facts(pairs: np.ndarray):
                 keys.append(np.frombuffer(body, np.uint64, n, 16))
                 counts.append(np.frombuffer(X.unsqueeze(body[16 + 8 * n:]), np.uint32))
             else:
-                raw = np.frombuffer(X.unsqueeze(body[16:]), np.uint32)
-                keys.append(raw[:n])
-                counts.append(raw[n:])
+                raw = X.unsqueeze(body[16:])
+                keys.append(np.frombuffer(raw, np.uint64, n))
+                counts.append(np.frombuffer(raw, np.uint32, n, 8 * n))
         u, total, place = _sums(np.concatenate(keys), np.concatenate(counts))
         cuts = np.cumsum([0, *map(len, keys)])
         if kind == 0:
@@ -199,15 +201,16 @@ def _facts(pairs: np.ndarray):
 
 def _look_up(codes: np.ndarray, u: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Value of each code among the distinct codes u, by a two-level table where that is small."""
-    high, low = codes >> np.uint32(16), codes & np.uint32(0xFFFF)
-    hs, ls = np.unique(u >> np.uint32(16)), np.unique(u & np.uint32(0xFFFF))
-    if len(hs) * len(ls) > _DENSE:
+    half = _U(8 * (ORDER + 1) // 2)
+    hs, ls = np.unique(u >> half), np.unique(u & _U((1 << int(half)) - 1))
+    if len(hs) * len(ls) > _DENSE or hs[-1] >= 1 << 20 or ls[-1] >= 1 << 20:
         return value[np.searchsorted(u, codes)]
-    rank_h, rank_l = np.zeros(65536, np.int32), np.zeros(65536, np.int32)
+    rank_h, rank_l = np.zeros(int(hs[-1]) + 1, np.int32), np.zeros(int(ls[-1]) + 1, np.int32)
     rank_h[hs], rank_l[ls] = np.arange(len(hs)), np.arange(len(ls))
+    low = _U((1 << int(half)) - 1)
     dense = np.zeros(len(hs) * len(ls), np.float32)
-    dense[rank_h[u >> np.uint32(16)].astype(np.int64) * len(ls) + rank_l[u & np.uint32(0xFFFF)]] = value
-    return dense[rank_h[high].astype(np.int64) * len(ls) + rank_l[low]]
+    dense[rank_h[u >> half].astype(np.int64) * len(ls) + rank_l[u & low]] = value
+    return dense[rank_h[codes >> half].astype(np.int64) * len(ls) + rank_l[codes & low]]
 
 
 def _per_doc(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -249,7 +252,7 @@ def _pair_counts(blobs: DataFrame, mod: int, rest: int) -> np.ndarray:
         total = np.zeros(65536, np.int64)
         for batch in batches:
             for chunk in X._rows(batch):
-                code = (_strings(chunk) & np.uint32(0xFFFF))[_of_training(chunk, held_out(chunk, mod, rest))]
+                code = (_strings(chunk, 1).astype(np.int64))[_of_training(chunk, held_out(chunk, mod, rest))]
                 total += np.bincount(code, minlength=65536)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["code", "n"])
