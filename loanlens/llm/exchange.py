@@ -24,7 +24,7 @@ from . import textkit
 from .common import cut_lineage, ship
 
 PACK_BYTES = 6 << 20
-_PACKED = "bid long, n int, size int, body binary"
+_PACKED = "bid long, n int, body binary, extra binary"
 ASK = "p int, bid long, body binary"
 
 
@@ -45,13 +45,29 @@ class Chunk:
     missing: np.ndarray  # bool, id is NULL
     data: np.ndarray     # uint8, all texts
     offs: np.ndarray     # int64, one more than documents
+    extra: pa.RecordBatch | None = None  # columns that came along
 
     def id_column(self) -> pa.Array:
         return pa.array(self.ids, pa.int64(), mask=self.missing)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents packed into compressed chunks, checkpointed. NULL texts are empty, NULL ids kept."""
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Documents packed into compressed chunks, checkpointed. NULL texts are empty, NULL ids kept.
+
+    The columns ``carry`` travel with the chunk.
+    """
+    names = [f"c{i}" for i in range(len(carry))]
+
+    def extra(batch, i, n):
+        if not carry:
+            return None
+        part = pa.RecordBatch.from_arrays([batch.column(2 + j).slice(i, n) for j in range(len(carry))],
+                                          names=list(carry))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema) as out:
+            out.write_batch(part)
+        return squeeze(sink.getvalue().to_pybytes())
+
     def run(batches):
         base, seq = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
@@ -63,26 +79,28 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 body = b"".join((ids[i:i + n].tobytes(), missing[i:i + n].tobytes(), offs.tobytes(),
                                  data.tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([base + seq]), pa.array([n], pa.int32()), pa.array([len(data)], pa.int32()),
-                     pa.array([squeeze(body)], pa.binary())], names=["bid", "n", "size", "body"])
+                    [pa.array([base + seq]), pa.array([n], pa.int32()), pa.array([squeeze(body)], pa.binary()),
+                     pa.array([extra(batch, i, n)], pa.binary())], names=["bid", "n", "body", "extra"])
                 seq += 1
     ship(docs.sparkSession)
-    return cut_lineage(docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
+    return cut_lineage(docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"),
+                                   *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)))
                        .mapInArrow(run, _PACKED))
 
 
-def _chunk(bid: int, n: int, body: bytes) -> Chunk:
+def _chunk(bid: int, n: int, body: bytes, extra: bytes | None) -> Chunk:
     raw = np.frombuffer(unsqueeze(body), np.uint8)
     at = 8 * n
     ids, missing = raw[:at].view(np.int64), raw[at:at + n].view(bool)
     at += n
     offs = np.frombuffer(raw[at:at + 8 * (n + 1)].tobytes(), np.int64)
-    return Chunk(bid, ids, missing, raw[at + 8 * (n + 1):], offs)
+    more = pa.ipc.open_stream(unsqueeze(extra)).read_next_batch() if extra else None
+    return Chunk(bid, ids, missing, raw[at + 8 * (n + 1):], offs, more)
 
 
 def _rows(batch):
-    for bid, n, body in zip(batch.column("bid"), batch.column("n"), batch.column("body"), strict=True):
-        yield _chunk(bid.as_py(), n.as_py(), body.as_py())
+    for row in zip(*(batch.column(c) for c in ("bid", "n", "body", "extra")), strict=True):
+        yield _chunk(*(x.as_py() for x in row))
 
 
 def ask(blobs: DataFrame, fn: Callable[[Chunk], list[tuple[int, bytes]]]) -> DataFrame:

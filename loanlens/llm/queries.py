@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, chat, decontaminate, jaccard, licenses, ppm, repeats
+from . import archives, bpe, chat, decontaminate, forest, jaccard, licenses, ppm, quality, repeats
 from .common import table
 
 
@@ -15,11 +15,23 @@ def op1_ngram_jaccard_join(spark, sf_dir):
     return jaccard.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op2_arc_to_warc(spark, sf_dir):
+    return archives.round_trip(table(spark, sf_dir, "pages")).select(*archives.COLUMNS)
+
+
 def op3_benchmark_decontamination(spark, sf_dir):
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         *decontaminate.COLUMNS)
 
 
+def op4_hash_prefix_forest(spark, sf_dir):
+    return forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_crf_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_byte_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                       public_tokenizers.PATTERN, ids=False)
@@ -42,6 +54,7 @@ def op10_suffix_bucket_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op3_benchmark_decontamination, op6_byte_bpe, op7_chat_prefix_target, op8_license_signatures,
+    op1_ngram_jaccard_join, op2_arc_to_warc, op3_benchmark_decontamination, op4_hash_prefix_forest, op5_crf_quality,
+    op6_byte_bpe, op7_chat_prefix_target, op8_license_signatures,
     op9_ppm_language_model, op10_suffix_bucket_dedup)}
-ORACLE = {"op3_benchmark_decontamination": decontaminate.ORACLE, "op7_chat_prefix_target": chat.ORACLE}
+ORACLE = {"op2_arc_to_warc": archives.ORACLE, "op3_benchmark_decontamination": decontaminate.ORACLE, "op7_chat_prefix_target": chat.ORACLE}

@@ -33,7 +33,7 @@ _U = np.uint64
 WIDTH = 50
 Q = 20
 _SPAN = WIDTH - Q + 1
-_PIECE = 2 << 20
+_PIECE = (1 << 20) - 64
 _POS = 24
 _K = [_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9), _U(0x27D4EB2F165667C5)]
 
@@ -221,7 +221,7 @@ def _ask_windows(parts: int):
     return fn
 
 
-def _outcome(parts: int, keep_text: bool):
+def _outcome(parts: int, keep_text: bool, keep: tuple[str, ...]):
     def fn(chunk, answers):
         runs, whole, p, bucket, ids = _judge_runs(chunk, answers, parts)
         edge = np.zeros(len(chunk.data) + 1, np.int32)
@@ -253,22 +253,25 @@ def _outcome(parts: int, keep_text: bool):
                 "kept_sha256": pa.array(out["kept_sha256"], pa.string())}
         if keep_text:
             cols["kept_text"] = pa.array(texts, pa.string())
+        cols |= {c: chunk.extra.column(c) for c in keep}
         return pa.table(cols)
     return fn
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep_text: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Remove every byte covered by a 50-byte string that also starts in a document of smaller doc_id.
 
     ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (of the remaining bytes) and, with
-    ``keep_text``, ``kept_text``: the remaining bytes without characters cut in the middle.
+    ``keep_text``, ``kept_text``: the remaining bytes without characters cut in the middle. The
+    columns ``keep`` of the documents come along.
     """
     parts = X.ranges(docs)
-    blobs = X.pack(docs)
+    blobs = X.pack(docs, carry=keep)
+    types = dict(docs.dtypes)
     one = cut_lineage(X.answer(X.ask(blobs, _ask_runs(parts)), _refine))
     # a chunk without any run asks nothing and still has to come out, hence the empty answer
     every = blobs.select(F.lit(-1).alias("p"), "bid", F.lit(b"").alias("body"))
     two = X.answer(X.meet(blobs, one, _ask_windows(parts), X.ASK), _refine)
     schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-              + (", kept_text string" if keep_text else ""))
-    return X.meet(blobs, one.union(two).union(every), _outcome(parts, keep_text), schema)
+              + (", kept_text string" if keep_text else "") + "".join(f", `{c}` {types[c]}" for c in keep))
+    return X.meet(blobs, one.union(two).union(every), _outcome(parts, keep_text, keep), schema)
