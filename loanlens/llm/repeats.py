@@ -80,7 +80,8 @@ class Runs:
                 continue
             ends = np.flatnonzero(ok & np.concatenate([cut[1:] | ~ok[1:], [True]]))
             anchor = who[starts]
-            lead.append(b[anchor])
+            # leaders are the least hashes of their windows: mixed again, they spread over the ranges
+            lead.append(T.mix64(b[anchor] ^ _K[3]))
             run.append(T.mix64(_bucket50(b, starts) * _K[0] + _bucket50(b, ends) * _K[1]
                                + (anchor - starts).astype(np.uint64) * _K[2]
                                + (ends - starts).astype(np.uint64) * _K[3]))
