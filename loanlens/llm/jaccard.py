@@ -8,8 +8,8 @@ documents) and differ in how a seeded hash arranges tokens of like frequency. A
 only if it shares a prefix token under each of them.
 
 Groups of copies never expand into all pairs. Equal sets collapse into one class first. Classes
-with equal minimum hashes are compared with one leader only, and verified links give provisional
-components; the exact pass then emits only pairs whose provisional components differ (pairs
+with equal minimum hashes are compared with one leader only (the class made of the commonest tokens),
+and verified links give provisional components; the exact pass then emits only pairs whose provisional components differ (pairs
 inside one are already connected). Nothing is capped: every pair of different components that
 passes the filters is verified by intersecting the whole sets.
 
@@ -109,28 +109,36 @@ def _frequency(bodies: list[bytes]) -> list[bytes]:
     return [X.squeeze(power[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-_PROFILE = ("doc_id long, n long, cid long, low array<long>, pre array<array<long>>")
+_PROFILE = ("doc_id long, n long, own long, common double, cid long, bits array<long>, low array<long>, pre array<array<long>>")
 
 
 def _profile(k: int, num: int, den: int, parts: int):
-    """Per document: set size, class, minimum hashes and shared prefix tokens under each order."""
+    """Per document: set size, tokens that no other document has, mean rarity, class, minimum hashes, and
+    the prefix tokens under each order that another document has too."""
     def fn(chunk, answers):
         sets = _chunk_sets(chunk, k)
         codes, _, _, _ = _codes(sets, parts)
         power = np.concatenate([*(np.frombuffer(X.unsqueeze(answers[p]), np.uint8) for p in sorted(answers)),
                                 np.zeros(0, np.uint8)])
-        n, cid, low, pre = [], [], [], []
+        n, own, common, cid, bits, low, pre = [], [], [], [], [], [], []
         for s in sets:
             m = len(s)
             n.append(m)
             if not m:
+                own.append(0)
+                common.append(0.0)
                 cid.append(0)
+                bits.append([0] * 4)
                 low.append([])
                 pre.append([[]] * ORDERS)
                 continue
             cid.append(_class_of(s))
             rarity = power[np.searchsorted(codes, s >> _U(24))]
             shared = rarity > 0
+            odd = (np.bincount((s >> _U(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+            bits.append(np.packbits(odd).view(np.int64).tolist())
+            own.append(m - int(shared.sum()))
+            common.append(float(rarity.mean()))
             keep = m - -(-num * m // den) + 1
             mins, rows = [], []
             for seed in _SEED:
@@ -145,7 +153,9 @@ def _profile(k: int, num: int, den: int, parts: int):
             low.append(mins)
             pre.append(rows)
         return pa.table({"doc_id": chunk.id_column(), "n": pa.array(n, pa.int64()),
-                         "cid": pa.array(cid, pa.int64()), "low": pa.array(low, pa.list_(pa.int64())),
+                         "own": pa.array(own, pa.int64()), "common": pa.array(common, pa.float64()),
+                         "cid": pa.array(cid, pa.int64()),
+                         "bits": pa.array(bits, pa.list_(pa.int64())), "low": pa.array(low, pa.list_(pa.int64())),
                          "pre": pa.array(pre, pa.list_(pa.list_(pa.int64())))})
     return fn
 
@@ -203,42 +213,53 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) ->
     # one class per distinct set, found again by its smallest doc_id
     filled = profile.where("n > 0")
     classes = cut_lineage(filled.groupBy("cid").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("low").alias("low"),
-        F.first("pre").alias("pre")))
+        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.min("own").alias("own"),
+        F.max("common").alias("common"), F.first("bits").alias("bits"), F.first("low").alias("low"), F.first("pre").alias("pre")))
     place = classes.select("doc_id", "cid")
 
-    def alike(n, m):
-        return (F.least(n, m) * den >= F.greatest(n, m) * num)
-
-    # 1. leaders: classes with an equal minimum hash meet one of them
-    low = classes.select("cid", "n", F.posexplode("low").alias("o", "t"))
-    lead = low.groupBy("o", "t").agg(F.min(F.struct("n", "cid")).alias("l"), F.count("*").alias("c")).where("c > 1")
-    pairs = (low.join(lead, ["o", "t"]).where(F.col("cid") != F.col("l.cid"))
-             .where(alike(F.col("n"), F.col("l.n")))
-             .select(F.least("cid", "l.cid").alias("a"), F.greatest("cid", "l.cid").alias("b")).distinct())
+    def alike(x, y):
+        """Sizes and tokens of their own allow the two sets enough in common.
+
+        Linked sets differ by at most ``(n + m) * (den - num) / (den + num)`` tokens, and by at least
+        twice the tokens that only one of them has, corrected by the difference in size. The bits are
+        the parities of the tokens in 256 hash buckets; every differing token flips one.
+        """
+        n, m, u, v = (F.col(f"{s}.{c}") for c in ("n", "own") for s in (x, y))
+        flips = sum((F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(4)), F.lit(0))
+        return ((F.least(n, m) * den >= F.greatest(n, m) * num)
+                & (F.greatest(2 * u + m - n, 2 * v + n - m) * (den + num) <= (n + m) * (den - num))
+                & (flips * (den + num) <= (n + m) * (den - num)))
+
+    # 1. leaders: classes with an equal minimum hash meet the one made of the commonest tokens,
+    #    which in a group of near copies is the text they were made from
+    low = classes.select(F.struct("cid", "n", "own", "bits", "common").alias("s"), F.posexplode("low").alias("o", "t"))
+    lead = low.groupBy("o", "t").agg(F.max_by("s", F.struct("s.common", "s.cid")).alias("l"),
+                                     F.count("*").alias("c")).where("c > 1")
+    pairs = (low.join(lead, ["o", "t"]).where(F.col("s.cid") != F.col("l.cid")).where(alike("s", "l"))
+             .select(F.least("s.cid", "l.cid").alias("a"), F.greatest("s.cid", "l.cid").alias("b")).distinct())
     links = cut_lineage(_verified(pairs, place, docs, k, num, den))
     first = cut_lineage(components(links))
 
     # 2. every pair across provisional components that shares a prefix token under each order
     labelled = cut_lineage(classes.join(first, F.col("cid") == F.col("v"), "left").select(
-        "cid", "n", "pre", F.coalesce("root", "cid").alias("root")))
+        F.struct("cid", "n", "own", "bits").alias("s"), "cid", "pre", F.coalesce("root", "cid").alias("root")))
     found = None
     for o in range(ORDERS):
         post = labelled
         if found is not None:
             ids = found.select(F.col("a").alias("cid")).union(found.select("b")).distinct()
             post = post.join(ids, "cid", "left_semi")
-        post = cut_lineage(post.select("cid", "n", "root", F.explode(F.col("pre")[o]).alias("t")))
-        mixed = post.groupBy("t").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-        roots = post.join(mixed, "t", "left_semi").select("t", "root").distinct()
-        met = (roots.alias("x").join(roots.alias("y"), F.expr("x.t = y.t and x.root < y.root"))
-               .select(F.col("x.t").alias("t"), F.col("x.root").alias("x"), F.col("y.root").alias("y")))
-        got = (met.join(post.select("t", F.col("root").alias("x"), F.col("cid").alias("a"),
-                                    F.col("n").alias("na")), ["t", "x"])
-               .join(post.select("t", F.col("root").alias("y"), F.col("cid").alias("b"),
-                                 F.col("n").alias("nb")), ["t", "y"])
-               .where(alike(F.col("na"), F.col("nb")))
-               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        post = cut_lineage(post.select("s", "root", F.explode(F.col("pre")[o]).alias("t")))
+        # of a token's documents, those outside its commonest component meet all the others; pairs are
+        # judged inside the join, so neither copies of one component nor unlike pairs are ever rows
+        mode = (post.groupBy("t", "root").count().groupBy("t")
+                .agg(F.max_by("root", F.struct("count", "root")).alias("mode"), F.count("*").alias("c"))
+                .where("c > 1").select("t", "mode"))
+        mixed = post.join(mode, "t")
+        few = mixed.where("root <> mode").select("t", F.col("s").alias("p"), F.col("root").alias("x"))
+        all_ = mixed.select("t", F.col("s").alias("q"), F.col("root").alias("y"), "mode")
+        got = (few.join(all_, "t").where("y = mode or x < y").where(alike("p", "q"))
+               .select(F.least("p.cid", "q.cid").alias("a"), F.greatest("p.cid", "q.cid").alias("b")).distinct())
         found = cut_lineage(got if found is None else got.join(found, ["a", "b"], "left_semi"))
     links = links.union(_verified(found, place, docs, k, num, den))
     roots = cut_lineage(components(links))
