@@ -158,8 +158,13 @@ def _load(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*.gz").load(path).select("content")
 
 
-def _unzip(content: bytes) -> bytes:
-    return zlib.decompress(content, 31)
+def _files(batches):
+    """Unpacked archives of a task; a partition without records leaves an empty file."""
+    for batch in batches:
+        for content in batch.column(0):
+            raw = zlib.decompress(content.as_py(), 31)
+            if raw:
+                yield raw
 
 
 def write_arc(pages: DataFrame, path: str) -> None:
@@ -193,12 +198,11 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
     ship(spark)
 
     def run(batches):
-        for batch in batches:
-            for content in batch.column(0):
-                found = [(v, u, d, page, len(p), hashlib.sha1(p).hexdigest())
-                         for v, u, _, d, _, p, page in arc_records(_unzip(content.as_py()))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
+        for raw in _files(batches):
+            found = [(v, u, d, page, len(p), hashlib.sha1(p).hexdigest())
+                     for v, u, _, d, _, p, page in arc_records(raw)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
     names = ["arc_version", "url", "date", "page_id", "n", "digest"]
     kinds = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
@@ -217,21 +221,19 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
         known = spark.sparkContext.broadcast({r.page_id: {x.digest: x.source for x in r.r} for r in revisits.collect()})
 
         def run(batches):
-            for batch in batches:
-                for content in batch.column(0):
-                    out = [warc_record(u, ip, d, http, p, page,
-                                       known.value.get(page, {}).get(hashlib.sha1(p).hexdigest()))
-                           for _, u, ip, d, http, p, page in arc_records(_unzip(content.as_py()))]
-                    yield pa.RecordBatch.from_arrays([pa.array([b"\r\n".join(out).decode()])], names=["value"])
+            for raw in _files(batches):
+                out = [warc_record(u, ip, d, http, p, page,
+                                   known.value.get(page, {}).get(hashlib.sha1(p).hexdigest()))
+                       for _, u, ip, d, http, p, page in arc_records(raw)]
+                yield pa.RecordBatch.from_arrays([pa.array([b"\r\n".join(out).decode()])], names=["value"])
         rows = _load(spark, arc).mapInArrow(run, "value string")
     else:
         # otherwise records meet their decision by page_id, and each is an archive row of its own
         def split(batches):
-            for batch in batches:
-                for content in batch.column(0):
-                    found = [(page, hashlib.sha1(p).hexdigest(), u, ip, d, http, p)
-                             for _, u, ip, d, http, p, page in arc_records(_unzip(content.as_py()))]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], names=names)
+            for raw in _files(batches):
+                found = [(page, hashlib.sha1(p).hexdigest(), u, ip, d, http, p)
+                         for _, u, ip, d, http, p, page in arc_records(raw)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], names=names)
         names = ["page_id", "digest", "url", "ip", "date", "http", "payload"]
         records = _load(spark, arc).mapInArrow(split, "page_id long, digest string, url string, ip string, "
                                                       "date string, http binary, payload binary")
@@ -258,22 +260,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     ship(spark)
 
     def run(batches):
-        for batch in batches:
-            for content in batch.column(0):
-                found = []
-                for h, block in warc_records(_unzip(content.as_py())):
-                    http, _, payload = block.partition(b"\r\n\r\n")
-                    digest = base64.b32decode(h["WARC-Payload-Digest"].removeprefix("sha1:"))
-                    size = int(re.search(rb"\r\nContent-Length: (\d+)", http)[1])
-                    if h["WARC-Type"] == "response" and (len(payload) != size
-                                                         or hashlib.sha1(payload).digest() != digest):
-                        raise ValueError("payload does not match its digest")
-                    source = h.get("X-Refers-To-Page-Id")
-                    found.append((int(re.search(rb"\r\nX-Page-Id: (-?\d+)", http)[1]), size, digest.hex(),
-                                  h["WARC-Type"], None if source is None else int(source), h["WARC-Record-ID"],
-                                  h["WARC-Date"], h["WARC-Target-URI"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
+        for raw in _files(batches):
+            found = []
+            for h, block in warc_records(raw):
+                http, _, payload = block.partition(b"\r\n\r\n")
+                digest = base64.b32decode(h["WARC-Payload-Digest"].removeprefix("sha1:"))
+                size = int(re.search(rb"\r\nContent-Length: (\d+)", http)[1])
+                if h["WARC-Type"] == "response" and (len(payload) != size
+                                                     or hashlib.sha1(payload).digest() != digest):
+                    raise ValueError("payload does not match its digest")
+                source = h.get("X-Refers-To-Page-Id")
+                found.append((int(re.search(rb"\r\nX-Page-Id: (-?\d+)", http)[1]), size, digest.hex(),
+                              h["WARC-Type"], None if source is None else int(source), h["WARC-Record-ID"],
+                              h["WARC-Date"], h["WARC-Target-URI"]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "warc_date",
              "target_uri"]
