@@ -71,6 +71,10 @@ _CC = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd")
 _CC_LONG = {"by": "attribution", "sa": "share ?alike", "nc": "non ?commercial", "nd": "no ?deriv(?:atives|s)"}
 
 
+#: Short names that name a license without the word; three letters and a number (``epl 2``) do not.
+_BARE = ("gpl", "lgpl", "agpl", "gfdl", "apache", "cddl", "eupl", "lppl", "cecill", "odbl")
+
+
 def rules() -> list[tuple[str, str, str, int, float, bool]]:
     """Ordered rules (label, regex, keyword, priority, weight, is_base).
 
@@ -88,7 +92,8 @@ def rules() -> list[tuple[str, str, str, int, float, bool]]:
                 out.append((tag, f"{grant} {name} {number}{later}", key, 3, 0.9, False))
             out.append((tag, f"{name} {number}{later}", key, 2, 0.8, False))
             out.append((tag, f"spdx licen[cs]e identifier {short} {v}(?: 0)?{later}", "spdx", 3, 0.9, False))
-            out.append((tag, f"{short} (?:v ?)?{v}(?: 0)?{later}", short, 2, 0.6, False))
+            if short in _BARE:
+                out.append((tag, f"{short} (?:v ?)?{v}(?: 0)?{later}", short, 2, 0.6, False))
         out.append((label, name, key, 1, 0.5, False))
     # a name that leaves out a word of the full one
     for v in ("1", "2", "3"):
@@ -113,7 +118,7 @@ def rules() -> list[tuple[str, str, str, int, float, bool]]:
 
 #: Any match of any rule needs one of these in the lower-cased text (checked by a test).
 STEMS = ("licen", "cc", "creative", "spdx", "domain", "reserved", "hereby", "redistribution", "warrant", "wtfpl",
-         *(f[2] for f in _FAMILIES))
+         *_BARE)
 
 
 def scan(docs: DataFrame) -> DataFrame:
