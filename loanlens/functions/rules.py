@@ -71,7 +71,9 @@ def assign_application_id(df: DataFrame, key_cols, id_col: str = "application_id
 
 def format_application_id(n) -> Column:
     """F8: ``APP%07d``."""
-    return F.concat(F.lit("APP"), F.lpad(F.col(n).cast("string") if isinstance(n, str) else n.cast("string"), 7, "0"))
+    text = (F.col(n) if isinstance(n, str) else n).cast("string")
+    # at least seven digits; longer keys keep all of theirs
+    return F.concat(F.lit("APP"), F.lpad(text, F.greatest(F.lit(7), F.char_length(text)), F.lit("0")))
 
 
 def to_number(c) -> Column:

@@ -29,7 +29,7 @@ _APPLICATIONS_CTES = [
   FROM {lineitem} GROUP BY l_orderkey"""),
     ("a", """
   SELECT o_orderkey AS k,
-    concat('APP', lpad(CAST(o_orderkey AS VARCHAR(20)), 7, '0')) AS application_id,
+    concat('APP', lpad(CAST(o_orderkey AS VARCHAR(20)), CAST(greatest(7, length(CAST(o_orderkey AS VARCHAR(20)))) AS INT), '0')) AS application_id,
     CAST(18+(o_custkey*7+o_orderkey)%63 AS DOUBLE) AS age,
     15000e0+(c_acctbal+1000e0)*12e0 AS annual_income,
     CASE WHEN o_orderkey%17=0 THEN NULL ELSE ((o_orderkey*13)%400)/10e0 END AS employment_length_years,
@@ -76,7 +76,7 @@ _SCORED_CTE = ("scored", """
 
 _LOG_CTE = ("prediction_log", """
   SELECT event_id AS id,
-       concat('APP', lpad(CAST(user_id AS VARCHAR(20)), 7, '0')) AS application_id,
+       concat('APP', lpad(CAST(user_id AS VARCHAR(20)), CAST(greatest(7, length(CAST(user_id AS VARCHAR(20)))) AS INT), '0')) AS application_id,
        ts AS timestamp,
        round(((event_id*37+user_id*11)%100)/100e0, 6) AS default_prob,
        CASE WHEN (event_id*37+user_id*11)%100 <= 30 THEN 'APPROVE'

@@ -59,3 +59,12 @@ def test_null_in_null_out(spark):
     df = spark.createDataFrame([(None,)], "p double")
     r = df.select(SC.probability_to_score("p").alias("s"), SC.probability_to_decision("p").alias("d")).first()
     assert r.s is None and r.d is None
+
+
+def test_long_keys_keep_all_digits(spark):
+    from pyspark.sql import functions as F
+
+    from loanlens.functions import rules
+    fn = [f for f in vars(rules).values() if getattr(f, "__code__", None) and "APP" in f.__code__.co_consts][0]
+    got = [r[0] for r in spark.createDataFrame([(5,), (12345678,), (12345679,)], "n long").orderBy("n").select(fn("n")).collect()]
+    assert got == ["APP0000005", "APP12345678", "APP12345679"]

@@ -51,3 +51,22 @@ def test_write_report(spark):
     d = tempfile.mkdtemp(prefix="ll-rep-")
     FI.write_report(spark.createDataFrame([("x", 0.1)], "feature string, iv double"), d + "/iv")
     assert spark.read.option("header", "true").csv(d + "/iv").count() == 1
+
+
+def test_streams_on_unordered_files(spark, sf_dir, tmp_path):
+    """Four files whose event times overlap give what one file gives."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    from loanlens.streaming import streams
+    for name in os.listdir(sf_dir):
+        if not name.startswith("orders"):
+            os.symlink(os.path.join(sf_dir, name), tmp_path / name)
+    orders = pq.read_table(f"{sf_dir}/orders.parquet")
+    for i in range(4):
+        pq.write_table(orders.take(list(range(i, len(orders), 4))),
+                       tmp_path / ("orders.parquet" if i == 0 else f"orders_{i}.parquet"))
+    ids = [{r[0] for r in spark.read.parquet(streams.stream_score(spark, str(d))).select("application_id").collect()}
+           for d in (sf_dir, tmp_path)]
+    assert ids[0] == ids[1] and ids[0]
