@@ -554,6 +554,48 @@ register("p3_rule_violation_counts", _oracle(["applications"], [
     "SELECT rule, count(*) AS n FROM va GROUP BY rule"))(q_violation_counts)
 
 
+def _sql_broken() -> str:
+    """Applications of which each breaks one bound, domain or requirement, chosen by its key."""
+    breaks: list[tuple[str, str]] = []
+    for name, required, lo, lo_inc, hi, _, integer in VA.NUMERIC_RULES:
+        breaks += [(name, "CAST(NULL AS DOUBLE)")] * required
+        breaks += [(name, f"{lo}e0 - 1e0"), (name, f"{lo}e0")]
+        breaks += [] if hi is None else [(name, f"{hi}e0 + 1e0"), (name, f"{hi}e0")]
+        breaks += [(name, f"{lo}e0 + 0.5e0")] * integer
+    for name, _ in VA.ENUM_RULES:
+        breaks += [(name, "CAST(NULL AS VARCHAR(20))"), (name, "'none of these'")]
+    cols = ["application_id"]
+    for c in S.ALL_FEATURES:
+        arms = " ".join(f"WHEN {i} THEN {v}" for i, (name, v) in enumerate(breaks) if name == c)
+        cols.append(f"CASE k % {len(breaks) + 1} {arms} ELSE {c} END AS {c}" if arms else c)
+    return f"SELECT {', '.join(cols)} FROM applications"
+
+
+def _broken(spark, sf_dir) -> DataFrame:
+    return FX._spark_view(spark, sf_dir, FX._APPLICATIONS_CTES + [("broken", _sql_broken())], "broken",
+                          ["lineitem", "orders", "customer"]).select(*_APP_COLS)
+
+
+def q_validate_broken(spark, sf_dir):
+    """P3 on applications that break every rule somewhere."""
+    v = VA.validate_applications(_broken(spark, sf_dir))
+    return v.select("application_id", F.size("errors").alias("n_errors"),
+                    F.array_join("errors", ";").alias("errors"), "is_valid")
+
+
+def q_broken_counts(spark, sf_dir):
+    return VA.violation_counts(_broken(spark, sf_dir))
+
+
+_BROKEN_SQL = [f"broken AS ({_sql_broken()})",
+               f"vb AS (SELECT application_id, {VA.sql_validation_errors(_APP_COLS)} AS errs FROM broken)"]
+register("p3_validate_broken_applications", _oracle(["applications"], _BROKEN_SQL,
+         "SELECT application_id, CAST(len(errs) AS INTEGER) AS n_errors, array_to_string(errs, ';') AS errors, "
+         "len(errs) = 0 AS is_valid FROM vb"))(q_validate_broken)
+register("p3_broken_rule_counts", _oracle(["applications"], _BROKEN_SQL,
+         "SELECT rule, count(*) AS n FROM (SELECT unnest(errs) AS rule FROM vb) GROUP BY rule"))(q_broken_counts)
+
+
 def q_assign_id(spark, sf_dir):
     df = FX.applications(spark, sf_dir).select("k")
     return rules.assign_application_id(df, ["k"])
@@ -819,7 +861,7 @@ def q_log_rows(spark, sf_dir):
 
 
 register("s5_prediction_log_rows", _oracle(["applications"], [
-    f"sa AS (SELECT application_id, applied_at, grade, loan_purpose, round({rules.sql_risk_probability()}, 6) AS p "
+    f"sa AS (SELECT application_id, applied_at, grade, loan_purpose, round({SCO.sql_imputed_probability('applications')}, 6) AS p "
     "FROM applications)"],
     f"SELECT application_id, applied_at AS timestamp, p AS default_prob, {SC.sql_score('p')} AS risk_score, "
     f"{SC.sql_prob_decision('p')} AS decision, {SC.sql_confidence('p')} AS confidence, "
@@ -985,21 +1027,27 @@ def q_stream_metrics(spark, sf_dir):
     return spark.read.parquet(ST.stream_metrics(spark, sf_dir))
 
 
-def _sql_window_metrics() -> str:
+def q_stream_metrics_1h(spark, sf_dir):
+    """T2 with tumbling windows of one hour."""
+    return spark.read.parquet(ST.stream_metrics(spark, sf_dir, size="1 hour"))
+
+
+def _sql_window_metrics(hours: int = 24) -> str:
     return _oracle(["prediction_log"], [
         "wl AS (SELECT l.*, date_trunc('hour', l.timestamp) - to_hours(r.k) AS ws "
-        "FROM prediction_log l, range(0, 24) r(k))",
+        f"FROM prediction_log l, range(0, {hours}) r(k))",
         f"wm AS (SELECT ws, count(*) AS n, sum(CASE WHEN decision = 'APPROVE' THEN 1 ELSE 0 END) AS n_app, "
         "sum(CASE WHEN decision = 'REVIEW' THEN 1 ELSE 0 END) AS n_rev, "
         "sum(CASE WHEN decision = 'DECLINE' THEN 1 ELSE 0 END) AS n_dec, avg(default_prob) AS avg_p, "
         f"avg({SC.sql_score('default_prob')}) AS avg_s, avg(latency_ms) AS avg_l FROM wl GROUP BY ws)"],
-        "SELECT ws AS window_start, ws + INTERVAL 24 HOUR AS window_end, n, "
+        f"SELECT ws AS window_start, ws + INTERVAL {hours} HOUR AS window_end, n, "
         "round(n_app / n, 4) AS approval_rate, round(n_rev / n, 4) AS review_rate, round(n_dec / n, 4) AS decline_rate, "
         "round(avg_p, 4) AS avg_default_probability, round(avg_s, 1) AS avg_risk_score, round(avg_l, 2) AS avg_latency_ms "
-        f"FROM wm WHERE ws + INTERVAL 24 HOUR <= {_ASOF} - INTERVAL 1 HOUR")
+        f"FROM wm WHERE ws + INTERVAL {hours} HOUR <= {_ASOF} - INTERVAL 1 HOUR")
 
 
 register("t2_stream_window_metrics", _sql_window_metrics())(q_stream_metrics)
+register("t2_stream_window_metrics_1h", _sql_window_metrics(1))(q_stream_metrics_1h)
 
 
 def q_stream_drift(spark, sf_dir):

@@ -60,9 +60,13 @@ def assign_application_id(df: DataFrame, key_cols, id_col: str = "application_id
     """Keep a given id, else ``REQ-`` + 12 upper hex of a hash of the row key.
 
     A hash (not a random UUID) so that re-running a job, or re-executing a
-    lost task, yields the same id.
+    lost task, yields the same id. Rows equal in all key columns share an id. NULL differs from
+    empty text, and a separator inside a value from one between values. 48 bits: no unique key.
     """
-    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols])
+    def text(c):
+        escaped = F.regexp_replace(F.col(c).cast("string"), r"([\\|])", r"\\$1")
+        return F.coalesce(escaped, F.lit("\\N"))
+    key = F.concat_ws("|", *[text(c) for c in key_cols])
     generated = F.concat(F.lit("REQ-"), F.upper(F.substring(F.md5(key), 1, 12)))
     if id_col in df.columns:
         return df.withColumn(id_col, F.coalesce(F.col(id_col), generated))

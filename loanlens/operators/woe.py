@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,10 +28,6 @@ from ..session import persisted
 from ..functions.scorecard import iv_strength, sql_iv_strength
 from . import binning
 
-# Beyond this many categories in one column a literal map stops being a
-# sensible expression; the lookup then becomes a join on the fitted table.
-MAX_LITERAL_CATEGORIES = 10_000
-
 WOE_SCHEMA = T.StructType([
     T.StructField("feature", T.StringType()),
     T.StructField("kind", T.StringType()),
@@ -78,7 +75,7 @@ class WoeModel:
         return numeric, cats, missing
 
     def woe_columns(self, columns, bin_cols: dict[str, str] | None = None) -> dict[str, Column]:
-        """One expression per fitted feature; absent columns give 0.0.
+        """One expression per fitted feature over the result of ``with_categories``; absent columns give 0.0.
 
         Numeric lookups index an array literal of bin WoEs by the bin index
         (computed once per value, optionally in an earlier projection named by
@@ -102,17 +99,25 @@ class WoeModel:
             if c not in columns:
                 out[c] = F.lit(0.0)
                 continue
-            m = cats[c]
-            if len(m) > MAX_LITERAL_CATEGORIES:
-                raise ValueError("use transform(), which joins for high-cardinality columns")
             miss = F.lit(missing.get(c, 0.0))
-            if not m:
-                out[c] = miss
-                continue
-            lookup = F.create_map(*[x for k, w in sorted(m.items()) for x in (F.lit(k), F.lit(w))])
-            out[c] = F.coalesce(F.try_element_at(lookup, F.col(c).cast("string")), miss)
+            out[c] = F.coalesce(F.col(f"__w_{c}"), miss) if cats[c] else miss
         return out
 
+    def with_categories(self, df: DataFrame) -> DataFrame:
+        """The WoE of each categorical column ``c`` as ``__w_c``, by a join with its fitted table.
+
+        The tables are local relations, so Spark knows their sizes: it broadcasts those under its
+        threshold and shuffles for larger ones.
+        """
+        _, cats, _ = self._maps()
+        for c in self.categorical_cols:
+            if c in df.columns and cats[c]:
+                fitted = df.sparkSession.createDataFrame(pa.table(
+                    {f"__k_{c}": pa.array(list(cats[c]), pa.string()),
+                     f"__w_{c}": pa.array(list(cats[c].values()), pa.float64())}))
+                df = df.join(fitted, F.col(c).cast("string") == F.col(f"__k_{c}"), "left").drop(f"__k_{c}")
+        return df
+
     def bin_columns(self, df: DataFrame, keep: list[str]) -> tuple[DataFrame, dict[str, str]]:
         """First projection of the lookup: numeric values -> bin index columns."""
         names = {c: f"__bin_{c}" for c in self.numeric_cols if c in df.columns}
@@ -122,29 +127,11 @@ class WoeModel:
         return staged, names
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-        """Replace feature values by their WoE (one projection, no shuffle)."""
+        """Replace feature values by their WoE."""
         keep = [k for k in (keep or []) if k in df.columns]
-        _, cats, _ = self._maps()
-        big = [c for c in self.categorical_cols if len(cats.get(c, {})) > MAX_LITERAL_CATEGORIES]
-        if not big:
-            staged, names = self.bin_columns(df, keep)
-            cols = self.woe_columns(set(df.columns), names)
-            return staged.select(*keep, *[v.alias(k) for k, v in cols.items()])
-        # High-cardinality columns: equi-join on the fitted table instead.
-        small = self.woe_columns([c for c in df.columns if c not in big])
-        out = df
-        for c in big:
-            tbl = (self.woe_table().where((F.col("feature") == c) & ~F.col("is_missing"))
-                   .select(F.col("category").alias(f"__k_{c}"), F.col("woe").alias(f"__w_{c}")))
-            out = out.join(tbl, out[c].cast("string") == tbl[f"__k_{c}"], "left")
-        _, _, missing = self._maps()
-        cols = []
-        for c in self.numeric_cols + self.categorical_cols:
-            if c in big:
-                cols.append(F.coalesce(F.col(f"__w_{c}"), F.lit(missing.get(c, 0.0))).alias(c))
-            else:
-                cols.append(small[c].alias(c))
-        return out.select(*keep, *cols)
+        staged, names = self.bin_columns(self.with_categories(df), keep)
+        cols = self.woe_columns(set(df.columns), names)
+        return staged.select(*keep, *[v.alias(k) for k, v in cols.items()])
 
 
 def _feature_lists(df: DataFrame, target: str, numeric_cols, categorical_cols, exclude):
@@ -174,8 +161,11 @@ def woe_counts(df: DataFrame, target: str, numeric_cols: list[str], categorical_
 
 
 def woe_from_counts(counts: DataFrame, edges_df: DataFrame | None,
-                    smoothing: float = S.WOE_SMOOTHING) -> DataFrame:
-    """WoE and IV part per group; totals and bin counts by windows over a tiny table."""
+                    smoothing: float = S.WOE_SMOOTHING, guard: bool = False) -> DataFrame:
+    """WoE and IV part per group; totals and bin counts by windows over the counts.
+
+    ``guard``: a target of one class fails when the table is computed (A7).
+    """
     s = F.lit(float(smoothing))
     w = Window.partitionBy("feature")
     missing = F.when(F.col("kind") == "numeric", F.col("bin").isNull()).otherwise(F.col("category").isNull())
@@ -185,6 +175,10 @@ def woe_from_counts(counts: DataFrame, edges_df: DataFrame | None,
          .withColumn("tot_ev", F.sum("n_ev").over(w))
          .withColumn("tot_nev", F.sum("n_nev").over(w))
          .withColumn("n_groups", F.sum(F.when(F.col("is_missing"), 0).otherwise(1)).over(w)))
+    if guard:
+        one_class = (F.col("tot_ev") == 0) | (F.col("tot_nev") == 0)
+        t = t.withColumn("tot_ev", F.when(one_class, F.raise_error("target must contain both classes (0 and 1)")
+                                          .cast("long")).otherwise(F.col("tot_ev")))
     b = F.when(F.col("kind") == "numeric", F.col("n_groups")).otherwise(F.col("n_groups") + 1)
     den_ev = F.when(F.col("is_missing"), F.col("tot_ev") + s).otherwise(F.col("tot_ev") + s * b)
     den_nev = F.when(F.col("is_missing"), F.col("tot_nev") + s).otherwise(F.col("tot_nev") + s * b)
@@ -249,7 +243,7 @@ def woe_table_df(df: DataFrame, target: str, numeric_cols, categorical_cols,
     edges_df = binning.quantile_edges(df, numeric_cols, n_bins, quantiles) if numeric_cols else None
     edges = binning.collect_edges(edges_df) if edges_df is not None else {}
     counts = woe_counts(df, target, numeric_cols, categorical_cols, edges)
-    return woe_from_counts(counts, edges_df, smoothing)
+    return woe_from_counts(counts, edges_df, smoothing, guard=True)
 
 
 def iv_table(woe_table: DataFrame) -> DataFrame:

@@ -28,6 +28,12 @@ def log_rows(df: DataFrame, feature_cols: list[str], prob: str = "default_probab
 
 
 def append_predictions(rows: DataFrame, path: str) -> None:
-    """Append to a date-partitioned Parquet log (partition pruning on ``date``)."""
+    """Append to a date-partitioned Parquet log (partition pruning on ``date``).
+
+    Rows without an ``id`` get a hash of their content: it orders rows of one timestamp in the
+    reports, and a task that runs again gives the same. It is no unique key.
+    """
+    if "id" not in rows.columns:
+        rows = rows.withColumn("id", F.xxhash64(*rows.columns))
     (rows.withColumn("date", F.to_date("timestamp"))
      .write.mode("append").partitionBy("date").parquet(path))

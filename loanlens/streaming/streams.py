@@ -1,13 +1,15 @@
 """Structured Streaming forms of the online path.
 
 * T1 ``stream_score``: an application stream (orders arriving as files, joined
-  to static line-item aggregates and customers) -> P15 scoring projection ->
-  ``dropDuplicatesWithinWatermark`` on the request id -> append to a
-  date-partitioned log.
+  to static line-item aggregates and customers) -> ``dropDuplicatesWithinWatermark``
+  on the request id, by arrival time (so an old application date is never late) ->
+  P15 scoring projection -> append to a date-partitioned log.
 * T2 ``stream_metrics``: log events -> watermark 1 h -> 24 h windows sliding
-  by 1 h -> decision rates and means (append mode emits closed windows only).
-* T3 ``stream_drift``: ``foreachBatch`` appends each micro-batch to the log
-  table and recomputes the 168 h drift report (A16) over it.
+  by 1 h, or tumbling 1 h windows -> decision rates and means (append mode emits
+  closed windows only).
+* T3 ``stream_drift``: ``foreachBatch`` writes each micro-batch to its own folder of
+  the log table and recomputes the 168 h drift report (A16) over it; a batch that is
+  replayed overwrites its own folders only.
 
 Zone-less Parquet timestamps are cast to TIMESTAMP at the source (a watermark
 refuses TIMESTAMP_NTZ); the session zone is UTC. Sinks and checkpoints live
@@ -61,20 +63,23 @@ def stream_score(spark: SparkSession, sf_dir: str, out: str | None = None) -> st
     dfs = {"orders": orders, "lineitem": read_table(spark, sf_dir, "lineitem"),
            "customer": read_table(spark, sf_dir, "customer")}
     apps = spark.sql(FX._with(FX._APPLICATIONS_CTES, "SELECT * FROM applications"), **dfs)
-    apps = apps.withColumn("event_time", F.col("applied_at").cast("timestamp"))
+    apps = apps.withColumn("arrived", F.current_timestamp())
     from ..functions import rules
     from ..functions.validation import validation_errors
-    prob = rules.risk_probability()
+    from ..plans.scoring import imputing, optional_medians
+    medians = optional_medians(FX.applications(spark, sf_dir))
+    prob = F.col("_p")
     rows = (apps.where(F.size(validation_errors(apps.columns)) == 0)
-            .withWatermark("event_time", "1 hour")
+            .withWatermark("arrived", "1 hour")
             .dropDuplicatesWithinWatermark([S.ID_COL])
+            .withColumn("_p", rules.risk_probability(imputing(medians)))
             .select(S.ID_COL, "applied_at",
                     round_dp(prob, 6).alias("default_probability"),
                     SC.probability_to_score(prob).alias("risk_score"),
                     SC.probability_to_decision(prob).alias("decision"),
                     SC.decision_confidence(prob).alias("confidence"),
                     F.lit("expert-logit-v1").alias("model_version"),
-                    F.to_date("event_time").alias("date")))
+                    F.to_date("applied_at").alias("date")))
     _run(rows.writeStream.format("parquet").outputMode("append").partitionBy("date")
          .option("path", f"{out}/data"), out)
     return f"{out}/data"
@@ -106,11 +111,13 @@ def window_metrics(log: DataFrame, size: str = "24 hours", slide: str = "1 hour"
                       round_dp("avg_l", 2).alias("avg_latency_ms"))
 
 
-def stream_metrics(spark: SparkSession, sf_dir: str, out: str | None = None) -> str:
-    """Closed 24 h windows (slide 1 h) with a 1 h watermark, appended to Parquet."""
+def stream_metrics(spark: SparkSession, sf_dir: str, out: str | None = None, size: str = "24 hours",
+                   slide: str = "1 hour") -> str:
+    """Closed windows (24 h, slide 1 h) with a 1 h watermark, appended to Parquet. Events that arrive
+    more than an hour behind the newest one seen are late and not counted."""
     out = out or run_dir(spark, "metrics")
     log = log_stream(spark, sf_dir).withWatermark("timestamp", "1 hour")
-    _run(window_metrics(log).writeStream.format("parquet").outputMode("append")
+    _run(window_metrics(log, size, slide).writeStream.format("parquet").outputMode("append")
          .option("path", f"{out}/data"), out)
     return f"{out}/data"
 
@@ -121,23 +128,27 @@ LOG_FEATURES = T.StructType([T.StructField("k", T.LongType())])
 
 def drift_of_log(log: DataFrame, hours: int = 168) -> DataFrame:
     """A16 over the log: the last ``hours`` (current) against everything before (reference)."""
-    feats = LR.read_log_features(log, LOG_FEATURES, hours=10 ** 6)  # all parseable rows
-    flags = LR.with_window_flags(log.select("id", "timestamp"), {"cur": hours}).select("id", "cur")
-    j = feats.join(flags, "id")
+    j = LR.read_log_features(LR.with_window_flags(log, {"cur": hours}), LOG_FEATURES, hours=None, keep=("cur",))
     ref, cur = j.where(~F.col("cur")), j.where(F.col("cur"))
     return DR.drift_report(ref.select("k"), cur.select("k"), ["k"], [])
 
 
 def stream_drift(spark: SparkSession, sf_dir: str, out: str | None = None, hours: int = 168) -> str:
-    """foreachBatch keeps a log table and rewrites the drift report after each batch."""
+    """foreachBatch keeps a log table; returns the folder of the last batch's drift report."""
     out = out or run_dir(spark, "drift")
     log_path, rep_path = f"{out}/log", f"{out}/report"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(log_path)
-        full = batch.sparkSession.read.parquet(log_path)
-        (drift_of_log(full, hours).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").parquet(rep_path))
+        record_batch(batch, batch_id, log_path, rep_path, hours)
+        last.append(batch_id)
 
+    last: list[int] = []
     _run(log_stream(spark, sf_dir).writeStream.foreachBatch(each), out)
-    return rep_path
+    return f"{rep_path}/batch_id={last[-1]}"
+
+
+def record_batch(batch: DataFrame, batch_id: int, log_path: str, rep_path: str, hours: int = 168) -> None:
+    """Write a batch and the report of the log up to it, each to the batch's own folder."""
+    batch.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+    full = batch.sparkSession.read.parquet(log_path).where(F.col("batch_id") <= batch_id)
+    drift_of_log(full, hours).write.mode("overwrite").parquet(f"{rep_path}/batch_id={batch_id}")

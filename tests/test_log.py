@@ -38,3 +38,24 @@ def test_empty_window_gives_zeros(spark):
     log = _log(spark, [])
     r = LR.latency_percentiles(log, 1).first()
     assert r is None or (r.p50, r.p95, r.p99) == (0.0, 0.0, 0.0)
+
+
+def test_reports_read_a_written_log(spark, tmp_path):
+    """A log written by the sink has ids, and a report with ``as_of`` reads only the days of its window."""
+    from loanlens.sources import predlog as PL
+    df = spark.createDataFrame([(f"A{i}", 0.1 * i, dt.datetime(2024, 1, 1 + i, 12)) for i in range(8)],
+                               "application_id string, default_probability double, at timestamp")
+    path = str(tmp_path / "log")
+    PL.append_predictions(PL.log_rows(df, ["application_id"], ts=df["at"]), path)
+    log, now = spark.read.parquet(path), dt.datetime(2024, 1, 8, 13)
+    got = LR.recent(log, 24, as_of=now)
+    assert [r.application_id for r in got.collect()] == ["A7"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    schema = T.StructType([T.StructField("application_id", T.StringType())])
+    assert LR.read_log_features(log, schema, 48, now, keep=("id",)).count() == 2
+    assert LR.read_log_features(log, schema, None, keep=("id",)).count() == 8
+    m = LR.operational_metrics(log, as_of=now).first()
+    assert (m.total_predictions, m.predictions_last_hour, m.decline_rate) == (8, 1, 1.0)
+    assert LR.latency_percentiles(log, 1, now).first().p50 == 0.0
+    assert {r.decision: r.cnt for r in LR.decision_counts(log, 24, now).collect()} == {"DECLINE": 1}

@@ -68,3 +68,22 @@ def test_long_keys_keep_all_digits(spark):
     fn = [f for f in vars(rules).values() if getattr(f, "__code__", None) and "APP" in f.__code__.co_consts][0]
     got = [r[0] for r in spark.createDataFrame([(5,), (12345678,), (12345679,)], "n long").orderBy("n").select(fn("n")).collect()]
     assert got == ["APP0000005", "APP12345678", "APP12345679"]
+
+
+def test_generated_ids_tell_null_from_empty_and_separators(spark):
+    from loanlens.functions import rules
+    rows = [(None, "x"), ("", "x"), ("a|b", "c"), ("a", "b|c"), ("\\N", "x"), ("a", "b|c")]
+    got = [r[0] for r in rules.assign_application_id(spark.createDataFrame(rows, "u string, v string"), ["u", "v"])
+           .select("application_id").collect()]
+    assert len(set(got)) == 5 and got[3] == got[5]
+
+
+def test_scoring_gives_every_valid_row_an_id_and_a_decision(spark, sf_dir):
+    from loanlens import schema as S
+    from loanlens.plans.scoring import score_applications
+    from loanlens.sources import fixtures as FX
+    apps = FX.applications(spark, sf_dir)
+    for df in (apps.select(*S.ALL_FEATURES), apps.select(F.lit(None).cast("string").alias("application_id"), *S.ALL_FEATURES)):
+        r = score_applications(df).agg(F.count("*"), F.count_distinct("application_id"), F.count("decision"),
+                                       F.count("default_probability")).first()
+        assert len(set(r)) == 1 and r[0] == apps.count()

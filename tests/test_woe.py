@@ -47,3 +47,22 @@ def test_derived_features_null_guard(spark):
     assert r.loan_to_income is None          # null in -> null out (no floor at 1)
     assert r.derog_rate == 2.0               # denominator floored at 1
     assert r.rate_x_dti == 0.0
+
+
+def test_many_categories_by_the_same_plan(spark):
+    from loanlens.plans.stages import WoEEncoder
+    n = 50_000
+    df = spark.range(2 * n).selectExpr(f"concat('c', id % {n}) AS c", f"cast(id % 3 = 0 AS int) AS y")
+    m = WoEEncoder(inputCols=["c"], outputCols=["w"], labelCol="y").fit(df)
+    out = m.transform(df)
+    assert out.columns == ["c", "y", "w"]
+    want = {r.category: r.woe for r in woe.fit_woe(df, "y", [], ["c"]).woe_rows}
+    assert len(want) == n
+    got = out.select("c", "w").distinct().collect()
+    assert len(got) == n and all(r.w == want[r.c] for r in got)
+
+
+def test_one_class_fails_in_the_lazy_table(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "x double, y int")
+    with pytest.raises(Exception, match="both classes"):
+        woe.woe_table_df(df, "y", ["x"], []).collect()
