@@ -33,9 +33,10 @@ def _c(c) -> Column:
 
 
 def score_frame(df: DataFrame, label: str, prob: str) -> DataFrame:
-    """(p, pos, neg): one row per distinct probability."""
-    y = F.col(label).cast("long")
-    return (df.select(F.col(prob).cast("double").alias("p"), y.alias("y"))
+    """(p, pos, neg): one row per distinct probability. A NULL probability has no rank: it fails the job."""
+    y, p = F.col(label).cast("long"), F.col(prob).cast("double")
+    p = F.when(p.isNull(), F.raise_error(f"{prob} is NULL in a row to be ranked").cast("double")).otherwise(p)
+    return (df.select(p.alias("p"), y.alias("y"))
             .groupBy("p").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
 
 

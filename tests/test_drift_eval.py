@@ -76,3 +76,9 @@ def test_ece_excludes_p_one(spark):
 
 def test_cost_threshold_recorded_value():
     assert EV.COST_THRESHOLDS[21] == 0.15499999999999997
+
+
+def test_null_scores_are_not_ranked(spark):
+    df = spark.createDataFrame([(0.9, 1), (None, 1), (0.1, 0), (0.5, 0)], "p double, y int")
+    with pytest.raises(Exception, match="p is NULL"):
+        EV.score_frame(df, "y", "p").collect()
