@@ -978,34 +978,60 @@ from .operators import explain as XP  # noqa: E402
 
 
 def q_attribution(spark, sf_dir):
-    a = XP.expert_attribution(_apps(spark, sf_dir), 5)
+    apps = _apps(spark, sf_dir)
+    a = XP.expert_attribution(apps, 5, medians=SCO.optional_medians(apps))
     return a.select("application_id", "rank", "feature", r6("impact").alias("impact"), "direction",
                     r6("base_value").alias("base_value"))
 
 
-register("x1_w5_o3_top5_attribution", _oracle(["applications"], XP.sql_attribution("applications", 5),
+_SQL_ATTR = XP.sql_attribution("applications", 5, optional=SCO.OPTIONAL)
+_SQL_CF = XP.sql_counterfactual("applications", optional=SCO.OPTIONAL)
+register("x1_w5_o3_top5_attribution", _oracle(["applications"], _SQL_ATTR,
          "SELECT application_id, rank, feature, round(impact, 6) AS impact, direction, "
          "round(base_value, 6) AS base_value FROM attr"))(q_attribution)
 
 
+def _counterfactual(spark, sf_dir):
+    apps = _apps(spark, sf_dir)
+    return XP.counterfactual(apps, XP.imputing_scorer(SCO.optional_medians(apps)))
+
+
 def q_counterfactual(spark, sf_dir):
-    return XP.counterfactual(_apps(spark, sf_dir))
+    return _counterfactual(spark, sf_dir).drop("change_values")
 
 
-register("x3_counterfactual", _oracle(["applications"], XP.sql_counterfactual("applications"),
-         "SELECT * FROM cf_out"))(q_counterfactual)
+register("x3_counterfactual", _oracle(["applications"], _SQL_CF, "SELECT * FROM cf_out"))(q_counterfactual)
 
 
-def q_explanation_table(spark, sf_dir):
-    t = XP.explanation_table(_apps(spark, sf_dir))
-    return t.select("application_id", "default_probability", "decision",
-                    F.transform("top_factors", lambda e: e["feature"]).alias("f"),
-                    "n_changes", "counterfactual_decision").select(
-        "application_id", "default_probability", "decision", F.array_join("f", ";").alias("top_factors"),
-        "n_changes", "counterfactual_decision")
+def q_counterfactual_changes(spark, sf_dir):
+    """One row per suggested change, with the current and the suggested value."""
+    return _counterfactual(spark, sf_dir).select("application_id", F.inline("change_values"))
 
 
-register("x4_explanation_table")(q_explanation_table)
+register("x3_counterfactual_changes", _oracle(["applications"], _SQL_CF,
+         "SELECT * FROM cf_changes"))(q_counterfactual_changes)
+
+
+def q_explanation_table(spark, sf_dir):
+    apps = _apps(spark, sf_dir)
+    t = XP.explanation_table(apps, medians=SCO.optional_medians(apps))
+    return t.select(
+        "application_id", "default_probability", "decision", r6("base_value").alias("base_value"),
+        F.array_join(F.col("top_factors.feature"), ";").alias("top_factors"),
+        r6(F.get("top_factors.impact", F.lit(0))).alias("top_impact"), "n_changes",
+        F.array_join(F.col("change_values.feature"), ";").alias("changed_features"),
+        "counterfactual_probability", "counterfactual_decision", "achievable")
+
+
+register("x4_explanation_table", _oracle(["applications"], [*_SQL_ATTR, *_SQL_CF,
+    f"xp AS (SELECT application_id, round({SCO.sql_imputed_probability('applications')}, 6) AS default_probability "
+    "FROM applications)",
+    "xf AS (SELECT application_id, string_agg(feature, ';' ORDER BY rank) AS top_factors, "
+    "round(max(base_value), 6) AS base_value, round(max(CASE WHEN rank = 1 THEN impact END), 6) AS top_impact "
+    "FROM attr GROUP BY application_id)"],
+    "SELECT application_id, default_probability, decision, base_value, top_factors, top_impact, n_changes, "
+    "changed_features, counterfactual_probability, counterfactual_decision, achievable "
+    "FROM xp JOIN xf USING (application_id) JOIN cf_out USING (application_id)"))(q_explanation_table)
 
 
 # --- streaming (run with availableNow, sink read back) ---------------------------------

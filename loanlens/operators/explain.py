@@ -37,15 +37,31 @@ MIN_IMPROVEMENT = 0.001
 Scorer = Callable[[dict[str, Column]], Column]
 
 
-def expert_scorer(cols: dict[str, Column]) -> Column:
+def _filled(get, medians: dict[str, float] | None):
+    """``get`` with the median in place of a NULL optional field."""
+    def out(name: str) -> Column:
+        fill = (medians or {}).get(name)
+        return get(name) if fill is None else F.coalesce(get(name).cast("double"), F.lit(float(fill)))
+    return out
+
+
+def expert_scorer(cols: dict[str, Column], medians: dict[str, float] | None = None) -> Column:
     """P13 evaluated on substituted feature columns."""
-    return rules.risk_probability(lambda n: cols[n] if n in cols else F.col(n))
+    return rules.risk_probability(_filled(lambda n: cols[n] if n in cols else F.col(n), medians))
+
+
+def imputing_scorer(medians: dict[str, float]) -> Scorer:
+    """P13 with the given medians for NULL optional fields: every valid application is decided."""
+    return lambda cols: expert_scorer(cols, medians)
 
 
 # --- X1 / W5 / O3 ---------------------------------------------------------------------------
-def attribution_arrays(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
-    """(id, base_value, top: array<struct<k1, feature, impact>>) - ranked inside the row."""
-    terms = rules.risk_terms()
+def attribution_arrays(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL, keep=(),
+                       medians: dict[str, float] | None = None) -> DataFrame:
+    """(id, ``keep``, base_value, top: array<struct<k1, feature, impact, value>>) - ranked inside the row.
+
+    ``value`` is the scaled driver that the impact comes from; ``medians`` fill NULL optional fields."""
+    terms = rules.risk_terms(_filled(F.col, medians))
     # data means as scalar subqueries (merged into one aggregate by the optimizer)
     mean = {k: df.agg(F.avg(t)).scalar() for k, t in terms.items()}
     j = df
@@ -54,19 +70,20 @@ def attribution_arrays(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) ->
         imp = F.lit(w) * (terms[k] - mean[k])
         # key: |impact| descending, then name; NULL impacts sort last
         entries.append(F.struct(F.coalesce(-F.abs(imp), F.lit(float("inf"))).alias("k1"),
-                                F.lit(k).alias("feature"), imp.alias("impact")))
+                                F.lit(k).alias("feature"), imp.alias("impact"), terms[k].alias("value")))
     base = F.lit(rules.LOGIT_INTERCEPT)
     for k, w in rules.LOGIT_WEIGHTS.items():
         base = base + F.lit(w) * mean[k]
-    return j.select(F.col(id_col), base.alias("base_value"),
+    return j.select(F.col(id_col), *[c for c in keep if c != id_col], base.alias("base_value"),
                     F.slice(F.sort_array(F.array(*entries)), 1, top_n).alias("top"))
 
 
-def expert_attribution(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
+def expert_attribution(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL,
+                       medians: dict[str, float] | None = None) -> DataFrame:
     """X1 + W5 + O3: additive effect of each logit driver on the margin, centred on the data
     mean: impact_k = w_k * (term_k - mean_k), so the impacts sum to logit - base_value.
     One row per application and ranked driver (rank <= top_n)."""
-    ranked = attribution_arrays(df, top_n, id_col)
+    ranked = attribution_arrays(df, top_n, id_col, medians=medians)
     out = (ranked.select(id_col, "base_value", F.posexplode("top").alias("pos", "e"))
            .where(F.col("e.impact").isNotNull()))
     return out.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
@@ -91,13 +108,15 @@ def linear_attribution(df: DataFrame, coefs: dict[str, float], means: dict[str,
 def counterfactual(df: DataFrame, scorer: Scorer = expert_scorer, max_changes: int = 4,
                    target: str = "APPROVE", id_col: str = S.ID_COL,
                    threshold_approve: float = S.PROB_APPROVE, threshold_decline: float = S.PROB_DECLINE,
-                   materialize: bool = True) -> DataFrame:
+                   materialize: bool = True, keep=()) -> DataFrame:
     """Greedy recourse: up to ``max_changes`` rounds, each trying every unchanged lever.
 
     Each round is one projection: the ten candidate probabilities are columns,
     the best is the max of (delta, -lever index) structs (largest drop, first
-    lever on ties). Rows already at the target, or whose best drop is below
-    0.001, keep their values.
+    lever on ties). Rows already at the target are not searched; rows whose best
+    drop is below 0.001 keep their values. ``change_values`` lists the changes in the
+    order made: feature, direction, current value (NULL counts as 0) and suggested value.
+    ``keep``: columns of ``df`` carried along.
 
     The result is checkpointed (``materialize``): a filter pushed through the
     rounds would inline every earlier round into its condition.
@@ -128,7 +147,7 @@ def counterfactual(df: DataFrame, scorer: Scorer = expert_scorer, max_changes: i
             p_new = scorer(cols_now({f: val}))
             # deltas equal to 1e-12 are ties (engines differ in the last bits of ln/exp)
             delta = F.round((F.col("p_cur") - p_new) * F.lit(1e12), 0) / F.lit(1e12)
-            ok = (~F.array_contains(F.col("changes"), F.lit(f))) & (delta > 0)
+            ok = ~F.col("done") & ~F.array_contains(F.col("changes"), F.lit(f)) & (delta > 0)
             cands.append(F.when(ok, F.struct(delta.alias("delta"), F.lit(-i).alias("neg_i"),
                                              F.lit(f).alias("feature"), val.alias("value"))))
         best = F.greatest(*cands)  # NULLs skipped; codegen'd (no lambda)
@@ -142,12 +161,19 @@ def counterfactual(df: DataFrame, scorer: Scorer = expert_scorer, max_changes: i
             F.when(go, F.array_append("changes", F.col("_best.feature"))).otherwise(F.col("changes")).alias("changes"),
             go.alias("_go"))
         p_new = F.when(F.col("_go"), scorer(cols_now())).otherwise(F.col("p_cur"))
-        keep = [c for c in state.columns if c not in ("p_cur", "done", "_best", "_go")]
-        state = state.select(*keep, p_new.alias("p_cur"),
+        rest = [c for c in state.columns if c not in ("p_cur", "done", "_best", "_go")]
+        state = state.select(*rest, p_new.alias("p_cur"),
                              (F.col("done") | ~F.col("_go") |
                               F.coalesce(decision(p_new) == target, F.lit(False))).alias("done"))
+    # one entry per lever, NULL where it was not moved; sorting by the step puts NULLs last
+    step = {f: F.array_position("changes", F.lit(f)) for f in feats}
+    moved_by = F.array(*[F.when(step[f] > 0, F.struct(
+        step[f].cast("int").alias("step"), F.lit(f).alias("feature"), F.lit(direction).alias("direction"),
+        round_dp(F.coalesce(cur[f], F.lit(0.0)), 4).alias("current_value"),
+        round_dp(F.col(f"cf_{f}"), 4).alias("suggested_value"))) for f, direction in MUTABLE_FEATURES])
     out = state.select(
-        id_col, round_dp(F.col("p_start"), 4).alias("start_probability"),
+        id_col, *[c for c in keep if c != id_col], F.sort_array(F.array_compact(moved_by)).alias("change_values"),
+        round_dp(F.col("p_start"), 4).alias("start_probability"),
         decision(F.col("p_start")).alias("decision"),
         F.size("changes").alias("n_changes"), F.array_join("changes", ";").alias("changed_features"),
         round_dp(F.col("p_cur"), 4).alias("counterfactual_probability"),
@@ -157,20 +183,22 @@ def counterfactual(df: DataFrame, scorer: Scorer = expert_scorer, max_changes: i
 
 
 # --- X4 -----------------------------------------------------------------------------------------
-def explanation_table(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
-    """Decision + top attributions + counterfactual per application (left joins on the id)."""
-    p = rules.risk_probability()
-    dec = df.select(id_col, round_dp(p, 6).alias("default_probability"),
-                    SC.probability_to_decision(p).alias("decision"))
-    att = attribution_arrays(df, top_n, id_col).select(id_col, F.col("top").alias("top_factors"))
-    cf = counterfactual(df, id_col=id_col).drop("decision")
-    return dec.join(att, id_col, "left").join(cf, id_col, "left")
+def explanation_table(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL,
+                      medians: dict[str, float] | None = None) -> DataFrame:
+    """Decision, base value, top attributions and counterfactual per application, in one projection.
+
+    The local surrogate has a row per factor and a table of its own (``local_surrogate``)."""
+    score = imputing_scorer(medians or {})
+    wide = attribution_arrays(df, top_n, id_col, keep=df.columns, medians=medians)
+    wide = wide.withColumn("default_probability", round_dp(score({}), 6)).withColumnRenamed("top", "top_factors")
+    return counterfactual(wide, score, id_col=id_col, keep=["default_probability", "base_value", "top_factors"])
 
 
 # --- DuckDB twins ----------------------------------------------------------------------------
-def sql_attribution(src: str, top_n: int = 5, id_col: str = S.ID_COL) -> list[str]:
-    """CTEs ending in ``attr`` (id, rank, feature, impact, direction, base_value)."""
-    terms = rules.sql_risk_terms()
+def sql_attribution(src: str, top_n: int = 5, id_col: str = S.ID_COL, optional=()) -> list[str]:
+    """CTEs ending in ``attr`` (id, rank, feature, impact, direction, base_value); NULLs of the
+    ``optional`` fields count as their median."""
+    terms = rules.sql_risk_terms({c: f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM {src}))" for c in optional})
     t_sel = ", ".join(f"{e} AS t_{k}" for k, e in terms.items())
     means = ", ".join(f"avg(t_{k}) AS m_{k}" for k in terms)
     base = f"{rules.LOGIT_INTERCEPT!r}" + "".join(f" + {w!r} * m_{k}" for k, w in rules.LOGIT_WEIGHTS.items())
@@ -189,19 +217,25 @@ def sql_attribution(src: str, top_n: int = 5, id_col: str = S.ID_COL) -> list[st
 
 
 def sql_counterfactual(src: str, max_changes: int = 4, target: str = "APPROVE",
-                       id_col: str = S.ID_COL) -> list[str]:
-    """CTEs ending in ``cf_out``: the same greedy rounds as chained per-row projections."""
+                       id_col: str = S.ID_COL, optional=()) -> list[str]:
+    """CTEs ending in ``cf_out`` and ``cf_changes``: the same greedy rounds as chained per-row projections."""
     feats = [f for f, _ in MUTABLE_FEATURES]
-    cur = {f: f"cf_{f}" for f in feats}
+    fill = [f for f in feats if f in optional]
+    cur = {f: f"coalesce(cf_{f}, m_{f})" if f in fill else f"cf_{f}" for f in feats}
+    fixed = [id_col, "grade"] + [f"o_{f}" for f in feats] + [f"m_{f}" for f in fill]
+    fix = ", ".join(fixed)
 
     def dec(p):
         return SC.sql_prob_decision(p)
 
     p0 = rules.sql_risk_probability(cur)
-    ctes = [f"cf0 AS (SELECT *, {p0} AS p_start, {p0} AS p_cur, coalesce({dec(p0)} = '{target}', false) AS done "
+    ctes = ["cf_m AS (SELECT count(*) AS m_n" + "".join(f", quantile_cont({f}, 0.5) AS m_{f}" for f in fill)
+            + f" FROM {src})",
+            f"cf0 AS (SELECT *, {p0} AS p_start, {p0} AS p_cur, coalesce({dec(p0)} = '{target}', false) AS done "
             f"FROM (SELECT {id_col}, grade, " + ", ".join(f"CAST({f} AS DOUBLE) AS cf_{f}" for f in feats)
-            + f", CAST([] AS VARCHAR[]) AS changes FROM {src}))"]
-    carry = [id_col, "grade"] + [f"cf_{f}" for f in feats] + ["changes", "p_start", "p_cur", "done"]
+            + "".join(f", CAST({f} AS DOUBLE) AS o_{f}" for f in feats)
+            + f", cf_m.*, CAST([] AS VARCHAR[]) AS changes FROM {src}, cf_m))"]
+    carry = fixed + [f"cf_{f}" for f in feats] + ["changes", "p_start", "p_cur", "done"]
     prev = "cf0"
     for r in range(1, max_changes + 1):
         ds = []
@@ -221,11 +255,11 @@ def sql_counterfactual(src: str, max_changes: int = 4, target: str = "APPROVE",
             factor = LOWER_FACTOR if direction == "lower" else HIGHER_FACTOR
             upd.append(f"CASE WHEN go AND bi = {i} THEN coalesce(cf_{f}, 0.0) * {factor!r} ELSE cf_{f} END AS cf_{f}")
         names = "[" + ", ".join(f"'{f}'" for f in feats) + "]"
-        ctes.append(f"cf{r}c AS (SELECT {id_col}, grade, {', '.join(upd)}, "
+        ctes.append(f"cf{r}c AS (SELECT {fix}, {', '.join(upd)}, "
                     f"CASE WHEN go THEN list_append(changes, {names}[bi + 1]) ELSE changes END AS changes, "
                     f"p_start, p_cur, done, go FROM cf{r}b)")
         pn = rules.sql_risk_probability(cur)
-        ctes.append(f"cf{r} AS (SELECT {id_col}, grade, " + ", ".join(f"cf_{f}" for f in feats)
+        ctes.append(f"cf{r} AS (SELECT {fix}, " + ", ".join(f"cf_{f}" for f in feats)
                     + f", changes, p_start, CASE WHEN go THEN {pn} ELSE p_cur END AS p_cur, "
                     f"done OR NOT go OR coalesce({dec(f'(CASE WHEN go THEN {pn} ELSE p_cur END)')} = '{target}', false) AS done "
                     f"FROM cf{r}c)")
@@ -236,6 +270,14 @@ def sql_counterfactual(src: str, max_changes: int = 4, target: str = "APPROVE",
                 "round(p_cur * 10000.0) / 10000.0 AS counterfactual_probability, "
                 f"{dec('p_cur')} AS counterfactual_decision, coalesce({dec('p_cur')} = '{target}', false) AS achievable "
                 f"FROM {prev})")
+
+    def of_change(what):
+        return "CASE changes[step] " + " ".join(f"WHEN '{f}' THEN {what(f, d)}" for f, d in MUTABLE_FEATURES) + " END"
+    ctes.append(f"cf_changes AS (SELECT {id_col}, CAST(step AS INTEGER) AS step, changes[step] AS feature, "
+                + of_change(lambda f, d: f"'{d}'") + " AS direction, round("
+                + of_change(lambda f, d: f"coalesce(o_{f}, 0.0)") + " * 10000.0) / 10000.0 AS current_value, round("
+                + of_change(lambda f, d: f"cf_{f}") + " * 10000.0) / 10000.0 AS suggested_value "
+                f"FROM {prev}, range(1, {max_changes + 1}) r(step) WHERE step <= len(changes))")
     return ctes
 
 

@@ -29,6 +29,23 @@ def test_counterfactual_never_raises_probability(spark, sf_dir):
     assert all(r.n_changes <= 4 for r in rows)
 
 
+def test_counterfactual_values_and_no_null_decisions(spark, sf_dir):
+    from loanlens.plans import scoring
+    apps = FX.applications(spark, sf_dir)
+    cf = XP.counterfactual(apps, XP.imputing_scorer(scoring.optional_medians(apps)))
+    rows = cf.collect()
+    assert rows and all(r.decision is not None and r.start_probability is not None for r in rows)
+    factor = {"lower": XP.LOWER_FACTOR, "higher": XP.HIGHER_FACTOR}
+    changes = [c for r in rows for c in r.change_values]
+    assert changes
+    for r in rows:
+        assert [c.step for c in r.change_values] == list(range(1, r.n_changes + 1))
+        assert ";".join(c.feature for c in r.change_values) == r.changed_features
+    for c in changes:
+        assert dict(XP.MUTABLE_FEATURES)[c.feature] == c.direction
+        assert c.suggested_value == pytest.approx(c.current_value * factor[c.direction], abs=2e-4)
+
+
 def test_surrogate_reproducible(spark, sf_dir):
     apps = FX.applications(spark, sf_dir).limit(20)
     a = sorted(XP.local_surrogate(apps, n_samples=100).collect())
