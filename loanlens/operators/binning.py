@@ -1,14 +1,10 @@
 """Quantile bin edges (A1) and range-bin assignment.
 
-Edges of every numeric column are computed in ONE aggregation over a long
-``(feature, value)`` frame, grouped by feature, so the final merge of the
-quantile state is spread over one task per feature instead of one task for
-all columns. ``method="exact"`` uses ``percentile`` (linear interpolation,
-equal to numpy's default and DuckDB's ``quantile_cont``); its state is a
-value->count map, which is fine while a column has at most a few million
-distinct values. ``method="approx"`` uses ``percentile_approx`` (a mergeable
-sketch with bounded memory) and is the setting for 100 TB inputs; the domain
-itself only promises exact quantiles up to 200,000 rows.
+Edges of every numeric column come from ONE long ``(feature, value)`` frame.
+``method="exact"`` interpolates linearly (equal to numpy's default and DuckDB's
+``quantile_cont``) between order statistics found in sorted ranges of the distinct
+values (``ranking.percentiles``), so no task holds a column. ``method="approx"``
+uses ``percentile_approx``, a mergeable sketch with bounded memory.
 
 The resulting edges table has at most ``n_bins + 1`` values per feature, so
 collecting it to the driver and inlining the edges as literals is bounded by
@@ -21,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .ranking import percentiles
 
 EDGE_MERGE_TOL = 1e-8
 
@@ -41,15 +38,15 @@ def long_values(df: DataFrame, columns: list[str], extra: list[str] | None = Non
 def quantile_edges(df: DataFrame, columns: list[str], n_bins: int, method: str = "exact",
                    accuracy: int = 100_000) -> DataFrame:
     """``(feature, edges array<double>)``: merged quantile edges of non-null values."""
-    probs = F.array(*[F.lit(i / n_bins) for i in range(n_bins + 1)])
+    probs = [i / n_bins for i in range(n_bins + 1)]
     long = long_values(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
     if method == "exact":
-        q = F.percentile("value", probs)
+        raw = percentiles(long, "value", probs, "feature").withColumnRenamed("q", "raw_edges")
     elif method == "approx":
-        q = F.percentile_approx("value", probs, accuracy)
+        raw = long.groupBy("feature").agg(
+            F.percentile_approx("value", F.array(*map(F.lit, probs)), accuracy).alias("raw_edges"))
     else:
         raise ValueError(f"unknown quantile method {method!r}")
-    raw = long.groupBy("feature").agg(q.alias("raw_edges"))
     # Keep an edge when it is more than 1e-8 above its (original) neighbour.
     merged = F.filter("raw_edges", lambda e, i: F.when(i == 0, F.lit(True)).otherwise(
         e - F.get(F.col("raw_edges"), i - 1) > EDGE_MERGE_TOL))

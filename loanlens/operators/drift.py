@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.scorecard import psi_status, sql_psi_status
 from . import binning
+from .ranking import percentiles
 
 MIN_CURRENT_ROWS = 10
 WARN_CURRENT_ROWS = 30
@@ -51,9 +52,9 @@ def reference_edges(reference: DataFrame, cols: list[str], n_bins: int = 10) ->
     """Deciles of the reference's non-null values, exact duplicates removed."""
     if not cols:
         return {}
-    probs = F.array(*[F.lit(i / n_bins) for i in range(n_bins + 1)])
+    probs = [i / n_bins for i in range(n_bins + 1)]
     long = binning.long_values(reference, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    e = long.groupBy("feature").agg(F.array_distinct(F.percentile("value", probs)).alias("edges"))
+    e = percentiles(long, "value", probs, "feature").select("feature", F.array_distinct("q").alias("edges"))
     return binning.collect_edges(e)
 
 

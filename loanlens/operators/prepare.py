@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.numeric import round_dp
 from . import binning
-from .ranking import value_at_ranks
+from .ranking import percentiles, value_at_ranks
 
 
 # --- A8 / A9 / A10 ------------------------------------------------------------------
@@ -47,8 +47,9 @@ def missing_summary(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def fit_medians(df: DataFrame, numeric_cols: list[str], method: str = "exact") -> DataFrame:
     """(feature, median): mean of the two middle values (linear percentile 0.5)."""
     long = binning.long_values(df, numeric_cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    q = F.percentile("value", F.lit(0.5)) if method == "exact" else F.percentile_approx("value", 0.5, 100_000)
-    return long.groupBy("feature").agg(q.alias("median"))
+    if method == "exact":
+        return percentiles(long, "value", [0.5], "feature").select("feature", F.col("q")[0].alias("median"))
+    return long.groupBy("feature").agg(F.percentile_approx("value", 0.5, 100_000).alias("median"))
 
 
 def impute(df: DataFrame, medians: dict[str, float], categorical_cols: list[str],
@@ -166,7 +167,7 @@ def stratified_split(df: DataFrame, target: str = S.TARGET_COL, id_col: str = S.
     """Adds ``split`` in {train, val, test}; per class the ``ceil(test n_c)`` smallest
     hashes are test, then ``ceil(val/(1-test) * rest)`` are val.
 
-    The per-class cut-offs come from the bucketed order statistics (no window
+    The per-class cut-offs come from the ranged order statistics (no window
     over a whole class, which would put half the table in one task).
     """
     val_frac = val_size / (1.0 - test_size)

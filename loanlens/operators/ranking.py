@@ -1,61 +1,73 @@
-"""Exact order statistics without a single-task global sort (W4, A11 helper).
+"""Exact order statistics without a single-task global sort.
 
 ``value_at_ranks`` returns, for fractions ``p``, the sorted value at index
 ``min(floor(p * n), n - 1)``. Plan:
 
 1. ``groupBy(value).count()`` - duplicates collapse (partial aggregation).
-2. One-row min / max / n aggregate.
-3. Equal-width value buckets (K of them, a fixed bound): bucket totals ->
-   exclusive offsets over K rows.
-4. Running count inside each bucket (window partitioned by bucket, so the
-   work spreads over K groups) + offset = global cumulative count.
+2. The distinct values are dealt into sorted ranges of like size (``ordered_parts``), as many as the
+   session has shuffle partitions, whatever the distribution of the values.
+3. Range totals (one row per range and group) -> exclusive offsets.
+4. Only ranges that hold a wanted rank are sorted: running count inside the range + offset.
 5. ``min(value) where cum > rank`` per fraction - one aggregate.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANK_BUCKETS = 1024
+from ..session import cut_lineage
+
+
+def ordered_parts(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` dealt into sorted ranges of like size; ``part`` numbers them in ascending order.
+
+    Range bounds are sampled, so the frame is written once: counting and sorting see the same ranges.
+    """
+    return cut_lineage(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
 
 
 def value_at_ranks(df: DataFrame, value: str, fractions: dict[str, float] | None = None,
-                   k: int = RANK_BUCKETS, group: str | None = None, ranks: dict | None = None) -> DataFrame:
+                   group: str | None = None, ranks: dict | None = None, count: str | None = None) -> DataFrame:
     """One row (or one per ``group``) with a column per fraction; NULL when empty.
 
     ``ranks`` maps a name to a function of the count column ``n`` giving a
     0-based rank, for callers that need other rank rules than ``floor(p n)``.
+    ``count`` names a column for the number of values.
     """
     keys = [group] if group else []
     vc = (df.where(F.col(value).isNotNull())
           .groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c")))
-    stats = vc.groupBy(*keys).agg(F.min("v").alias("vmin"), F.max("v").alias("vmax"),
-                                  F.sum("c").alias("n"))
-    # ``group`` is low-cardinality (classes, features): stats has one row per
-    # group and the offsets K rows per group, so both are broadcast; a shuffle
-    # join on a 2-valued key would put half the table in one task.
-    j = vc.join(F.broadcast(stats), keys) if keys else vc.join(F.broadcast(stats))
-    span = F.col("vmax") - F.col("vmin")
-    bucket = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("vmin")).cast("double")
-                                              / span.cast("double") * k),
-                                      F.lit(k - 1))).otherwise(F.lit(0)).cast("int")
-    b = j.withColumn("bucket", bucket)
-    tot = b.groupBy(*keys, "bucket").agg(F.sum("c").alias("bc"))
-    wo = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*[F.col(kk).alias(f"o_{kk}") for kk in keys], F.col("bucket").alias("o_bucket"),
-                     F.coalesce(F.sum("bc").over(wo), F.lit(0)).alias("off"))
-    wi = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    run = b.select(*keys, "bucket", "v", "n", F.sum("c").over(wi).alias("run"))
-    cond = run["bucket"] == off["o_bucket"]
-    for kk in keys:
-        cond = cond & (run[kk] == off[f"o_{kk}"])
-    cum = run.join(F.broadcast(off), cond).select(
-        *[run[kk] for kk in keys], "v", "n", (F.col("run") + F.col("off")).alias("cum"))
-    aggs = []
-    for name, p in (fractions or {}).items():
-        r = F.least(F.floor(F.lit(float(p)) * F.col("n")), F.col("n") - 1)
-        aggs.append(F.min(F.when(F.col("cum") > r, F.col("v"))).alias(name))
-    for name, fn in (ranks or {}).items():
-        aggs.append(F.min(F.when(F.col("cum") > fn(F.col("n")), F.col("v"))).alias(name))
-    return cum.groupBy(*keys).agg(*aggs)
+    dealt = ordered_parts(vc, *keys, "v")
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (dealt.groupBy(*keys, "part").agg(F.sum("c").alias("pc"))
+               .withColumn("off", F.coalesce(F.sum("pc").over(before), F.lit(0)))
+               .withColumn("n", F.sum("pc").over(whole)))
+    wanted = {name: F.least(F.floor(F.lit(float(p)) * F.col("n")), F.col("n") - 1)
+              for name, p in (fractions or {}).items()}
+    wanted.update({name: F.greatest(fn(F.col("n")), F.lit(0)) for name, fn in (ranks or {}).items()})
+    holds = reduce(or_, [(r >= F.col("off")) & (r < F.col("off") + F.col("pc")) for r in wanted.values()])
+    inside = Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (dealt.join(offsets.where(holds).drop("pc"), [*keys, "part"])
+           .withColumn("cum", F.sum("c").over(inside) + F.col("off")))
+    aggs = [F.min(F.when(F.col("cum") > r, F.col("v"))).alias(name) for name, r in wanted.items()]
+    return cum.groupBy(*keys).agg(*aggs, *([F.max("n").alias(count)] if count else []))
+
+
+def percentiles(df: DataFrame, value: str, probs: list[float], group: str) -> DataFrame:
+    """(``group``, q array<double>): exact percentiles with linear interpolation, as ``percentile``
+    gives them, but spread over sorted ranges of the values instead of one state per group."""
+    ranks = {}
+    for i, p in enumerate(probs):
+        ranks[f"lo{i}"] = lambda n, p=p: F.floor(F.lit(float(p)) * (n - 1))
+        ranks[f"hi{i}"] = lambda n, p=p: F.ceil(F.lit(float(p)) * (n - 1))
+    got = value_at_ranks(df, value, group=group, ranks=ranks, count="n")
+    out = []
+    for i, p in enumerate(probs):
+        lo, hi, at = F.col(f"lo{i}"), F.col(f"hi{i}"), F.lit(float(p)) * (F.col("n") - 1)
+        out.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi))
+    return got.select(group, F.array(*out).alias("q"))

@@ -242,6 +242,8 @@ def woe_table_df(df: DataFrame, target: str, numeric_cols, categorical_cols,
     n_bins = binning.n_quantile_bins(max_bins, min_bin_pct)
     edges_df = binning.quantile_edges(df, numeric_cols, n_bins, quantiles) if numeric_cols else None
     edges = binning.collect_edges(edges_df) if edges_df is not None else {}
+    if edges_df is not None:  # the collected edges, not their plan a second time
+        edges_df = df.sparkSession.createDataFrame(list(edges.items()), "feature string, edges array<double>")
     counts = woe_counts(df, target, numeric_cols, categorical_cols, edges)
     return woe_from_counts(counts, edges_df, smoothing, guard=True)
 

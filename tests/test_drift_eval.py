@@ -82,3 +82,23 @@ def test_null_scores_are_not_ranked(spark):
     df = spark.createDataFrame([(0.9, 1), (None, 1), (0.1, 0), (0.5, 0)], "p double, y int")
     with pytest.raises(Exception, match="p is NULL"):
         EV.score_frame(df, "y", "p").collect()
+
+
+def test_percentiles_with_outliers_and_clusters(spark):
+    import numpy as np
+
+    from loanlens.operators import ranking
+    rng = np.random.default_rng(7)
+    groups = {"tail": np.append(rng.random(3000), 1e9), "narrow": 0.5 + rng.random(3000) / 1000,
+              "ties": np.repeat([1.0, 2.0, 5.0], 700), "one": np.array([3.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs] + [("tail", None)],
+                               "g string, v double").repartition(7)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    got = {r.g: r.q for r in ranking.percentiles(df, "v", probs, "g").collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert np.allclose(got[g], np.quantile(vs, probs), rtol=1e-12)
+    p99 = ranking.value_at_ranks(df.where("g = 'tail'"), "v", {"p99": 0.99, "top": 1.0}).first()
+    ordered = np.sort(groups["tail"])
+    assert p99.p99 == ordered[int(0.99 * len(ordered))] and p99.top == 1e9
+    assert ranking.value_at_ranks(df.where("false"), "v", {"p": 0.5}).first().p is None
