@@ -5,10 +5,11 @@ Everything ranks probabilities, so it starts from one shared frame:
 aggregate removes any hot value before the shuffle.
 
 Cumulative sums in descending ``p`` (KS, AUC, AP) are a *two-phase prefix
-sum* (SURVEY H1): probabilities are cut into ``K`` fixed value buckets on
-[0, 1]; bucket totals (K rows, a proven bound) give each bucket's offset, and
-a window partitioned by bucket gives the running sum inside it. No window
-ever runs over the whole table in one task.
+sum* (SURVEY H1): the distinct probabilities are dealt into sorted ranges of
+like size (``ranking.ordered_parts``), wherever in [0, 1] they lie; the totals of
+the ranges (one row per shuffle partition) give each range's offset, and a window
+partitioned by range gives the running sum inside it. No window ever runs over
+the whole table in one task.
 """
 
 from __future__ import annotations
@@ -19,8 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.scorecard import probability_to_score
-
-PREFIX_BUCKETS = 1024
+from .ranking import ordered_parts
 
 # Bin edges exactly as numpy's linspace produces them (0.30000000000000004 etc.).
 PROB_EDGES_10 = [float(x) for x in np.linspace(0.0, 1.0, 11)]
@@ -40,30 +40,26 @@ def score_frame(df: DataFrame, label: str, prob: str) -> DataFrame:
             .groupBy("p").agg(F.sum("y").alias("pos"), F.sum(F.lit(1) - F.col("y")).alias("neg")))
 
 
-def _bucket(p: Column, k: int) -> Column:
-    return F.least(F.greatest(F.floor(p * k), F.lit(0)), F.lit(k - 1)).cast("int")
-
-
-def cumulative_frame(by_score: DataFrame, k: int = PREFIX_BUCKETS) -> DataFrame:
+def cumulative_frame(by_score: DataFrame) -> DataFrame:
     """Adds cum_pos / cum_neg (rows with score >= p) and totals P / N."""
-    b = by_score.withColumn("bucket", _bucket(F.col("p"), k))
-    totals = b.groupBy("bucket").agg(F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"))
-    w_all = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    # K rows at most: a single-task window here is bounded by construction.
+    b = ordered_parts(by_score, "p")
+    totals = b.groupBy("part").agg(F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"))
+    w_all = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per shuffle partition at most: a single-task window here is bounded by construction.
     offsets = totals.select(
-        "bucket",
+        "part",
         F.coalesce(F.sum("b_pos").over(w_all), F.lit(0)).alias("off_pos"),
         F.coalesce(F.sum("b_neg").over(w_all), F.lit(0)).alias("off_neg"),
         F.sum("b_pos").over(Window.partitionBy()).alias("tot_pos"),
         F.sum("b_neg").over(Window.partitionBy()).alias("tot_neg"))
-    offsets = offsets.withColumnRenamed("bucket", "o_bucket")
-    w_in = (Window.partitionBy("bucket").orderBy(F.desc("p"))
+    offsets = offsets.withColumnRenamed("part", "o_part")
+    w_in = (Window.partitionBy("part").orderBy(F.desc("p"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = b.select("bucket", "p", "pos", "neg",
+    running = b.select("part", "p", "pos", "neg",
                        F.sum("pos").over(w_in).alias("run_pos"),
                        F.sum("neg").over(w_in).alias("run_neg"))
-    j = running.join(F.broadcast(offsets), running["bucket"] == offsets["o_bucket"])
-    return j.select("bucket", "p", "pos", "neg",
+    j = running.join(F.broadcast(offsets), running["part"] == offsets["o_part"])
+    return j.select("part", "p", "pos", "neg",
                     (F.col("run_pos") + F.col("off_pos")).alias("cum_pos"),
                     (F.col("run_neg") + F.col("off_neg")).alias("cum_neg"), "tot_pos", "tot_neg")
 

@@ -102,3 +102,17 @@ def test_percentiles_with_outliers_and_clusters(spark):
     ordered = np.sort(groups["tail"])
     assert p99.p99 == ordered[int(0.99 * len(ordered))] and p99.top == 1e9
     assert ranking.value_at_ranks(df.where("false"), "v", {"p": 0.5}).first().p is None
+
+
+def test_ranking_metrics_of_clustered_scores(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    p = np.where(rng.random(2000) < 0.99, 0.5 + rng.random(2000) / 1000, rng.random(2000)).round(7)
+    y = (rng.random(2000) < 0.3).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(p, y)], "p double, y int").repartition(5)
+    m = EV.ranking_metrics(EV.cumulative_frame(EV.score_frame(df, "y", "p"))).first()
+    pos, neg = p[y == 1], p[y == 0]
+    wins = (pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()
+    assert m.auc_roc == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
+    cuts = np.unique(p)
+    assert m.ks_statistic == pytest.approx(max(abs((pos >= c).mean() - (neg >= c).mean()) for c in cuts), abs=1e-12)
