@@ -18,6 +18,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from .common import ship
 
 #: Distinct pre-tokens a task remembers before it starts afresh.
-REMEMBER = 400_000
-#: Characters whose new pre-tokens are replayed together.
-RUN_CHARS = 4 << 20
+REMEMBER = 200_000
+#: Bytes of the documents whose new pre-tokens are replayed together.
+RUN_BYTES = 2 << 20
 
 
 class Ranks:
@@ -160,14 +161,15 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFr
     def run(batches):
         coder = Encoder(path, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
             at = 0
-            while at < len(texts):
+            while at < len(sizes):
                 to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= RUN_CHARS):
-                    size += len(texts[to])
+                while to < len(sizes) and (to == at or size + sizes[to] <= RUN_BYTES):
+                    size += sizes[to]
                     to += 1
-                coded = coder.encode(texts[at:to])
+                # only the texts of this run become Python strings
+                coded = coder.encode([t or "" for t in batch.column("text").slice(at, to - at).to_pylist()])
                 columns = [batch.column("doc_id").slice(at, to - at),
                            pa.array([len(c) // 4 for c in coded], pa.int64()),
                            pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string()),
