@@ -9,8 +9,9 @@ Which suffixes lead a run is decided by content: in every 50-byte window the suf
 bucket hash leads, so equal windows in two documents have the same leader, and a run is the set of
 adjacent windows that one suffix leads. Round one sorts run buckets (about one per sixteen bytes)
 over the corpus; a run whose bucket also lies in a smaller document is removed whole. Round two
-takes, of leaders with several different runs, the first document's windows one by one. So every
-window of 50 bytes is decided exactly (up to 64-bit identifiers), and nothing is sampled or capped.
+takes, of leaders with several different runs, the first document's windows one by one; a run that
+occurs again under the same doc_id has the outcome of its first occurrence. So every window of 50
+bytes is decided exactly (up to 64-bit identifiers), and nothing is sampled or capped.
 
 Defined results: NULL and empty texts have no bytes; texts under 50 bytes stay whole; documents with
 equal doc_id never remove from each other; rows with a NULL doc_id stay whole and remove nothing.
@@ -198,21 +199,29 @@ def _flags(answers: dict[int, bytes], kind: int, parts: int, order: np.ndarray,
 
 
 def _judge_runs(chunk: X.Chunk, answers: dict[int, bytes], parts: int):
-    """The chunk's runs, which are removed whole, and which must be looked at window by window."""
+    """The chunk's runs, which are removed whole, the windows of those that must be looked at window by window
+    (one run of each bucket), and the runs of the same buckets and documents that share their outcome."""
     runs = Runs(chunk)
     firsts, entry = _entries(runs, chunk.ids)
     order, cuts, _ = _bodies(0, runs.lead[firsts], runs.run[firsts], chunk.ids[runs.doc[firsts]], parts)
     flags = _flags(answers, 0, parts, order, cuts)
     whole = (flags[entry] & 1 > 0) | (chunk.ids[runs.doc] > chunk.ids[runs.doc[firsts]][entry])
-    single = firsts[flags & 2 > 0]
+    looked = flags & 2 > 0
+    single = firsts[looked]
     p, bucket = runs.windows(single)
     ids = np.repeat(chunk.ids[runs.doc[single]], runs.count[single])
-    return runs, whole, p, bucket, ids
+    # other occurrences in the same document, or in other rows of its doc_id: equal bytes, equal outcome
+    more = looked[entry] & ~whole
+    more[single] = False
+    more = np.flatnonzero(more)
+    begin = np.cumsum(runs.count[single]) - runs.count[single]
+    model = begin[np.cumsum(looked)[entry[more]] - 1]
+    return runs, whole, p, bucket, ids, more, model
 
 
 def _ask_windows(parts: int):
     def fn(chunk, answers):
-        _, _, _, bucket, ids = _judge_runs(chunk, answers, parts)
+        _, _, _, bucket, ids, _, _ = _judge_runs(chunk, answers, parts)
         order, begin, _ = _least([bucket], ids)
         firsts = order[begin]
         got = _bodies(1, bucket[firsts], None, ids[firsts], parts)[2]
@@ -224,7 +233,7 @@ def _ask_windows(parts: int):
 
 def _outcome(parts: int, keep_text: bool, keep: tuple[str, ...]):
     def fn(chunk, answers):
-        runs, whole, p, bucket, ids = _judge_runs(chunk, answers, parts)
+        runs, whole, p, bucket, ids, more, model = _judge_runs(chunk, answers, parts)
         edge = np.zeros(len(chunk.data) + 1, np.int32)
         np.add.at(edge, runs.first[whole], 1)
         np.add.at(edge, runs.first[whole] + runs.count[whole] + WIDTH - 1, -1)
@@ -237,6 +246,15 @@ def _outcome(parts: int, keep_text: bool, keep: tuple[str, ...]):
             hit[order] = (flags[place] > 0) | (ids[order] > ids[firsts][place])
             np.add.at(edge, p[hit], 1)
             np.add.at(edge, p[hit] + WIDTH, -1)
+            before = np.concatenate([[0], np.cumsum(hit)])
+            some = before[model + runs.count[more]] > before[model]
+            more, model = more[some], model[some]
+            count = runs.count[more]
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            again = hit[np.repeat(model, count) + step]
+            again = (np.repeat(runs.first[more], count) + step)[again]
+            np.add.at(edge, again, 1)
+            np.add.at(edge, again + WIDTH, -1)
         gone = np.cumsum(edge[:-1]) > 0
         out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
         texts = []

@@ -111,6 +111,29 @@ def test_repeats(docs, rows, nothing, spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in repeats.remove_repeats(null).collect()) == [(0, 0), (1, 0), (2, 60)]
 
 
+def test_repeats_of_partly_shared_runs(spark):
+    """A run of which a smaller document holds a part occurs again in its document, or in another row of its id."""
+    rng = random.Random(11)
+    some = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    rows = []
+    for k in range(40):
+        line, other = some(rng.randint(50, 130)), some(90)
+        rows += [(10 * k, line), (10 * k + 1, line * 3), (10 * k + 2, line + line[:40] + line * 2)]
+        rows += [(10 * k + 3, other[:60]), (10 * k + 4, some(30) + other + some(20))]
+        rows += [(10 * k + 4, some(5) + other), (10 * k + 4, other + other), (10 * k + 5, other * 2)]
+    first = {}
+    for i, t in rows:
+        for p in range(len(t) - 49):
+            first[t[p:p + 50]] = min(i, first.get(t[p:p + 50], i))
+    want = []
+    for i, t in rows:
+        gone = [any(first.get(t[q:q + 50], i) < i for q in range(max(p - 49, 0), p + 1)) for p in range(len(t))]
+        want.append((i, "".join(c for c, g in zip(t, gone, strict=True) if not g)))
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        assert sorted((r.doc_id, r.kept_text) for r in repeats.remove_repeats(df).collect()) == sorted(want)
+
+
 def test_ppm(docs, rows, nothing):
     train = {i: zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows}
     words = [(t or "").encode().lower().split() + [None] for _, t in rows]
