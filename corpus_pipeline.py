@@ -5,8 +5,9 @@ shared checkpoint folder and reads again as the next stage's documents. All stag
 return the columns of documents.
 
 1. quality: documents that the line classifier rejects (score under 0.3) go.
-2. near_duplicates: five-word shingles, Jaccard 0.8; of each component the document of smallest
-   doc_id stays (of repeated rows of that id, one).
+2. near_duplicates: five-word shingles, Jaccard 0.8; of each component the row of smallest doc_id
+   stays (of several rows of that id, the one of smallest 64-bit hash; exact repeats are one row).
+   Rows of equal doc_id that do not link are separate documents and all stay.
 3. repeats: bytes covered by 50-byte strings of a smaller document are cut out; documents of which
    nothing is left go; ``n_chars`` follows the text.
 4. decontaminate: documents of which at least 5 % of the words lie in benchmark windows go.
@@ -19,7 +20,7 @@ they are, the others treat them like any document. NULL texts become empty in st
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm import bpe, decontaminate, jaccard, quality, repeats
@@ -34,14 +35,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    known = docs.where("doc_id is not null")
-    found = jaccard.link_components(known, k=5, num=8, den=10)
-    stays = cut_lineage(found.where("doc_id = component_id").select("doc_id").distinct())
-    rows = known.join(small(stays), "doc_id", "left_semi")
-    if known.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        one = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-        rows = rows.withColumn("_i", F.row_number().over(one)).where("_i = 1")
-    return rows.select(*_COLUMNS).unionByName(docs.where("doc_id is null").select(*_COLUMNS))
+    # a row's key is a hash of its columns and of which of them are NULL
+    key = F.xxhash64(*_COLUMNS, *(F.col(c).isNull() for c in _COLUMNS))
+    known = docs.where("doc_id is not null").select(*_COLUMNS, key.alias("_key"))
+    found = jaccard.link_components(known.select(F.col("_key").alias("doc_id"), "text"), k=5, num=8, den=10)
+    ids = known.groupBy("_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    least = found.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(ids, "_key").groupBy(
+        "component_id").agg(F.min(F.struct("doc_id", "_key", "copies")).alias("s"))
+    stays = cut_lineage(least.select("s._key", "s.copies"))
+    single, copied = stays.where("copies = 1").select("_key"), stays.where("copies > 1").select("_key")
+    rows = known.join(small(single), "_key", "left_semi").select(*_COLUMNS)
+    if copied.limit(1).count():
+        # only exact repeats are shuffled with their texts
+        rows = rows.unionByName(known.join(small(copied), "_key", "left_semi").select(*_COLUMNS).distinct())
+    return rows.unionByName(docs.where("doc_id is null").select(*_COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,16 @@ def test_null_rows(spark):
     for name, stage in corpus_pipeline.STAGES[2:]:
         assert stage(spark, docs.where("false"), SF).count() == 0
         docs = stage(spark, docs, SF)
+
+
+def test_equal_ids_with_different_texts(spark):
+    """Rows are judged, not ids: a unique text stays though its id occurs again, a linked copy goes."""
+    x, y, z = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    docs = spark.createDataFrame(
+        [(1, x, "en", "s", 1), (2, x, "en", "s", 1), (2, y, "en", "s", 1), (2, y, "en", "s", 1), (3, y, "en", "s", 1),
+         (4, z, None, "en", 1), (4, z, "en", None, 1), (5, None, "en", "s", 1), (5, "", "en", "s", 1), (5, z, "en", "s", 1),
+         (6, "a", None, None, None), (6, "b", None, None, None)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(3), SF).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, x), (2, y), (4, z), (5, None), (5, ""), (6, "a"), (6, "b")], key=str)
