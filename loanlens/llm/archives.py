@@ -29,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, cut_lineage, ship, shared_path
+from .common import cut_lineage, ship, shared_path
 
 #: Payload bytes in one archive file, unless one record has more.
 FILE_BYTES = 6 << 20
 MIN_REVISIT = 1000
+#: Memory of a map of revisits that is broadcast, and of one of its entries at most; a larger map is joined.
+MAP_BYTES = 64 << 20
+ENTRY_BYTES = 320
 _SPACE = re.compile(rb"[\x00-\x20\x7f]")
 #: The version blocks' field lines.
 _V1 = "URL IP-address Archive-date Content-type Archive-length"
@@ -215,15 +218,16 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
     index = cut_lineage(read_arc(spark, arc).where(F.col("n") >= MIN_REVISIT).select("page_id", "n", "digest"))
     best = index.groupBy("digest", "n").agg(F.max("page_id").alias("source"), F.count("*").alias("c")).where("c > 1")
     revisits = cut_lineage(index.join(best, ["digest", "n"]).where(F.col("page_id") < F.col("source"))
-                           .groupBy("page_id").agg(F.collect_set(F.struct("digest", "source")).alias("r")))
-    if revisits.count() <= BROADCAST_ROWS:
+                           .select("page_id", "digest", "source").distinct())
+    if revisits.count() * ENTRY_BYTES <= MAP_BYTES:
         # the map is small: every task gets it, and payloads stay where they are
-        known = spark.sparkContext.broadcast({r.page_id: {x.digest: x.source for x in r.r} for r in revisits.collect()})
+        known = spark.sparkContext.broadcast({(r.page_id, bytes(r.d)): r.source for r in revisits.select(
+            "page_id", F.unhex("digest").alias("d"), "source").toLocalIterator()})
 
         def run(batches):
             for raw in _files(batches):
                 out = [warc_record(u, ip, d, http, p, page,
-                                   known.value.get(page, {}).get(hashlib.sha1(p).hexdigest()))
+                                   known.value.get((page, hashlib.sha1(p).digest())))
                        for _, u, ip, d, http, p, page in arc_records(raw)]
                 yield pa.RecordBatch.from_arrays([pa.array([b"\r\n".join(out).decode()])], names=["value"])
         rows = _load(spark, arc).mapInArrow(run, "value string")
@@ -237,7 +241,6 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
         names = ["page_id", "digest", "url", "ip", "date", "http", "payload"]
         records = _load(spark, arc).mapInArrow(split, "page_id long, digest string, url string, ip string, "
                                                       "date string, http binary, payload binary")
-        flat = revisits.select("page_id", F.explode("r").alias("x")).select("page_id", "x.digest", "x.source")
 
         def join(batches):
             held, size = [], 0
@@ -251,7 +254,7 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
                         held, size = [], 0
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array([b"\r\n".join(held).decode()])], names=["value"])
-        rows = records.join(flat, ["page_id", "digest"], "left").mapInArrow(join, "value string")
+        rows = records.join(revisits, ["page_id", "digest"], "left").mapInArrow(join, "value string")
     _save(rows, warc, "\r\n")
 
 

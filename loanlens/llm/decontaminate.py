@@ -1,7 +1,10 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
-The test items' normalised words form one generalised suffix automaton per block of items (a block
-is bounded by its words, so the broadcast is too; documents stream through every block). Streaming a
+The test items' normalised words form one generalised suffix automaton per block of items. Items are dealt
+to blocks by hash, about ``BLOCK_WORDS`` words each, and a task builds each block. One block is broadcast
+at a time: a benchmark of one block is matched where the documents are; of several, the documents are
+packed into chunks, every block makes a pass over them that leaves hit words and items by chunk, and
+chunks meet these by id. So neither driver nor worker holds more than one block. Streaming a
 document's words keeps the longest match ending at each word; where it reaches the window length,
 the last ``window`` words occur in an item and are hit. Items shorter than the window count only as
 a whole. Runs of words whose adjacent pairs never meet in any item cannot match and are skipped by a
@@ -15,14 +18,16 @@ repeated documents give a row each.
 from __future__ import annotations
 
 import hashlib
+import pickle
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import exchange as X
 from . import textkit as T
-from .common import ship
+from .common import cut_lineage, ship, written
 
 #: Words of the items in one automaton.
 BLOCK_WORDS = 400_000
@@ -131,10 +136,10 @@ class Automaton:
 class Block:
     """One block of items: vocabulary, adjacent pairs and automaton."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str, list[bytes]]], window: int, shortest: int):
         self.vocabulary: dict[bytes, int] = {}
         coded = [(name, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws]) for name, ws in items]
-        self.shortest = min([window, *(len(ids) for _, ids in coded if ids)])
+        self.shortest = shortest
         pairs = [np.array(ids[:-1], np.int64) * len(self.vocabulary) + np.array(ids[1:], np.int64)
                  for _, ids in coded if len(ids) > 1]
         self.pairs = np.unique(np.concatenate([*pairs, np.zeros(0, np.int64)]))
@@ -166,19 +171,91 @@ class Block:
                 self.automaton.stream(ids[a:b].tolist(), int(a), hit, found, longest)
 
 
-def blocks(benchmark: DataFrame, window: int) -> list[Block]:
-    """The benchmark's items in blocks of bounded size (read item by item, never whole)."""
-    rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("string"), "text")
-    out, items, size = [], [], 0
-    for name, text in rows.orderBy("item_id").toLocalIterator():
-        ws = normal_words(text)
-        if ws:
-            items.append((name, ws))
-            size += len(ws)
-        if size >= BLOCK_WORDS:
-            out.append(Block(items, window))
-            items, size = [], 0
-    return [*out, Block(items, window)] if items else out
+def blocks(benchmark: DataFrame, window: int) -> DataFrame:
+    """The benchmark's items in blocks of about ``BLOCK_WORDS`` words, one pickled block a row: ``g, body``."""
+    def count(batches):
+        for batch in batches:
+            sizes = [n for t in batch.column(0) if (n := len(normal_words(t.as_py())))]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(sizes)], pa.int64()),
+                                              pa.array([min([window, *sizes])], pa.int64())], names=["n", "least"])
+
+    def build(t: pa.Table) -> pa.Table:
+        items = [(name, ws) for name, text in zip(t["item_id"].to_pylist(), t["text"].to_pylist(), strict=True)
+                 if (ws := normal_words(text))]
+        made = [pickle.dumps(Block(items, window, least), pickle.HIGHEST_PROTOCOL)] if items else []
+        return pa.table({"g": t["g"].slice(0, len(made)), "body": pa.array(made, pa.binary())})
+
+    ship(benchmark.sparkSession)
+    rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    words, least = rows.select("text").mapInArrow(count, "n long, least long").agg(F.sum("n"), F.min("least")).first()
+    dealt = rows.distinct().withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-(words or 0) // BLOCK_WORDS)))))
+    return written(dealt.groupBy("g").applyInArrow(build, "g long, body binary"), "blocks")
+
+
+_held: dict[int, Block] = {}
+
+
+def _block(key: int, body) -> Block:
+    """The block of a broadcast, unpickled once in a worker, which lets go of the one before."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = pickle.loads(body.value)
+    return _held[key]
+
+
+def _match(block: Block | None, ws: list[bytes]) -> tuple[np.ndarray, set[str], int]:
+    """Hit words, matched items and longest match of a document's words in a block."""
+    hit, longest, found = np.zeros(len(ws), bool), np.zeros(len(ws), np.int32), set()
+    if block is not None:
+        ids = np.fromiter(map(block.vocabulary.get, ws, _minus), np.int64, len(ws))
+        block.match(ids, hit, found, longest)
+    return hit, found, int(longest.max(initial=0))
+
+
+def _ask_block(p: int, key: int, body):
+    """Of a chunk's documents with a match: place, number of hit words and their places, items, longest match."""
+    def fn(chunk):
+        block, out = _block(key, body), []
+        for i in range(len(chunk.ids)):
+            raw = chunk.data[int(chunk.offs[i]):int(chunk.offs[i + 1])].tobytes()
+            hit, found, longest = _match(block, raw.translate(_TABLE).split())
+            if longest:
+                out.append((i, np.flatnonzero(hit).astype(np.int32).tobytes(), found, longest))
+        return [(p, X.squeeze(pickle.dumps(out, pickle.HIGHEST_PROTOCOL)))]
+    return fn
+
+
+class _Results:
+    """Result columns of documents."""
+
+    def __init__(self, per_mille: int, clean: bool):
+        self.per_mille, self.clean = per_mille, clean
+        self.out = {c: [] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match",
+                                    *(["clean_text"] if clean else []))}
+
+    def add(self, raw: bytes, missing: bool, hit: np.ndarray, found: set[str], longest: int) -> None:
+        out, n, hits = self.out, len(hit), int(hit.sum())
+        out["n_words"].append(n)
+        out["n_hit"].append(hits)
+        out["n_items"].append(len(found))
+        out["items_sha256"].append(hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
+        out["contaminated"].append(hits > 0 and 1000 * hits >= self.per_mille * n)
+        out["longest_match"].append(longest)
+        if self.clean:
+            if hits:
+                data = np.frombuffer(raw, np.uint8)
+                s, e, _ = T.words(data, np.array([0, len(data)]), T.ALNUM)
+                parts, at = [], 0
+                for a, b in _spans(hit):
+                    parts.append(raw[at:s[a]])
+                    at = int(e[b - 1])
+                out["clean_text"].append(b"".join([*parts, raw[at:]]).decode())
+            else:
+                out["clean_text"].append(None if missing else raw.decode())
+
+    def columns(self) -> dict[str, pa.Array]:
+        kinds = {"items_sha256": pa.string(), "contaminated": pa.bool_(), "clean_text": pa.string()}
+        return {c: pa.array(v, kinds.get(c, pa.int64())) for c, v in self.out.items()}
 
 
 def _spans(hit: np.ndarray) -> list[tuple[int, int]]:
@@ -191,59 +268,64 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: floa
     """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match``.
 
     ``contaminated``: ``n_hit >= coverage * n_words`` with a hit. With ``keep``, those columns of the
-    documents come along; with ``clean``, ``clean_text`` is the text without its hit spans (words of
+    documents come along; ``longest_match`` is exact from the words of the shortest item on (``window`` at
+    most; shorter matches may be missed); with ``clean``, ``clean_text`` is the text without its hit spans (words of
     matched windows and what stands between them).
     """
-    ship(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
-    made = [sc.broadcast(b) for b in blocks(benchmark.select("item_id", "text"), window)]
+    made = blocks(benchmark.select("item_id", "text"), window)
+    groups = sorted(r.g for r in made.select("g").collect())
     own = [c for c in (keep or []) if c != "doc_id"]
     per_mille = round(coverage * 1000)
-
-    def run(batches):
-        use = [b.value for b in made]
-        for batch in batches:
-            out = {c: [] for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match",
-                                   *(["clean_text"] if clean else []))}
-            for text in batch.column("_text"):
-                raw = (text.as_py() or "").encode()
-                ws = raw.translate(_TABLE).split()
-                n = len(ws)
-                hit, longest, found = np.zeros(n, bool), np.zeros(n, np.int32), set()
-                for block in use:
-                    ids = np.fromiter(map(block.vocabulary.get, ws, _minus), np.int64, n)
-                    block.match(ids, hit, found, longest)
-                hits = int(hit.sum())
-                out["n_words"].append(n)
-                out["n_hit"].append(hits)
-                out["n_items"].append(len(found))
-                out["items_sha256"].append(hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
-                out["contaminated"].append(hits > 0 and 1000 * hits >= per_mille * n)
-                out["longest_match"].append(int(longest.max(initial=0)))
-                if clean:
-                    if hits:
-                        data = np.frombuffer(raw, np.uint8)
-                        s, e, _ = T.words(data, np.array([0, len(data)]), T.ALNUM)
-                        parts, at = [], 0
-                        for a, b in _spans(hit):
-                            parts.append(raw[at:s[a]])
-                            at = int(e[b - 1])
-                        out["clean_text"].append(b"".join([*parts, raw[at:]]).decode())
-                    else:
-                        out["clean_text"].append(text.as_py())
-            columns = [batch.column(c) for c in ("doc_id", *own)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(out["n_words"], pa.int64()), pa.array(out["n_hit"], pa.int64()),
-                 pa.array(out["n_items"], pa.int64()), pa.array(out["items_sha256"], pa.string()),
-                 pa.array(out["contaminated"], pa.bool_()), pa.array(out["longest_match"], pa.int64()),
-                 *([pa.array(out["clean_text"], pa.string())] if clean else [])],
-                names=["doc_id", *own, *out])
-
     types = dict(docs.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in ("doc_id", *own)] + [
         "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"]
         + (["clean_text string"] if clean else []))
-    return docs.select("doc_id", *own, F.col("text").alias("_text")).mapInArrow(run, schema)
+
+    def shared(g):
+        return sc.broadcast(bytes(made.where(F.col("g") == g).first().body))
+
+    if len(groups) < 2:
+        body = shared(groups[0]) if groups else None
+        key = body._jbroadcast.id() if groups else -1
+
+        def run(batches):
+            block = None if body is None else _block(key, body)
+            for batch in batches:
+                got = _Results(per_mille, clean)
+                for text in batch.column("_text"):
+                    raw = (text.as_py() or "").encode()
+                    got.add(raw, not text.is_valid, *_match(block, raw.translate(_TABLE).split()))
+                columns = got.columns()
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *own)), *columns.values()],
+                                                 names=["doc_id", *own, *columns])
+        return docs.select("doc_id", *own, F.col("text").alias("_text")).mapInArrow(run, schema)
+
+    packed = docs.select("doc_id", *own, F.col("text").alias("_text"), F.lit(0).alias("_id"),
+                         F.col("text").isNull().alias("_missing"))
+    blobs = X.pack(packed, "_id", "_text", ("doc_id", *own, "_missing"))
+    asks = None
+    for p, g in enumerate(groups):
+        body = shared(g)
+        got = cut_lineage(X.ask(blobs, _ask_block(p, body._jbroadcast.id(), body)))
+        body.destroy()
+        asks = got if asks is None else asks.union(got)
+
+    def outcome(chunk, answers):
+        n = len(chunk.ids)
+        raws = [chunk.data[int(a):int(z)].tobytes() for a, z in zip(chunk.offs[:-1], chunk.offs[1:], strict=True)]
+        hit = [np.zeros(len(raw.translate(_TABLE).split()), bool) for raw in raws]
+        found, longest = [set() for _ in range(n)], [0] * n
+        for answer in answers.values():
+            for i, where, names, size in pickle.loads(X.unsqueeze(answer)):
+                hit[i][np.frombuffer(where, np.int32)] = True
+                found[i] |= names
+                longest[i] = max(longest[i], size)
+        got, missing = _Results(per_mille, clean), chunk.extra.column("_missing").to_pylist()
+        for row in zip(raws, missing, hit, found, longest, strict=True):
+            got.add(*row)
+        return pa.table({c: chunk.extra.column(c) for c in ("doc_id", *own)} | got.columns())
+    return X.meet(blobs, asks, outcome, schema)
 
 
 class _Minus:

@@ -216,6 +216,22 @@ def test_decontamination(spark, docs, rows, nothing):
     assert decontaminate.scan(docs, bench.where("false")).where("n_hit > 0").count() == 0
 
 
+def test_decontamination_in_several_blocks(spark, docs, rows, monkeypatch):
+    """Many blocks give what one gives; tasks build them, and the driver reads no item."""
+    long = rows[-4][1].split()
+    items = [(i, " ".join(long[7 * i:7 * i + 20])) for i in range(60)] + [
+        (70, "Two, WORDS"), (71, None), (5, "c a b c"), (1, "日本 é"), (6, "x" * 50), (9, "one"), (9, "one")]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(2).cache()
+    monkeypatch.setattr(type(bench), "toLocalIterator", lambda *_, **__: pytest.fail("items read by the driver"))
+    scan = lambda: sorted((tuple(r) for r in decontaminate.scan(docs, bench, keep=["n", "s"], clean=True).collect()), key=str)
+    one = scan()
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 200)
+    assert decontaminate.blocks(bench, 13).count() > 3
+    many = scan()
+    # a match may run on across items only inside one text, so nothing depends on the blocks
+    assert many == one and sum(r[4] > 0 for r in one) > 2
+
+
 def test_bpe_equals_library(docs, rows, nothing):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = bpe.Ranks(path).rank
@@ -301,6 +317,19 @@ def test_archives(spark):
     assert archives.round_trip(df.where("page_id = 4")).count() == 1
 
 
+def test_archives_with_many_revisits(spark, monkeypatch):
+    """Revisits beyond the map's memory are joined, not broadcast, with equal results."""
+    pages = [(i, "u", f"<p>{i % 40}</p>" * 200) for i in range(200)] + [(7, "u", "<p>8</p>" * 200), (7, None, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    rows = lambda: sorted(tuple(r) for r in archives.round_trip(df).select(
+        "page_id", "payload_digest", "record_type", "record_id", F.coalesce("refers_to", F.lit(-1))).collect())
+    few = rows()
+    assert len(few) == 202 and sum(r[2] == "revisit" for r in few) == 161
+    monkeypatch.setattr(archives, "MAP_BYTES", 100 * archives.ENTRY_BYTES)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *_: pytest.fail("too many revisits for a broadcast"))
+    assert rows() == few
+
+
 def test_archive_versions():
     records = [(7, "http://x/", b"a\n\nb"), (8, "http://y/", b"")]
     for version in (1, 2):
