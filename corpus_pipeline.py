@@ -10,7 +10,8 @@ return the columns of documents.
    Rows of equal doc_id that do not link are separate documents and all stay.
 3. repeats: bytes covered by 50-byte strings of a smaller document are cut out; documents of which
    nothing is left go; ``n_chars`` follows the text.
-4. decontaminate: documents of which at least 5 % of the words lie in benchmark windows go.
+4. decontaminate: documents of which at least 5 % of the words lie in benchmark windows go; from
+   the others the words of such windows are cut out, and ``n_chars`` follows the text.
 5. tokens: byte-level BPE ids of what is left, with digests of ids and of the decoded bytes.
 
 Documents whose doc_id is NULL have no identity to keep or drop by: stages 2 and 3 leave them as
@@ -59,8 +60,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), keep=list(_COLUMNS))
-    return found.where("not contaminated").select(*_COLUMNS)
+    found = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), keep=["lang", "source", "n_chars"], clean=True)
+    size = F.when(F.col("n_hit") > 0, F.char_length("clean_text").cast(docs.schema["n_chars"].dataType))
+    return found.where("not contaminated").select(
+        "doc_id", F.col("clean_text").alias("text"), "lang", "source", size.otherwise(F.col("n_chars")).alias("n_chars"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

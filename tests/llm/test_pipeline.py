@@ -58,3 +58,18 @@ def test_equal_ids_with_different_texts(spark):
     got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(3), SF).collect()]
     assert sorted(got, key=str) == sorted(
         [(1, x), (2, y), (4, z), (5, None), (5, ""), (6, "a"), (6, "b")], key=str)
+
+
+def test_benchmark_spans_of_long_documents(spark, tmp_path):
+    """An item inside a document that is not contaminated as a whole is cut out of it."""
+    item, before, after = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("q", 15), ("a", 300), ("b", 300)))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(
+        [(1, f"{before}. {item.upper()}! {after}", "en", "s", 1), (2, f"{item} and more", "en", "s", 2),
+         (3, "Clean, É", None, None, None), (4, None, "en", "s", 7)],
+        "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.decontaminated(spark, docs, str(tmp_path))
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    cut = f"{before}. ! {after}"
+    assert sorted(map(tuple, got.collect())) == [
+        (1, cut, "en", "s", len(cut)), (3, "Clean, É", None, None, None), (4, None, "en", "s", 7)]
