@@ -5,7 +5,10 @@ Documents are sets of distinct k-word shingles. Two documents link when
 ``n - ceil(num * n / den) + 1`` tokens of each set, in *every* global token order. Three orders are
 used; all put rare tokens first (by the power of two of the corpus frequency, counted over all
 documents) and differ in how a seeded hash arranges tokens of like frequency. A pair is verified
-only if it shares a prefix token under each of them.
+only if it shares a prefix token under each of them, at ranks that leave enough tokens for the
+overlap it needs. Parities of hash buckets, as many as the set asks for, bound the difference of
+two sets inside the join, so unlike pairs never become rows. A token's documents meet in cells of at
+most ``CELL`` rows a side, so one very common token is spread over many tasks.
 
 Groups of copies never expand into all pairs. Equal sets collapse into one class first. Classes
 with equal minimum hashes are compared with one leader only (the class made of the commonest tokens),
@@ -23,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange as X
@@ -34,6 +37,10 @@ _U = np.uint64
 ORDERS = 3
 _SEED = [_U(0x243F6A8885A308D3), _U(0x13198A2E03707344), _U(0xA4093822299F31D0)]
 _LOW = _U((1 << 24) - 1)
+#: Words (of 64 buckets) of a parity signature: at least two buckets a token, between these two.
+SIGNATURE = (4, 32)
+#: Rows of one side of a token's cell in the candidate join.
+CELL = 256
 
 
 def _sets(data, offs, k):
@@ -128,15 +135,14 @@ def _profile(k: int, num: int, den: int, parts: int):
                 own.append(0)
                 common.append(0.0)
                 cid.append(0)
-                bits.append([0] * 4)
+                bits.append([])
                 low.append([])
                 pre.append([[]] * ORDERS)
                 continue
             cid.append(_class_of(s))
             rarity = power[np.searchsorted(codes, s >> _U(24))]
             shared = rarity > 0
-            odd = (np.bincount((s >> _U(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
-            bits.append(np.packbits(odd).view(np.int64).tolist())
+            bits.append(_parities(s).tolist())
             own.append(m - int(shared.sum()))
             common.append(float(rarity.mean()))
             keep = m - -(-num * m // den) + 1
@@ -149,7 +155,8 @@ def _profile(k: int, num: int, den: int, parts: int):
                     continue
                 key = (rarity.astype(np.uint64) << _U(56)) | (h >> _U(8))
                 first = np.argpartition(key, keep - 1)[:keep] if keep < m else np.arange(m)
-                rows.append(s[first[shared[first]]].view(np.int64).tolist())
+                first = first[shared[first]]
+                rows.append(s[first[np.argsort(key[first])]].view(np.int64).tolist())
             low.append(mins)
             pre.append(rows)
         return pa.table({"doc_id": chunk.id_column(), "n": pa.array(n, pa.int64()),
@@ -160,6 +167,25 @@ def _profile(k: int, num: int, den: int, parts: int):
     return fn
 
 
+def _parities(s: np.ndarray) -> np.ndarray:
+    """Parities of the set's tokens in hash buckets, packed; half as many buckets are the two halves XORed."""
+    low, high = SIGNATURE
+    words = min(high, max(low, 1 << max(0, (2 * len(s) - 1) >> 6).bit_length()))
+    bucket = (s >> _U(53)).astype(np.int64) & (64 * words - 1)
+    return np.packbits((np.bincount(bucket, minlength=64 * words) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _flips(a: Column, b: Column) -> Column:
+    """Buckets in which two parity signatures differ; the longer one is folded to the shorter one's length."""
+    def to(x, y):
+        half = F.size(x) / 2
+        folded = F.zip_with(F.slice(x, 1, half.cast("int")), F.slice(x, half.cast("int") + 1, half.cast("int")),
+                            lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > F.size(y), folded).otherwise(x)
+    return F.aggregate(F.zip_with(to(a, b), to(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0),
+                       lambda n, x: n + x)
+
+
 def _class_of(s: np.ndarray) -> int:
     """64-bit identifier of a non-empty token set."""
     with np.errstate(over="ignore"):
@@ -221,14 +247,18 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) ->
         """Sizes and tokens of their own allow the two sets enough in common.
 
         Linked sets differ by at most ``(n + m) * (den - num) / (den + num)`` tokens, and by at least
-        twice the tokens that only one of them has, corrected by the difference in size. The bits are
-        the parities of the tokens in 256 hash buckets; every differing token flips one.
+        twice the tokens that only one of them has, corrected by the difference in size. Every
+        differing token flips the parity of one hash bucket.
         """
         n, m, u, v = (F.col(f"{s}.{c}") for c in ("n", "own") for s in (x, y))
-        flips = sum((F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(4)), F.lit(0))
         return ((F.least(n, m) * den >= F.greatest(n, m) * num)
                 & (F.greatest(2 * u + m - n, 2 * v + n - m) * (den + num) <= (n + m) * (den - num))
-                & (flips * (den + num) <= (n + m) * (den - num)))
+                & (_flips(F.col(f"{x}.bits"), F.col(f"{y}.bits")) * (den + num) <= (n + m) * (den - num)))
+
+    def in_reach(x, i, y, j):
+        """Were this the first token the two share, enough tokens would follow for the overlap they need."""
+        n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+        return F.least(n - i, m - j) * (den + num) >= (n + m) * num
 
     # 1. leaders: classes with an equal minimum hash meet the one made of the commonest tokens,
     #    which in a group of near copies is the text they were made from
@@ -243,22 +273,33 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) ->
     # 2. every pair across provisional components that shares a prefix token under each order
     labelled = cut_lineage(classes.join(first, F.col("cid") == F.col("v"), "left").select(
         F.struct("cid", "n", "own", "bits").alias("s"), "cid", "pre", F.coalesce("root", "cid").alias("root")))
+    sides = labelled.select("cid", "s")
     found = None
     for o in range(ORDERS):
         post = labelled
         if found is not None:
             ids = found.select(F.col("a").alias("cid")).union(found.select("b")).distinct()
             post = post.join(ids, "cid", "left_semi")
-        post = cut_lineage(post.select("s", "root", F.explode(F.col("pre")[o]).alias("t")))
+        # tokens of one document only come first in every order, so a shared token's rank is theirs plus its place
+        post = cut_lineage(post.select("cid", "root", F.col("s.own").alias("own"), F.posexplode(F.col("pre")[o]).alias("i", "t"))
+                           .select("cid", "root", "t", (F.col("own") + F.col("i")).alias("i")))
         # of a token's documents, those outside its commonest component meet all the others; pairs are
         # judged inside the join, so neither copies of one component nor unlike pairs are ever rows
         mode = (post.groupBy("t", "root").count().groupBy("t")
-                .agg(F.max_by("root", F.struct("count", "root")).alias("mode"), F.count("*").alias("c"))
-                .where("c > 1").select("t", "mode"))
-        mixed = post.join(mode, "t")
-        few = mixed.where("root <> mode").select("t", F.col("s").alias("p"), F.col("root").alias("x"))
-        all_ = mixed.select("t", F.col("s").alias("q"), F.col("root").alias("y"), "mode")
-        got = (few.join(all_, "t").where("y = mode or x < y").where(alike("p", "q"))
+                .agg(F.max_by("root", F.struct("count", "root")).alias("mode"), F.count("*").alias("c"),
+                     F.sum("count").alias("rows"), F.max("count").alias("most"))
+                .where("c > 1").select("t", "mode", F.ceil(F.col("rows") / CELL).cast("int").alias("ys"),
+                                       F.ceil((F.col("rows") - F.col("most")) / CELL).cast("int").alias("xs")))
+        mixed = cut_lineage(post.join(mode, "t").join(sides, "cid"))
+        # a token's cells: the row's own block of one side, met by every block of the other
+        own = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        few = mixed.where("root <> mode").select("t", F.col("s").alias("p"), F.col("i").alias("pi"), F.col("root").alias("x"),
+                                                 own("xs").alias("xb"), every("ys").alias("yb"))
+        all_ = mixed.select("t", F.col("s").alias("q"), F.col("i").alias("qi"), F.col("root").alias("y"), "mode",
+                            own("ys").alias("yb"), every("xs").alias("xb"))
+        got = (few.join(all_, ["t", "xb", "yb"]).where("y = mode or x < y")
+               .where(in_reach("p", F.col("pi"), "q", F.col("qi"))).where(alike("p", "q"))
                .select(F.least("p.cid", "q.cid").alias("a"), F.greatest("p.cid", "q.cid").alias("b")).distinct())
         found = cut_lineage(got if found is None else got.join(found, ["a", "b"], "left_semi"))
     links = links.union(_verified(found, place, docs, k, num, den))
