@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import archives, bpe, chat, decontaminate, forest, jaccard, licenses, ppm, quality, repeats
+from . import (archives, bpe, chat, decontaminate, forest, jaccard, language, licenses, ppm, quality, repeats, spelling,
+               whitening)
 from .common import table
 
 
@@ -53,8 +54,21 @@ def op10_suffix_bucket_dedup(spark, sf_dir):
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_arc_to_warc, op3_benchmark_decontamination, op4_hash_prefix_forest, op5_crf_quality,
     op6_byte_bpe, op7_chat_prefix_target, op8_license_signatures,
-    op9_ppm_language_model, op10_suffix_bucket_dedup)}
+    op9_ppm_language_model, op10_suffix_bucket_dedup, op11_spelling_variants, op12_language_id,
+    op13_embedding_whitening)}
 ORACLE = {"op2_arc_to_warc": archives.ORACLE, "op3_benchmark_decontamination": decontaminate.ORACLE, "op7_chat_prefix_target": chat.ORACLE}
