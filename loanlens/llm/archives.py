@@ -13,8 +13,10 @@ Payloads are never shuffled: the revisit decision needs digests and page ids alo
 read by Spark (the text writer, one archive per row, and the binary file reader).
 
 Defined results: a NULL html is an empty payload; a NULL url is ``unknown:``; white space in urls is
-percent-encoded; rows with a NULL page_id are left out; repeated page_ids are records each, and of
-equal payloads all records of the largest page_id are responses; an empty table gives no files and no rows.
+percent-encoded; a page without page_id is a record without that header, which revisits the largest page_id of
+its payload or, if none has one, is a response; repeated page_ids are records each, and of
+equal payloads all records of the largest page_id are responses; an empty table gives no files and no rows;
+other columns are not read, so their names cannot clash; a page larger than ``FILE_BYTES`` is a file of its own.
 """
 
 from __future__ import annotations
@@ -43,14 +45,20 @@ _V1 = "URL IP-address Archive-date Content-type Archive-length"
 _V2 = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
 
 
-def _http(page_id: int, payload: bytes) -> bytes:
+def _http(page_id: int | None, payload: bytes) -> bytes:
+    page = "" if page_id is None else f"X-Page-Id: {page_id}\r\n"
     return (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n"
-            f"X-Page-Id: {page_id}\r\n\r\n").encode()
+            f"{page}\r\n").encode()
 
 
-def _when(page_id: int) -> str:
+def _page_of(http: bytes) -> int | None:
+    found = re.search(rb"\r\nX-Page-Id: (-?\d+)", http)
+    return None if found is None else int(found[1])
+
+
+def _when(page_id: int | None) -> str:
     """A crawl date for a page (the pages table has none): seconds after the start of 2001 by page_id."""
-    days, second = divmod(page_id % (86_400 * 364), 86_400)
+    days, second = divmod((page_id or 0) % (86_400 * 364), 86_400)
     month, day = divmod(days, 28)
     return f"2001{month % 12 + 1:02d}{day + 1:02d}{second // 3600:02d}{second // 60 % 60:02d}{second % 60:02d}"
 
@@ -69,7 +77,7 @@ def arc_file(version: int, name: str, records: list[tuple[int, str, bytes]]) ->
     at = sum(map(len, out))
     for page_id, url, payload in records:
         doc = _http(page_id, payload) + payload
-        date = _when(page_id) if page_id % 2 else _when(page_id)[:12]
+        date = _when(page_id) if (page_id or 0) % 2 else _when(page_id)[:12]
         if version == 1:
             head = f"{_url(url)} 0.0.0.0 {date} text/html {len(doc)}\n".encode()
         else:
@@ -100,7 +108,7 @@ def arc_records(raw: bytes):
             raise ValueError("ARC record ends before its declared length")
         at += size + 1
         head, _, payload = doc.partition(b"\r\n\r\n")
-        page = int(re.search(rb"\r\nX-Page-Id: (-?\d+)", head)[1])
+        page = _page_of(head)
         yield (version, record["URL"].decode(), record["IP-address"].decode(), record["Archive-date"].decode(),
                head + b"\r\n\r\n", payload, page)
 
@@ -192,7 +200,7 @@ def write_arc(pages: DataFrame, path: str) -> None:
         if held:
             yield flush()
 
-    rows = pages.where("page_id is not null").select(F.col("page_id").cast("long"), "url", "html")
+    rows = pages.select(F.col("page_id").cast("long"), "url", "html")
     _save(rows.mapInArrow(run, "value string"), path, "\n")
 
 
@@ -216,8 +224,9 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 def convert(spark: SparkSession, arc: str, warc: str) -> None:
     """Convert the ARC files below ``arc`` to WARC files below ``warc``, one for each."""
     index = cut_lineage(read_arc(spark, arc).where(F.col("n") >= MIN_REVISIT).select("page_id", "n", "digest"))
-    best = index.groupBy("digest", "n").agg(F.max("page_id").alias("source"), F.count("*").alias("c")).where("c > 1")
-    revisits = cut_lineage(index.join(best, ["digest", "n"]).where(F.col("page_id") < F.col("source"))
+    best = index.groupBy("digest", "n").agg(F.max("page_id").alias("source"), F.count("*").alias("c")).where(
+        "c > 1 and source is not null")
+    revisits = cut_lineage(index.join(best, ["digest", "n"]).where("page_id is null or page_id < source")
                            .select("page_id", "digest", "source").distinct())
     if revisits.count() * ENTRY_BYTES <= MAP_BYTES:
         # the map is small: every task gets it, and payloads stay where they are
@@ -254,7 +263,9 @@ def convert(spark: SparkSession, arc: str, warc: str) -> None:
                         held, size = [], 0
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array([b"\r\n".join(held).decode()])], names=["value"])
-        rows = records.join(revisits, ["page_id", "digest"], "left").mapInArrow(join, "value string")
+        known = revisits.select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "source")
+        rows = records.join(known, records["page_id"].eqNullSafe(known["p"]) & (records["digest"] == known["d"]), "left").drop(
+            "p", "d").mapInArrow(join, "value string")
     _save(rows, warc, "\r\n")
 
 
@@ -273,7 +284,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                                                      or hashlib.sha1(payload).digest() != digest):
                     raise ValueError("payload does not match its digest")
                 source = h.get("X-Refers-To-Page-Id")
-                found.append((int(re.search(rb"\r\nX-Page-Id: (-?\d+)", http)[1]), size, digest.hex(),
+                found.append((_page_of(http), size, digest.hex(),
                               h["WARC-Type"], None if source is None else int(source), h["WARC-Record-ID"],
                               h["WARC-Date"], h["WARC-Target-URI"]))
             yield pa.RecordBatch.from_arrays(
@@ -299,11 +310,11 @@ def round_trip(pages: DataFrame) -> DataFrame:
 COLUMNS = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 ORACLE = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages WHERE page_id IS NOT NULL),
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 q AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS d FROM p),
 r AS (SELECT *, max(page_id) OVER (PARTITION BY d, n) AS best FROM q)
 SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
-  CASE WHEN n >= 1000 AND best > page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= 1000 AND best > page_id THEN best END AS refers_to
+  CASE WHEN n >= 1000 AND (best > page_id OR page_id IS NULL AND best IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND (best > page_id OR page_id IS NULL) THEN best END AS refers_to
 FROM r
 """

@@ -38,6 +38,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def carried(keep, taken) -> list[str]:
+    """Names under which kept columns come along: their own, or ``doc_<name>`` where a result has that name."""
+    out: list[str] = []
+    for name in keep:
+        while name in taken or name in out:
+            name = f"doc_{name}"
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends there."""
     path = shared_path(df.sparkSession, name)

@@ -11,8 +11,9 @@ a whole. Runs of words whose adjacent pairs never meet in any item cannot match
 vectorised test before the automaton is entered.
 
 Defined results: NULL or wordless texts have no words and no hits; items without words have no
-window; rows with a NULL item_id are left out; repeated item_ids are one item with all its rows' windows;
-repeated documents give a row each.
+window; items without item_id hit like any other, count as one item together and have no name in
+``items_sha256``; repeated item_ids are one item with all its rows' windows; repeated documents give a row
+each; a kept column named like a result comes as ``doc_<name>``; very long texts are streamed whole.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import exchange as X
 from . import textkit as T
-from .common import cut_lineage, ship, written
+from .common import carried, cut_lineage, ship, written
 
 #: Words of the items in one automaton.
 BLOCK_WORDS = 400_000
@@ -186,7 +187,7 @@ def blocks(benchmark: DataFrame, window: int) -> DataFrame:
         return pa.table({"g": t["g"].slice(0, len(made)), "body": pa.array(made, pa.binary())})
 
     ship(benchmark.sparkSession)
-    rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     words, least = rows.select("text").mapInArrow(count, "n long, least long").agg(F.sum("n"), F.min("least")).first()
     dealt = rows.distinct().withColumn("g", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-(words or 0) // BLOCK_WORDS)))))
     return written(dealt.groupBy("g").applyInArrow(build, "g long, body binary"), "blocks")
@@ -238,7 +239,7 @@ class _Results:
         out["n_words"].append(n)
         out["n_hit"].append(hits)
         out["n_items"].append(len(found))
-        out["items_sha256"].append(hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
+        out["items_sha256"].append(hashlib.sha256(",".join(sorted(x for x in found if x is not None)).encode()).hexdigest())
         out["contaminated"].append(hits > 0 and 1000 * hits >= self.per_mille * n)
         out["longest_match"].append(longest)
         if self.clean:
@@ -268,19 +269,26 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: floa
     """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match``.
 
     ``contaminated``: ``n_hit >= coverage * n_words`` with a hit. With ``keep``, those columns of the
-    documents come along; ``longest_match`` is exact from the words of the shortest item on (``window`` at
+    documents come along (renamed by ``carried``); ``longest_match`` is exact from the words of the shortest item on (``window`` at
     most; shorter matches may be missed); with ``clean``, ``clean_text`` is the text without its hit spans (words of
     matched windows and what stands between them).
     """
     sc = docs.sparkSession.sparkContext
     made = blocks(benchmark.select("item_id", "text"), window)
     groups = sorted(r.g for r in made.select("g").collect())
-    own = [c for c in (keep or []) if c != "doc_id"]
+    kept = [c for c in (keep or []) if c != "doc_id"]
+    own = [f"_k{i}" for i in range(len(kept))]
     per_mille = round(coverage * 1000)
     types = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in ("doc_id", *own)] + [
+    schema = ", ".join([f"doc_id {types['doc_id']}", *(f"{o} {types[c]}" for o, c in zip(own, kept, strict=True)),
         "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"]
         + (["clean_text string"] if clean else []))
+    results = [*COLUMNS[1:], "longest_match", *(["clean_text"] if clean else [])]
+    docs = docs.select("doc_id", F.col("text").alias("_text"), *(F.col(c).alias(o) for o, c in zip(own, kept, strict=True)))
+
+    def named(found: DataFrame) -> DataFrame:
+        return found.select("doc_id", *(F.col(o).alias(c) for o, c in zip(own, carried(kept, ["doc_id", *results]), strict=True)),
+                            *results)
 
     def shared(g):
         return sc.broadcast(bytes(made.where(F.col("g") == g).first().body))
@@ -299,10 +307,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: floa
                 columns = got.columns()
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *own)), *columns.values()],
                                                  names=["doc_id", *own, *columns])
-        return docs.select("doc_id", *own, F.col("text").alias("_text")).mapInArrow(run, schema)
+        return named(docs.select("doc_id", *own, "_text").mapInArrow(run, schema))
 
-    packed = docs.select("doc_id", *own, F.col("text").alias("_text"), F.lit(0).alias("_id"),
-                         F.col("text").isNull().alias("_missing"))
+    packed = docs.select("doc_id", *own, "_text", F.lit(0).alias("_id"), F.col("_text").isNull().alias("_missing"))
     blobs = X.pack(packed, "_id", "_text", ("doc_id", *own, "_missing"))
     asks = None
     for p, g in enumerate(groups):
@@ -325,7 +332,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: floa
         for row in zip(raws, missing, hit, found, longest, strict=True):
             got.add(*row)
         return pa.table({c: chunk.extra.column(c) for c in ("doc_id", *own)} | got.columns())
-    return X.meet(blobs, asks, outcome, schema)
+    return named(X.meet(blobs, asks, outcome, schema))
 
 
 class _Minus:
@@ -348,7 +355,7 @@ WITH d AS (SELECT doc_id, regexp_extract_all(
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 sizes AS (SELECT DISTINCT least(len(w), 13) AS s FROM b WHERE len(w) > 0),
 bw AS (SELECT DISTINCT item_id, least(len(w), 13) AS s,
     array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS g

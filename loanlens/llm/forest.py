@@ -4,7 +4,8 @@ Every tree gives a vector a long hash string (the signs of its random projection
 into blocks of rows; a block keeps its distinct vectors in one sorted array of strings per tree. A
 query descends to its longest matching prefix in every tree (binary search) and then ascends in all
 trees at once, one bit at a time, until the matched ranges of all trees together hold at least
-``effort`` times the block's vectors (a vector counts in every tree); the union of the ranges is
+``effort`` times the block's vectors (a vector counts in every tree) and the union of the ranges at least
+``8 k`` different vectors, or all there are; the union is
 scored exactly. Ascending stops at a depth that differs from
 query to query. Blocks report their best and the best of all blocks stay.
 
@@ -83,6 +84,7 @@ class Forest:
         low = np.zeros((len(q), self.trees), np.int64)
         high = np.zeros_like(low)
         open_ = np.ones(len(q), bool)
+        depths = np.zeros(len(q), np.int64)
         # ascend all trees together: prefixes of 32, 31, ... bits until the ranges hold enough
         for depth in range(BITS, -1, -1):
             rows = np.flatnonzero(open_)
@@ -94,11 +96,23 @@ class Forest:
                 low[rows, t] = np.searchsorted(self.sorted[:, t], s & ~rest)
                 high[rows, t] = np.searchsorted(self.sorted[:, t], s | rest, side="right")
             open_[rows] = (high[rows] - low[rows]).sum(1) < enough
+            depths[rows] = depth
+        need = min(n, 8 * k + 1)
         out_q, out_i, out_s = [], [], []
         for i in range(len(q)):
             mark = np.zeros(n, bool)
             for t in range(self.trees):
                 mark[self.rank[low[i, t]:high[i, t], t]] = True
+            # a tight group may fill the ranges of all trees with the same few vectors
+            depth = int(depths[i])
+            while depth and mark.sum() < need:
+                depth -= 1
+                rest = np.uint64((1 << (BITS - depth)) - 1)
+                for t in range(self.trees):
+                    s = own[i, t]
+                    a = np.searchsorted(self.sorted[:, t], s & ~rest)
+                    b = np.searchsorted(self.sorted[:, t], s | rest, side="right")
+                    mark[self.rank[a:b, t]] = True
             at = np.flatnonzero(mark)
             score = self.x[at] @ q[i]
             if len(at) > k + 1:

@@ -3,8 +3,10 @@
 The model is a byte-context trie of order four, trained on the training documents: counts of every
 byte after every context of up to four bytes. A byte that is new in a context escapes to the next
 shorter one; escapes are estimated by method D (half the distinct bytes seen against all bytes seen),
-and symbols of longer contexts are excluded from the shorter ones. The score of a text is the sum of
-the base-10 logarithms of its bytes' probabilities (bytes before a text's start count as zero bytes).
+and symbols of longer contexts are excluded from the shorter ones. Every text ends with a symbol of its own,
+the byte 255, which UTF-8 never holds; it is learned after its contexts like any other. The score of a text
+is the sum of the base-10 logarithms of the probabilities of its bytes and its end (bytes before a text's
+start count as zero bytes), so the probabilities of all texts sum to one at most.
 
 The trie is never gathered anywhere: its five-byte strings are partitioned by the last two bytes of
 their context, so that a node, its shorter contexts and its children meet in one group of at most
@@ -12,8 +14,10 @@ their context, so that a node, its shorter contexts and its children meet in one
 A plain unigram word model with add-one smoothing is scored beside it (``base_score``). Word and
 trie facts reach the documents by the ask-and-answer exchange of ``exchange.py``.
 
-Defined results: NULL and empty texts have one token (the end), score 0; NULL doc_ids are training
-rows; with no training document at all every byte has probability 1/256.
+Defined results: NULL and empty texts have one token, the end, and its probability at a start; NULL doc_ids
+are training rows; repeated rows are learned as often as they occur; with no training document at all every
+byte and end has probability 1/256; an empty table gives no rows; very long texts are chunks of their own;
+other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ from .common import cut_lineage
 _U = np.uint64
 #: Longest context in bytes.
 ORDER = 4
+#: The byte that ends every text.
+END = 0xFF
 _END = _U(0xE7D1A2C3B4958677)
 _DENSE = 12_000_000
 
@@ -54,21 +60,30 @@ def _tokens(chunk: X.Chunk) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([*(n for _, n in got), np.zeros(0, np.int64)]))
 
 
+def _ended(chunk: X.Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the texts, each with its end, and where the texts begin."""
+    size = np.diff(chunk.offs)
+    data = np.full(len(chunk.data) + len(size), END, np.uint8)
+    data[np.arange(len(chunk.data)) + np.repeat(np.arange(len(size)), size)] = chunk.data
+    return data, chunk.offs + np.arange(len(size) + 1)
+
+
 def _strings(chunk: X.Chunk, order: int = ORDER) -> np.ndarray:
-    """String of ``order + 1`` bytes ending at every byte (big-endian; zero bytes before a text's start)."""
-    code = chunk.data.astype(np.uint64)
+    """String of ``order + 1`` bytes ending at every byte and end (big-endian; zero bytes before a text's start)."""
+    data, offs = _ended(chunk)
+    code = data.astype(np.uint64)
     n = len(code)
-    at = np.arange(n) - np.repeat(chunk.offs[:-1], np.diff(chunk.offs))
+    at = np.arange(n) - np.repeat(offs[:-1], np.diff(offs))
     for k in range(1, order + 1):
         shifted = np.zeros(n, np.uint64)
-        shifted[k:] = chunk.data[:n - k]
+        shifted[k:] = data[:n - k]
         shifted[at < k] = 0
         code |= shifted << _U(8 * k)
     return code
 
 
 def _of_training(chunk: X.Chunk, out: np.ndarray) -> np.ndarray:
-    return np.repeat(~out, np.diff(chunk.offs))
+    return np.repeat(~out, np.diff(chunk.offs) + 1)
 
 
 def _word_parts(words: np.ndarray, parts: int):
@@ -238,7 +253,7 @@ def _score(parts: int, mod: int, rest: int, all_tokens: int, kinds: int):
         for p in range(parts):
             if cuts[p + 1] > cuts[p]:
                 value[order[cuts[p]:cuts[p + 1]]] = np.frombuffer(X.unsqueeze(answers[parts + p])[16:], np.float32)
-        score = _per_doc(_look_up(codes, u, value), chunk.offs) if len(codes) else np.zeros(len(per))
+        score = _per_doc(_look_up(codes, u, value), _ended(chunk)[1]) if len(codes) else np.zeros(len(per))
         return pa.table({"doc_id": chunk.id_column(), "held_out": pa.array(out),
                          "n_tokens": pa.array(per + 1, pa.int64()), "n_known": pa.array(known, pa.int64()),
                          "train_tokens": pa.array(np.full(len(per), all_tokens, np.int64)),

@@ -9,7 +9,9 @@ by line length, average to the document's score.
 
 Inputs of a score are the text's characters only. Defined results: NULL and empty texts are one
 empty line and get its score; labels that are NULL or whose document is missing are not used; a
-document with several labels counts with its smallest; without any usable label the score is 0.5.
+document with several labels counts with its smallest; without any usable label the score is 0.5;
+repeated rows are scored each; a kept column named like a result comes as ``doc_<name>``; texts of any
+length are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
-from .common import ship
+from .common import carried, ship
 
 #: Documents the field is fitted on, at most.
 SAMPLE = 4000
@@ -240,7 +242,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample:
              keep: list[str] | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per document, with the columns ``keep`` of the documents."""
     theta = train(docs, labels, sample)
-    own = [c for c in (keep or []) if c != "doc_id"]
+    kept = [c for c in (keep or []) if c != "doc_id"]
+    own = [f"_k{i}" for i in range(len(kept))]
 
     def run(batches):
         for batch in batches:
@@ -254,7 +257,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample:
                 at += n
 
     types = dict(docs.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in ("doc_id", *own)) + ", _score double"
-    rows = docs.select("doc_id", *own, F.col("text").alias("_text")).mapInArrow(run, schema)
-    return rows.select("doc_id", *own, held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
+    schema = ", ".join([f"doc_id {types['doc_id']}", *(f"{o} {types[c]}" for o, c in zip(own, kept, strict=True)),
+                        "_score double"])
+    rows = docs.select("doc_id", *(F.col(c).alias(o) for o, c in zip(own, kept, strict=True)),
+                       F.col("text").alias("_text")).mapInArrow(run, schema)
+    names = carried(kept, ["doc_id", "held_out", "score", "predicted"])
+    return rows.select("doc_id", *(F.col(o).alias(c) for o, c in zip(own, names, strict=True)),
+                       held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
                        (F.col("_score") >= threshold).cast("int").alias("predicted"))

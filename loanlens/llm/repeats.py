@@ -14,7 +14,8 @@ occurs again under the same doc_id has the outcome of its first occurrence. So e
 bytes is decided exactly (up to 64-bit identifiers), and nothing is sampled or capped.
 
 Defined results: NULL and empty texts have no bytes; texts under 50 bytes stay whole; documents with
-equal doc_id never remove from each other; rows with a NULL doc_id stay whole and remove nothing.
+equal doc_id never remove from each other; rows with a NULL doc_id stay whole and remove nothing; an empty
+table gives no rows; a very long text is a chunk of its own; a kept column named like a result comes as ``doc_<name>``.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import exchange as X
 from . import textkit as T
-from .common import cut_lineage
+from .common import carried, cut_lineage
 
 _U = np.uint64
 WIDTH = 50
@@ -282,15 +283,19 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True, keep: tuple[str, ...
 
     ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (of the remaining bytes) and, with
     ``keep_text``, ``kept_text``: the remaining bytes without characters cut in the middle. The
-    columns ``keep`` of the documents come along.
+    columns ``keep`` of the documents come along (``doc_<name>`` where a result has that name).
     """
     parts = X.ranges(docs)
-    blobs = X.pack(docs, carry=keep)
     types = dict(docs.dtypes)
+    own = tuple(f"_k{i}" for i in range(len(keep)))
+    results = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if keep_text else [])]
+    names = carried(keep, results)
+    blobs = X.pack(docs.select("doc_id", "text", *(F.col(c).alias(o) for o, c in zip(own, keep, strict=True))), carry=own)
     one = cut_lineage(X.answer(X.ask(blobs, _ask_runs(parts)), _refine))
     # a chunk without any run asks nothing and still has to come out, hence the empty answer
     every = blobs.select(F.lit(-1).alias("p"), "bid", F.lit(b"").alias("body"))
     two = X.answer(X.meet(blobs, one, _ask_windows(parts), X.ASK), _refine)
     schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-              + (", kept_text string" if keep_text else "") + "".join(f", `{c}` {types[c]}" for c in keep))
-    return X.meet(blobs, one.union(two).union(every), _outcome(parts, keep_text, keep), schema)
+              + (", kept_text string" if keep_text else "") + "".join(f", {o} {types[c]}" for o, c in zip(own, keep, strict=True)))
+    found = X.meet(blobs, one.union(two).union(every), _outcome(parts, keep_text, own), schema)
+    return found.select(*results, *(F.col(o).alias(c) for o, c in zip(own, names, strict=True)))

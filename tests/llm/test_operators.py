@@ -142,7 +142,7 @@ def test_ppm(docs, rows, nothing):
     k = ppm.ORDER
     seen = [collections.defaultdict(collections.Counter) for _ in range(k + 1)]
     for i, t in rows:
-        b = bytes(k) + (t or "").encode()
+        b = bytes(k) + (t or "").encode() + b"\xff"
         for j in range(k, len(b) if train[i] else 0):
             for o in range(k + 1):
                 seen[o][b[j - o:j]][b[j]] += 1
@@ -162,7 +162,7 @@ def test_ppm(docs, rows, nothing):
     for r in ppm.score(docs).collect():
         got[r.doc_id].append(r)
     for (i, t), ws in zip(rows, words, strict=True):
-        b = bytes(k) + (t or "").encode()
+        b = bytes(k) + (t or "").encode() + b"\xff"
         score = sum(code(b, j) for j in range(k, len(b)))
         base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)
         assert any(r.held_out != train[i] and r.train_tokens == n and r.n_tokens == len(ws)
@@ -195,8 +195,8 @@ def test_decontamination(spark, docs, rows, nothing):
     for i, t in items:
         w = decontaminate.normal_words(t)
         for j in range(max(len(w) - 12, 1)):
-            if w and i is not None:
-                windows[tuple(w[j:j + 13])].add(str(i))
+            if w:
+                windows[tuple(w[j:j + 13])].add(None if i is None else str(i))
     want = []
     for i, t in rows:
         w, hit, found = decontaminate.normal_words(t), set(), set()
@@ -205,13 +205,18 @@ def test_decontamination(spark, docs, rows, nothing):
                 if tuple(w[j:j + n]) in windows and j + n <= len(w):
                     hit |= set(range(j, j + n))
                     found |= windows[tuple(w[j:j + n])]
-        want.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
+        names = ",".join(sorted(x for x in found if x is not None))
+        want.append((i, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(),
                      bool(hit) and 20 * len(hit) >= len(w)))
     assert sum(x[2] > 0 for x in want) > 2
     got = decontaminate.scan(docs, bench, keep=["n", "s"], clean=True)
     assert sorted(tuple(r) for r in got.select(*decontaminate.COLUMNS).collect()) == sorted(want)
     clean = {r.doc_id: r.clean_text for r in got.collect()}
-    assert clean[5] == "" and clean[3] == "One"
+    assert clean[5] == "" and clean[3] == ""
+    clash = decontaminate.scan(docs.select("doc_id", "text", F.col("n").alias("n_hit"), F.col("s").alias("_text")), bench,
+                               keep=["n_hit", "_text"])
+    assert clash.columns == ["doc_id", "doc_n_hit", "_text", *decontaminate.COLUMNS[1:], "longest_match"]
+    assert {(r.doc_n_hit, r._text) for r in clash.collect()} == {(1, "x")}
     assert decontaminate.scan(nothing, bench).count() == 0
     assert decontaminate.scan(docs, bench.where("false")).where("n_hit > 0").count() == 0
 
@@ -302,15 +307,16 @@ def test_archives(spark):
     big = "<p>é</p>\r\n\r\nWARC/1.0\r\n" * 60
     pages = [(1, "http://a b/\n", big), (2, None, big), (9, "u", big), (3, "u", None), (4, "u", "x"), (5, "u", "x"),
              (None, "u", "lost"), (6, "filedesc://x", "URL IP-address\n\n1 0 x\n" * 70)]
-    df = spark.createDataFrame([(*p, 0) for p in pages], "page_id long, url string, html string, n long")
     want = set()
+    pages += [(None, "u", big), (None, None, "<p>no id</p>" * 100)]
     for i, _, h in pages:
-        if i is not None:
-            raw = (h or "").encode()
-            best = max(j for j, _, g in pages if g == h and j is not None)
-            again = len(raw) >= 1000 and best != i
-            want.add((i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if again else "response", best if again else None))
+        raw = (h or "").encode()
+        best = max((j for j, _, g in pages if g == h and j is not None), default=None)
+        again = len(raw) >= 1000 and best not in (i, None)
+        want.add((i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if again else "response", best if again else None))
+    df = spark.createDataFrame([(*p, 0) for p in pages], "page_id long, url string, html string, n long")
     got = archives.round_trip(df)
+    assert archives.round_trip(df.where("false")).count() == 0
     assert {tuple(r) for r in got.select(*archives.COLUMNS).collect()} == want and got.count() == len(want)
     ids = {r.page_id: r for r in got.collect()}
     assert ids[1].target_uri == "http://a%20b/%0A" and len({r.record_id for r in ids.values()}) == len(want)
@@ -319,12 +325,13 @@ def test_archives(spark):
 
 def test_archives_with_many_revisits(spark, monkeypatch):
     """Revisits beyond the map's memory are joined, not broadcast, with equal results."""
-    pages = [(i, "u", f"<p>{i % 40}</p>" * 200) for i in range(200)] + [(7, "u", "<p>8</p>" * 200), (7, None, None)]
+    pages = [(i, "u", f"<p>{i % 40}</p>" * 200) for i in range(200)] + [(7, "u", "<p>8</p>" * 200), (7, None, None)] + [
+        (None, "u", "<p>9</p>" * 200)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     rows = lambda: sorted(tuple(r) for r in archives.round_trip(df).select(
-        "page_id", "payload_digest", "record_type", "record_id", F.coalesce("refers_to", F.lit(-1))).collect())
+        F.coalesce("page_id", F.lit(-1)), "payload_digest", "record_type", "record_id", F.coalesce("refers_to", F.lit(-1))).collect())
     few = rows()
-    assert len(few) == 202 and sum(r[2] == "revisit" for r in few) == 161
+    assert len(few) == 203 and sum(r[2] == "revisit" for r in few) == 162
     monkeypatch.setattr(archives, "MAP_BYTES", 100 * archives.ENTRY_BYTES)
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda *_: pytest.fail("too many revisits for a broadcast"))
     assert rows() == few
@@ -366,6 +373,31 @@ def test_forest(spark):
     assert forest.nearest(df.where("vec_id in (0, 5)")).count() == 1
 
 
+def test_forest_with_a_tight_group(spark):
+    """Queries of a group of nearly equal vectors, with whom all trees agree, still get all their rows."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((500, 32))
+    x[:221:20] = x[0] + 1e-7 * rng.standard_normal((12, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in forest.nearest(df).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert all(len(got[q]) == 20 for q in range(0, 500, 20))
+    for q in range(0, 221, 20):
+        assert set(got[q][:11]) == set(range(0, 221, 20)) - {q}
+
+
+def test_kept_columns_with_clashing_names(spark, docs):
+    labels = spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int")
+    odd = docs.select("doc_id", "text", F.lit(1).alias("score"), F.lit("x").alias("n_bytes"), F.lit(2).alias("doc_score"))
+    got = quality.classify(odd, labels, keep=["score", "doc_score"])
+    assert got.columns == ["doc_id", "doc_score", "doc_doc_score", "held_out", "score", "predicted"]
+    assert {(r.doc_score, r.doc_doc_score) for r in got.collect()} == {(1, 2)}
+    got = repeats.remove_repeats(odd, keep=("n_bytes",))
+    assert got.columns[-1] == "doc_n_bytes" and {r.doc_n_bytes for r in got.collect()} == {"x"}
+
+
 def test_quality(spark, nothing):
     rng = random.Random(4)
     good = lambda: "\n".join(" ".join(rng.choice(["the", "reth", "on", "ing"]) for _ in range(9)) + "." for _ in range(4))
