@@ -1114,3 +1114,134 @@ def q_tree_attribution(spark, sf_dir):
 
 
 register("x1b_tree_attribution_top5")(q_tree_attribution)
+
+
+# --- the fitted scorecard on the decision path (M3, M4, M8, P15, X1, X3, X4, T1) -------------------
+from .plans import scorecard as SCF  # noqa: E402
+from .plans import scorecard_sql as SCQ  # noqa: E402
+
+_SCORECARDS: dict[tuple[str, str], SCF.Scorecard] = {}
+
+
+def scorecard_of(spark, sf_dir) -> SCF.Scorecard:
+    """The scorecard fitted to the applications of ``sf_dir``, once per Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SCORECARDS:
+        _SCORECARDS[key] = SCF.fit_scorecard(FX.applications(spark, sf_dir), TARGET)
+    return _SCORECARDS[key]
+
+
+_SCF_CTES = [_SQL_DERIVED_APPS.replace("AS (", "AS MATERIALIZED (", 1),
+             _SPLIT_SQL_CTE.replace("sp AS (", "sp AS MATERIALIZED ("), *SCQ.sql_fit("apps_d", TARGET, "sp")]
+
+
+def _scf_oracle(extra: list[str], final: str) -> str:
+    return _oracle(["applications"], _SCF_CTES + extra, final).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def q_scorecard_parameters(spark, sf_dir):
+    """M3 + M4: the fitted numbers of every fold: intercept, coefficients, sigmoid."""
+    m = scorecard_of(spark, sf_dir)
+    rows = [(g, t, float(v)) for g in range(m.folds) for t, v in [
+        ("(intercept)", m.intercepts[g]), *m.coefficients[g].items(), ("(sigmoid a)", m.sigmoids[g][0]),
+        ("(sigmoid b)", m.sigmoids[g][1])]]
+    return _round_all(spark.createDataFrame(rows, "fold int, term string, value double"))
+
+
+register("m4_scorecard_parameters", _scf_oracle([], SCQ.sql_parameters()))(q_scorecard_parameters)
+
+
+def q_scorecard_test_report(spark, sf_dir):
+    """M4 + A30: the calibrated scorecard on the test split."""
+    m = scorecard_of(spark, sf_dir)
+    test = PR.stratified_split(FX.applications(spark, sf_dir), TARGET).where("split = 'test'")
+    scored_test = cut_lineage(m.transform(test).select("application_id", TARGET, MO.PROB_COL))  # read by every metric
+    return _round_all(EV.evaluation_report(scored_test, TARGET, MO.PROB_COL))
+
+
+def _sql_scorecard_report() -> str:
+    ctes = [f"scored AS MATERIALIZED (SELECT application_id, {TARGET}, p AS default_prob FROM sp JOIN sc_prob USING (application_id) "
+            "WHERE split = 'test')", _sql_rank("scored", TARGET, "default_prob", "rk"),
+            f"base AS (SELECT count(*) AS n_samples, avg(CAST({TARGET} AS DOUBLE)) AS default_rate, "
+            f"avg((default_prob - {TARGET}) * (default_prob - {TARGET})) AS brier_score FROM scored)",
+            _CURVE_SQL, "ece_t AS (SELECT coalesce(sum(count * abs(fraction_positive - mean_predicted)) / "
+            "(SELECT count(*) FROM scored), 0) AS ece FROM curve)", _SWEEP_SQL,
+            f"rates AS ({_rates_sql('best').replace('SELECT ', 'SELECT threshold AS optimal_threshold, ', 1)})",
+            f"scs AS (SELECT {SC.sql_score('default_prob')} AS s FROM scored)",
+            "sst AS (SELECT avg(s) AS score_mean, stddev_pop(s) AS score_std, CAST(min(s) AS INTEGER) AS score_min, "
+            "CAST(max(s) AS INTEGER) AS score_max FROM scs)"]
+    return _scf_oracle(ctes, "SELECT round(rk.auc_roc, 6) AS auc_roc, round(rk.gini, 6) AS gini, "
+                       "round(rk.ks_statistic, 6) AS ks_statistic, round(rk.average_precision, 6) AS average_precision, "
+                       "base.n_samples, round(base.default_rate, 6) AS default_rate, round(base.brier_score, 6) AS brier_score, "
+                       "round(ece_t.ece, 6) AS ece, round(rates.optimal_threshold, 6) AS optimal_threshold, rates.tn, rates.fp, "
+                       "rates.fn, rates.tp, rates.total_cost, rates.cost_per_decision, rates.precision, rates.recall, rates.f1, "
+                       "round(sst.score_mean, 6) AS score_mean, round(sst.score_std, 6) AS score_std, sst.score_min, sst.score_max, -1e0 AS psi "
+                       "FROM rk, base, ece_t, rates, sst")
+
+
+register("m4_scorecard_test_report", _sql_scorecard_report())(q_scorecard_test_report)
+
+
+def q_score_fitted(spark, sf_dir):
+    """P15 + M8 on the fitted scorecard: one projection."""
+    m = scorecard_of(spark, sf_dir)
+    return SCO.score_applications(FX.applications(spark, sf_dir).select(*_APP_COLS), model=m, model_version=m.version)
+
+
+register("p15_score_applications_fitted", _scf_oracle([], SCQ.sql_decisions("apps_d", _APP_COLS)))(q_score_fitted)
+
+
+def q_scorecard_attribution(spark, sf_dir):
+    """X1 + W5 + O3 on the fitted scorecard."""
+    a = XP.scorecard_attribution(_apps(spark, sf_dir), scorecard_of(spark, sf_dir))
+    return _round_all(a)
+
+
+register("x1_scorecard_attribution", _scf_oracle(SCQ.sql_impacts(),
+         "SELECT application_id, rank, feature, round(impact, 6) AS impact, direction, round(base_value, 6) AS base_value "
+         "FROM sc_attr"))(q_scorecard_attribution)
+
+
+def q_scorecard_counterfactual(spark, sf_dir):
+    """X3 on the fitted scorecard."""
+    return XP.scorecard_counterfactual(_apps(spark, sf_dir), scorecard_of(spark, sf_dir)).drop("change_values")
+
+
+def q_scorecard_changes(spark, sf_dir):
+    """One row per change suggested by the fitted scorecard."""
+    found = XP.scorecard_counterfactual(_apps(spark, sf_dir), scorecard_of(spark, sf_dir))
+    return found.select("application_id", F.inline("change_values"))
+
+
+_SCF_CF = SCQ.sql_counterfactual("apps_d")
+register("x3_scorecard_counterfactual", _scf_oracle(_SCF_CF, "SELECT * FROM sc_cf"))(q_scorecard_counterfactual)
+register("x3_scorecard_changes", _scf_oracle(_SCF_CF, "SELECT * FROM sc_cf_changes"))(q_scorecard_changes)
+
+
+def q_scorecard_explanation(spark, sf_dir):
+    """X4 on the fitted scorecard."""
+    t = XP.scorecard_explanation_table(_apps(spark, sf_dir), scorecard_of(spark, sf_dir))
+    return t.select(
+        "application_id", "default_probability", "decision", r6("base_value").alias("base_value"),
+        F.array_join(F.col("top_factors.feature"), ";").alias("top_factors"),
+        r6(F.get("top_factors.impact", F.lit(0))).alias("top_impact"), "n_changes", "changed_features",
+        "counterfactual_probability", "counterfactual_decision", "achievable")
+
+
+register("x4_scorecard_explanation_table", _scf_oracle([*SCQ.sql_impacts(), *_SCF_CF,
+    "xf AS (SELECT application_id, string_agg(feature, ';' ORDER BY rank) AS top_factors, "
+    "round(max(base_value), 6) AS base_value, round(max(CASE WHEN rank = 1 THEN impact END), 6) AS top_impact "
+    "FROM sc_attr GROUP BY application_id)"],
+    "SELECT application_id, round(p, 6) AS default_probability, decision, base_value, top_factors, top_impact, n_changes, "
+    "changed_features, counterfactual_probability, counterfactual_decision, achievable "
+    "FROM sc_prob JOIN xf USING (application_id) JOIN sc_cf USING (application_id)"))(q_scorecard_explanation)
+
+
+def q_stream_score_fitted(spark, sf_dir):
+    """T1 with the fitted scorecard; equals its batch form once every file is consumed."""
+    path = ST.stream_score(spark, sf_dir, model=scorecard_of(spark, sf_dir))
+    return spark.read.parquet(path).select("application_id", "default_probability", "risk_score", "decision",
+                                           "confidence", "model_version")
+
+
+register("t1_stream_score_fitted", ORACLE["p15_score_applications_fitted"])(q_stream_score_fitted)

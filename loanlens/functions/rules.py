@@ -32,6 +32,18 @@ def derived_feature_columns(columns) -> dict[str, Column]:
     return out
 
 
+def derived_value(name: str, get) -> Column:
+    """A derived feature over the columns that ``get`` gives for its inputs."""
+    a, b, kind = next(d[1:] for d in _DERIVED if d[0] == name)
+    x, y = get(a).cast("double"), get(b).cast("double")
+    return x / floor_at(y, 1.0) if kind == "ratio" else x * y
+
+
+def derived_inputs(name: str) -> tuple[str, str]:
+    """The two columns a derived feature is made of."""
+    return next((d[1], d[2]) for d in _DERIVED if d[0] == name)
+
+
 def add_derived_features(df: DataFrame) -> DataFrame:
     """Ratios and an interaction; each only when both inputs exist."""
     cols = derived_feature_columns(df.columns)

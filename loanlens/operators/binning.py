@@ -38,8 +38,13 @@ def long_values(df: DataFrame, columns: list[str], extra: list[str] | None = Non
 def quantile_edges(df: DataFrame, columns: list[str], n_bins: int, method: str = "exact",
                    accuracy: int = 100_000) -> DataFrame:
     """``(feature, edges array<double>)``: merged quantile edges of non-null values."""
+    return edges_of_long(long_values(df, columns), n_bins, method, accuracy)
+
+
+def edges_of_long(long: DataFrame, n_bins: int, method: str = "exact", accuracy: int = 100_000) -> DataFrame:
+    """The same for long ``(feature, value)`` rows."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    long = long_values(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     if method == "exact":
         raw = percentiles(long, "value", probs, "feature").withColumnRenamed("q", "raw_edges")
     elif method == "approx":

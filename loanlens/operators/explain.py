@@ -194,6 +194,118 @@ def explanation_table(df: DataFrame, top_n: int = 5, id_col: str = S.ID_COL,
     return counterfactual(wide, score, id_col=id_col, keep=["default_probability", "base_value", "top_factors"])
 
 
+# --- the same for a fitted scorecard (plans.scorecard) -----------------------------------------
+def scorecard_arrays(df: DataFrame, model, top_n: int = 5, id_col: str = S.ID_COL, keep=()) -> DataFrame:
+    """X1 + W5 + O3 of a fitted scorecard: (id, ``keep``, base_value, top: array<struct<k1, feature, impact>>).
+
+    An impact is coefficient x (value - training mean), averaged over the folds; all of them sum to the
+    mean logit minus ``base_value``."""
+    before = df.columns
+    df = model.with_points(df, {f"_p_{c}": (c, model.value(c, F.col)) for c in model.features})
+    df = df.select(*before, *[model.impact(F.col(f"_p_{c}")).alias(f"_p_{c}") for c in model.features])
+    impacts = {c: F.col(f"_p_{c}") for c in model.features}
+    entries = [F.struct((-F.abs(e)).alias("k1"), F.lit(c).alias("feature"), e.alias("impact")) for c, e in impacts.items()]
+    return df.select(F.col(id_col), *[c for c in keep if c != id_col], F.lit(model.base_value).alias("base_value"),
+                     F.slice(F.sort_array(F.array(*entries)), 1, top_n).alias("top"))
+
+
+def scorecard_attribution(df: DataFrame, model, top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
+    """One row per application and ranked feature of a fitted scorecard."""
+    out = scorecard_arrays(df, model, top_n, id_col).select(id_col, "base_value", F.posexplode("top").alias("pos", "e"))
+    return out.select(id_col, (F.col("pos") + 1).alias("rank"), F.col("e.feature").alias("feature"),
+                      F.col("e.impact").alias("impact"),
+                      F.when(F.col("e.impact") > 0, "increases_risk").otherwise("decreases_risk").alias("direction"),
+                      "base_value")
+
+
+def scorecard_counterfactual(df: DataFrame, model, max_changes: int = 4, target: str = "APPROVE",
+                             id_col: str = S.ID_COL, threshold_approve: float = S.PROB_APPROVE,
+                             threshold_decline: float = S.PROB_DECLINE, materialize: bool = True, keep=()) -> DataFrame:
+    """X3 of a fitted scorecard: the rounds of ``counterfactual``, on the folds' logits.
+
+    A lever changes the points of its own feature and of those derived from it, so a candidate costs
+    those points and a sum, however many features the model has. Columns and ties as there."""
+    feats, k = [f for f, _ in MUTABLE_FEATURES], model.folds
+    touched = {f: [d for d in [f, *S.DERIVED_FEATURES] if d in model.features
+                   and (d == f or (d in S.DERIVED_FEATURES and f in rules.derived_inputs(d)))] for f in feats}
+    pts = sorted({d for ds in touched.values() for d in ds})
+
+    def decision(p):
+        return SC.probability_to_decision(p, threshold_approve, threshold_decline)
+
+    def probability(logits: str) -> Column:
+        return model.calibrated([F.col(logits)[g] for g in range(k)])
+
+    def met(p):
+        return F.coalesce(decision(p) == target, F.lit(False))
+    state = model.with_points(df, {f"pt_{d}": (d, model.value(d, F.col)) for d in model.features})
+    state = state.select(*df.columns, *[F.col(f).cast("double").alias(f"cf_{f}") for f in feats],
+                         F.array(*model.sums(lambda c, g: F.col(f"pt_{c}")[g])).alias("_lg"), *[f"pt_{d}" for d in pts],
+                         F.array().cast("array<string>").alias("changes"))
+    state = state.withColumn("p_start", probability("_lg")).withColumn("p_cur", F.col("p_start"))
+    state = state.withColumn("done", met(F.col("p_cur")))
+    fixed = state.columns
+    for _ in range(max_changes):
+        value = {f: F.coalesce(F.col(f"cf_{f}"), F.lit(0.0)) * F.lit(LOWER_FACTOR if d == "lower" else HIGHER_FACTOR)
+                 for f, d in MUTABLE_FEATURES}
+
+        def over(f, value=value):
+            return lambda n: value[f] if n == f else F.col(f"cf_{n}" if n in feats else n)
+        state = model.with_points(state, {f"n{i}_{d}": (d, model.value(d, over(f)))
+                                          for i, f in enumerate(feats) for d in touched[f]})
+
+        def moved(i, f, g):
+            change = F.lit(0.0)
+            for j, d in enumerate(touched[f]):
+                step = F.col(f"n{i}_{d}")[g] - F.col(f"pt_{d}")[g]
+                change = step if j == 0 else change + step
+            return F.col("_lg")[g] + change
+        state = state.select("*", *[F.array(*(moved(i, f, g) for g in range(k))).alias(f"l{i}") for i, f in enumerate(feats)])
+        state = state.select("*", *[(F.round((F.col("p_cur") - probability(f"l{i}")) * F.lit(1e12), 0) / F.lit(1e12)).alias(f"d{i}")
+                                    for i in range(len(feats))])
+        cands = []
+        for i, f in enumerate(feats):
+            ok = ~F.col("done") & ~F.array_contains("changes", F.lit(f)) & (F.col(f"d{i}") > 0)
+            cands.append(F.when(ok, F.struct(F.col(f"d{i}").alias("delta"), F.lit(-i).alias("neg_i"))))
+        state = state.select("*", F.greatest(*cands).alias("_best"))
+        state = state.select("*", (~F.col("done") & F.col("_best").isNotNull() & (F.col("_best.delta") >= MIN_IMPROVEMENT)).alias("_go"))
+
+        def picked(old, arms):
+            out = None
+            for i, new in arms:
+                hit = F.col("_go") & (F.col("_best.neg_i") == -i)
+                out = F.when(hit, new) if out is None else out.when(hit, new)
+            return (F.col(old) if out is None else out.otherwise(F.col(old))).alias(old)
+        changed = {"_lg": picked("_lg", [(i, F.col(f"l{i}")) for i in range(len(feats))]),
+                   "changes": picked("changes", [(i, F.array_append("changes", F.lit(f))) for i, f in enumerate(feats)])}
+        changed |= {f"cf_{f}": picked(f"cf_{f}", [(i, value[f])]) for i, f in enumerate(feats)}
+        changed |= {f"pt_{d}": picked(f"pt_{d}", [(i, F.col(f"n{i}_{d}")) for i, f in enumerate(feats) if d in touched[f]])
+                    for d in pts}
+        state = state.select(*[changed.get(c, F.col(c)) for c in fixed], "_go")
+        p_new = F.when(F.col("_go"), probability("_lg")).otherwise(F.col("p_cur"))
+        state = state.select(*[c for c in fixed if c not in ("p_cur", "done")], p_new.alias("p_cur"),
+                             (F.col("done") | ~F.col("_go") | met(p_new)).alias("done")).select(*fixed)
+    step = {f: F.array_position("changes", F.lit(f)) for f in feats}
+    moved_by = F.array(*[F.when(step[f] > 0, F.struct(
+        step[f].cast("int").alias("step"), F.lit(f).alias("feature"), F.lit(direction).alias("direction"),
+        round_dp(F.coalesce(F.col(f).cast("double"), F.lit(0.0)), 4).alias("current_value"),
+        round_dp(F.col(f"cf_{f}"), 4).alias("suggested_value"))) for f, direction in MUTABLE_FEATURES])
+    out = state.select(
+        id_col, *[c for c in keep if c != id_col], F.sort_array(F.array_compact(moved_by)).alias("change_values"),
+        round_dp(F.col("p_start"), 4).alias("start_probability"), decision(F.col("p_start")).alias("decision"),
+        F.size("changes").alias("n_changes"), F.array_join("changes", ";").alias("changed_features"),
+        round_dp(F.col("p_cur"), 4).alias("counterfactual_probability"),
+        decision(F.col("p_cur")).alias("counterfactual_decision"), met(F.col("p_cur")).alias("achievable"))
+    return cut_lineage(out) if materialize else out
+
+
+def scorecard_explanation_table(df: DataFrame, model, top_n: int = 5, id_col: str = S.ID_COL) -> DataFrame:
+    """X4 of a fitted scorecard: decision, base value, top factors and counterfactual per application."""
+    wide = scorecard_arrays(df, model, top_n, id_col, keep=df.columns).withColumnRenamed("top", "top_factors")
+    wide = model.transform(wide).withColumn("default_probability", round_dp("probability_default", 6))
+    return scorecard_counterfactual(wide, model, id_col=id_col, keep=["default_probability", "base_value", "top_factors"])
+
+
 # --- DuckDB twins ----------------------------------------------------------------------------
 def sql_attribution(src: str, top_n: int = 5, id_col: str = S.ID_COL, optional=()) -> list[str]:
     """CTEs ending in ``attr`` (id, rank, feature, impact, direction, base_value); NULLs of the

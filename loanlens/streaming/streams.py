@@ -56,8 +56,10 @@ def _run(query_builder, out: str) -> None:
 
 
 # --- T1 ---------------------------------------------------------------------------------
-def stream_score(spark: SparkSession, sf_dir: str, out: str | None = None) -> str:
-    """Returns the sink folder (date-partitioned Parquet log)."""
+def stream_score(spark: SparkSession, sf_dir: str, out: str | None = None, model=None) -> str:
+    """Returns the sink folder (date-partitioned Parquet log).
+
+    ``model``: a fitted ``Scorecard``, or None for the expert logit."""
     out = out or run_dir(spark, "score")
     orders = _stream_table(spark, sf_dir, "orders")
     dfs = {"orders": orders, "lineitem": read_table(spark, sf_dir, "lineitem"),
@@ -67,18 +69,21 @@ def stream_score(spark: SparkSession, sf_dir: str, out: str | None = None) -> st
     from ..functions import rules
     from ..functions.validation import validation_errors
     from ..plans.scoring import imputing, optional_medians
-    medians = optional_medians(FX.applications(spark, sf_dir))
     prob = F.col("_p")
-    rows = (apps.where(F.size(validation_errors(apps.columns)) == 0)
-            .withWatermark("arrived", "1 hour")
-            .dropDuplicatesWithinWatermark([S.ID_COL])
-            .withColumn("_p", rules.risk_probability(imputing(medians)))
+
+    def scored(rows: DataFrame) -> DataFrame:
+        if model:
+            return model.transform(rows).withColumnRenamed("probability_default", "_p")
+        return rows.withColumn("_p", rules.risk_probability(imputing(optional_medians(FX.applications(spark, sf_dir)))))
+    rows = (scored(apps.where(F.size(validation_errors(apps.columns)) == 0)
+                   .withWatermark("arrived", "1 hour")
+                   .dropDuplicatesWithinWatermark([S.ID_COL]))
             .select(S.ID_COL, "applied_at",
                     round_dp(prob, 6).alias("default_probability"),
                     SC.probability_to_score(prob).alias("risk_score"),
                     SC.probability_to_decision(prob).alias("decision"),
                     SC.decision_confidence(prob).alias("confidence"),
-                    F.lit("expert-logit-v1").alias("model_version"),
+                    F.lit(model.version if model else "expert-logit-v1").alias("model_version"),
                     F.to_date("applied_at").alias("date")))
     _run(rows.writeStream.format("parquet").outputMode("append").partitionBy("date")
          .option("path", f"{out}/data"), out)
