@@ -750,11 +750,20 @@ register("a28_vif_three_columns", _oracle(["applications"], [_sql_vif3()[0]], _s
 
 
 def q_vif_all(spark, sf_dir):
-    """A28 over every numeric and derived feature (k x k inverse on the driver; rows-only check)."""
+    """A28 over every numeric and derived feature (k x k inverse on the driver)."""
     return PR.compute_vif(_derived_apps(spark, sf_dir), WOE_NUMERIC)
 
 
-register("a28_vif_all_numeric")(q_vif_all)
+_VIF_SQL = [_SQL_DERIVED_APPS.replace("AS (", "AS MATERIALIZED (", 1),
+            *PR.sql_vif_rounds("apps_d", "application_id", WOE_NUMERIC)]
+_VIF_ROUNDS = range(1, len(WOE_NUMERIC) + 1)
+
+
+def _vif_oracle(final: str) -> str:
+    return _oracle(["applications"], _VIF_SQL, final).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+register("a28_vif_all_numeric", _vif_oracle("SELECT feature, vif FROM vif_v1"))(q_vif_all)
 
 
 def q_vif_prune(spark, sf_dir):
@@ -765,7 +774,21 @@ def q_vif_prune(spark, sf_dir):
     return spark.createDataFrame(rows, "feature string, status string, vif double")
 
 
-register("a29_vif_pruning")(q_vif_prune)
+register("a29_vif_pruning", _vif_oracle(" UNION ALL ".join(
+    f"SELECT feature, 'dropped' AS status, CAST(NULL AS DOUBLE) AS vif FROM vif_w{t} UNION ALL "
+    f"SELECT feature, 'kept', vif FROM vif_v{t} WHERE NOT EXISTS (SELECT 1 FROM vif_w{t})" for t in _VIF_ROUNDS)))(q_vif_prune)
+
+
+def q_vif_rounds(spark, sf_dir):
+    """Rows complete in the round's columns, the column it drops and its VIF."""
+    rounds, _, _ = PR.vif_rounds(_derived_apps(spark, sf_dir), WOE_NUMERIC)
+    rows = [(i, n, c, None if v is None else round(float(v), 2)) for i, (n, c, v) in enumerate(rounds, 1)]
+    return spark.createDataFrame(rows, "round int, n_rows long, dropped string, vif double")
+
+
+register("a29_vif_rounds", _vif_oracle(" UNION ALL ".join(
+    f"SELECT {t} AS round, (SELECT count(*) FROM vif_c{t}) AS n_rows, (SELECT feature FROM vif_w{t}) AS dropped, "
+    f"(SELECT vif FROM vif_w{t}) AS vif WHERE EXISTS (SELECT 1 FROM vif_f{t - 1})" for t in _VIF_ROUNDS)))(q_vif_rounds)
 
 _SPLIT_HASH_SQL = "CAST('0x' || substr(md5(CAST(application_id AS VARCHAR) || ':42'), 1, 15) AS BIGINT)"
 _SPLIT_SQL_CTE = (

@@ -82,21 +82,37 @@ def scale(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 # --- A28 / A29 VIF ----------------------------------------------------------------------
-def covariance_matrix(df: DataFrame, cols: list[str]) -> tuple[np.ndarray, int]:
-    """Population covariances of complete rows, one aggregate (k(k+1)/2 numbers)."""
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(F.covar_pop(a, b).alias(f"c__{a}__{b}"))
-    row = complete.agg(*aggs).collect()[0]
-    k = len(cols)
-    m = np.zeros((k, k))
-    for i, a in enumerate(cols):
-        for j in range(i, k):
-            v = row[f"c__{a}__{cols[j]}"]
-            m[i, j] = m[j, i] = float("nan") if v is None else v
-    return m, int(row["n"])
+def pattern_moments(df: DataFrame, cols: list[str]) -> list[tuple[list[bool], int, np.ndarray, np.ndarray]]:
+    """Count, means and population covariances of the rows of every null pattern, in one aggregate.
+
+    A pattern says which of the columns a row holds (NaN counts as NULL). Rows complete in *any* subset of
+    the columns are the union of the patterns that hold it, so one scan serves every subset. The
+    driver gets a row per pattern that occurs.
+    """
+    values = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)]
+    k, rows = len(cols), df.select(*values)
+    held = F.concat(*(F.when(F.col(f"x{i}").isNull(), "0").otherwise("1") for i in range(k)))
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    found = rows.groupBy(held.alias("held")).agg(
+        F.count("*").alias("n"), F.array(*(F.avg(f"x{i}") for i in range(k))).alias("mean"),
+        F.array(*(F.covar_pop(f"x{i}", f"x{j}") for i, j in pairs)).alias("cov")).collect()
+    out = []
+    for r in found:
+        cov = np.zeros((k, k))
+        for (i, j), v in zip(pairs, r["cov"]):
+            cov[i, j] = cov[j, i] = 0.0 if v is None else v
+        out.append(([b == "1" for b in r["held"]], r["n"], np.array([m or 0.0 for m in r["mean"]]), cov))
+    return out
+
+
+def complete_covariance(moments, keep: list[int]) -> tuple[np.ndarray, int]:
+    """Covariances of the rows complete in the columns ``keep``: their patterns' moments put together."""
+    parts = [(n, mean[keep], cov[np.ix_(keep, keep)]) for held, n, mean, cov in moments if all(held[i] for i in keep)]
+    total = sum(n for n, _, _ in parts)
+    if not total:
+        return np.zeros((len(keep), len(keep))), 0
+    mean = sum(n * m for n, m, _ in parts) / total
+    return sum(n * (c + np.outer(m - mean, m - mean)) for n, m, c in parts) / total, total
 
 
 def vif_from_cov(cov: np.ndarray, cols: list[str]) -> dict[str, float]:
@@ -127,31 +143,69 @@ def vif_from_cov(cov: np.ndarray, cols: list[str]) -> dict[str, float]:
 
 
 def compute_vif(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Feature, vif (2 dp), VIF descending."""
-    cov, _ = covariance_matrix(df, cols)
-    v = vif_from_cov(cov, cols)
-    rows = [(c, round(float(x), 2) if math.isfinite(x) else float(x)) for c, x in v.items()]
+    """Feature, vif (2 dp), VIF descending, of the rows complete in all columns."""
+    cov, _ = complete_covariance(pattern_moments(df, cols), list(range(len(cols))))
+    rows = [(c, round(float(x), 2) if math.isfinite(x) else float(x)) for c, x in vif_from_cov(cov, cols).items()]
     return df.sparkSession.createDataFrame(rows, "feature string, vif double").orderBy(F.desc("vif"), "feature")
 
 
-def drop_high_vif(df: DataFrame, cols: list[str], threshold: float = S.VIF_THRESHOLD):
-    """Drop the worst column until all VIF <= threshold; one Spark pass in total.
+def vif_rounds(df: DataFrame, cols: list[str], threshold: float = S.VIF_THRESHOLD):
+    """Drop the worst column until all VIF are at most ``threshold``; one Spark pass in total.
 
-    Rows complete in all starting columns are used throughout (SURVEY H7).
-    Returns (kept columns, dropped columns, final VIF dict).
-    """
-    cov, _ = covariance_matrix(df, cols)
-    keep = list(range(len(cols)))
-    dropped: list[str] = []
+    Every round takes the rows complete in the columns it still has, so rows may come back when a
+    column goes (SURVEY H7). Returns (rounds, kept columns, final VIF): a round is (rows, dropped
+    column, its VIF); the last one drops nothing."""
+    moments = pattern_moments(df, cols)
+    keep, rounds = list(range(len(cols))), []
     while keep:
         names = [cols[i] for i in keep]
-        v = vif_from_cov(cov[np.ix_(keep, keep)], names)
+        cov, n = complete_covariance(moments, keep)
+        v = vif_from_cov(cov, names)
         worst = max(names, key=lambda c: (round(v[c], 2), c))
         if round(v[worst], 2) <= threshold:
-            return names, dropped, v
-        dropped.append(worst)
+            rounds.append((n, None, None))
+            return rounds, names, v
+        rounds.append((n, worst, v[worst]))
         keep = [i for i in keep if cols[i] != worst]
-    return [], dropped, {}
+    return rounds, [], {}
+
+
+def drop_high_vif(df: DataFrame, cols: list[str], threshold: float = S.VIF_THRESHOLD):
+    """(kept columns, dropped columns, final VIF dict)."""
+    rounds, kept, v = vif_rounds(df, cols, threshold)
+    return kept, [c for _, c, _ in rounds if c is not None], v
+
+
+def sql_vif_rounds(src: str, id_col: str, cols: list[str], threshold: float = S.VIF_THRESHOLD) -> list[str]:
+    """SQL twin: CTEs ``vif_v<t>`` (feature, vif of round t), ``vif_c<t>`` (its rows) and ``vif_w<t>`` (what it drops).
+
+    A correlation matrix is inverted row by row in a recursive CTE; once nothing is dropped, later rounds are empty."""
+    def cte(name, body):
+        return f"{name} AS MATERIALIZED ({body})"
+    names = ", ".join(f"'{c}'" for c in cols)
+    out = [cte("vif_l", "SELECT * FROM (" + " UNION ALL ".join(
+               f"SELECT {id_col} AS id, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM {src}" for c in cols)
+               + ") WHERE v IS NOT NULL AND NOT isnan(v)"),
+           cte("vif_f0", f"SELECT unnest([{names}]) AS feature")]
+    for t in range(1, len(cols) + 1):
+        out += [
+            cte(f"vif_c{t}", f"SELECT id FROM vif_l JOIN vif_f{t - 1} USING (feature) GROUP BY id "
+                f"HAVING count(*) = (SELECT count(*) FROM vif_f{t - 1})"),
+            cte(f"vif_x{t}", f"SELECT id, feature, v FROM vif_l JOIN vif_f{t - 1} USING (feature) JOIN vif_c{t} USING (id)"),
+            cte(f"vif_o{t}", f"SELECT feature, row_number() OVER (ORDER BY feature) AS i, count(*) OVER () AS k FROM ("
+                f"SELECT feature FROM vif_x{t} GROUP BY feature HAVING stddev_pop(v) > 0)"),
+            cte(f"vif_r{t}", "SELECT i, list(r ORDER BY j) || list_transform(range(1, any_value(k) + 1), lambda q: CASE WHEN q = i THEN 1e0 "
+                f"ELSE 0e0 END) AS row FROM (SELECT p.i, q.i AS j, any_value(p.k) AS k, corr(a.v, b.v) AS r FROM vif_x{t} a JOIN vif_x{t} b USING (id) "
+                f"JOIN vif_o{t} p ON p.feature = a.feature JOIN vif_o{t} q ON q.feature = b.feature GROUP BY p.i, q.i) GROUP BY i"),
+            f"vif_e{t}(s, m) AS (SELECT CAST(1 AS BIGINT), list(row ORDER BY i) FROM vif_r{t} HAVING count(*) > 0 UNION ALL "
+            "SELECT s + 1, list_transform(m, lambda q, i: CASE WHEN i = s THEN list_transform(q, lambda v: v / m[s][s]) "
+            f"ELSE list_transform(q, lambda v, j: v - q[s] / m[s][s] * m[s][j]) END) FROM vif_e{t} WHERE s <= len(m))",
+            cte(f"vif_v{t}", f"SELECT f.feature, CASE WHEN o.i IS NULL THEN 1e0 ELSE round(e.m[o.i][len(e.m) + o.i], 2) END AS vif "
+                f"FROM vif_f{t - 1} f LEFT JOIN vif_o{t} o USING (feature) LEFT JOIN vif_e{t} e ON e.s = len(e.m) + 1"),
+            cte(f"vif_w{t}", f"SELECT feature, vif FROM vif_v{t} WHERE vif > {threshold!r} ORDER BY vif DESC, feature DESC LIMIT 1"),
+            cte(f"vif_f{t}", f"SELECT feature FROM vif_f{t - 1}, (SELECT feature AS gone FROM vif_w{t}) WHERE feature <> gone"),
+        ]
+    return out
 
 
 # --- W6 / W8 / U1 / O4 -------------------------------------------------------------------
