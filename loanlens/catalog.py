@@ -80,6 +80,18 @@ register("a2_a5_woe_table", _oracle(["applications"], [_SQL_DERIVED_APPS, _SQL_W
          "n, n_ev, n_nev, round(woe, 6) AS woe, round(iv_part, 6) AS iv_part FROM woe_tbl"))(q_woe_table)
 
 
+def q_bin_labels(spark, sf_dir):
+    """the label and WoE of every numeric bin."""
+    t = woe.woe_table_df(_derived_apps(spark, sf_dir), TARGET, WOE_NUMERIC, [])
+    label = F.when(F.col("is_missing"), "MISSING").otherwise(binning.bin_label(F.col("lo"), F.col("hi")))
+    return t.select("feature", "bin", label.alias("label"), r6("woe").alias("woe"))
+
+
+register("f5_bin_labels", _oracle(["applications"], [_SQL_DERIVED_APPS, _SQL_WOE],
+         f"SELECT feature, bin, CASE WHEN is_missing THEN 'MISSING' ELSE {binning.sql_bin_label('lo', 'hi')} END AS label, "
+         "round(woe, 6) AS woe FROM woe_tbl WHERE kind = 'numeric'"))(q_bin_labels)
+
+
 def q_quantile_edges(spark, sf_dir):
     df = _derived_apps(spark, sf_dir)
     e = binning.quantile_edges(df, WOE_NUMERIC, binning.n_quantile_bins())
@@ -416,6 +428,17 @@ register("u2_category_union", _oracle(["applications"], _APP_SPLIT_SQL,
          "WHERE category IS NOT NULL"))(q_category_union)
 
 
+def q_category_unions(spark, sf_dir):
+    """U2 over every categorical column."""
+    ref, cur = _app_split(spark, sf_dir)
+    return DR.category_unions(ref, cur, S.CATEGORICAL_FEATURES)
+
+
+register("u2_category_union_all", _oracle(["applications"], _APP_SPLIT_SQL, " UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS feature, category FROM (SELECT {c} AS category FROM aref UNION SELECT {c} FROM acur) "
+    "WHERE category IS NOT NULL" for c in S.CATEGORICAL_FEATURES)))(q_category_unions)
+
+
 # --- prediction-log reports -------------------------------------------------------
 from pyspark.sql import types as T  # noqa: E402
 
@@ -849,11 +872,11 @@ from .sources import predlog as PL  # noqa: E402
 
 
 def q_read_dataset(spark, sf_dir):
-    """The reader on a given table (parquet by extension)."""
-    return FI.read_dataset(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+    """The reader on a given table (parquet by extension), every column and row."""
+    return FI.read_dataset(spark, f"{sf_dir}/orders.parquet")
 
 
-register("s1_read_dataset", _oracle([], [], "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+register("s1_read_dataset", _oracle([], [], "SELECT * FROM orders")
          .replace("WITH \n", ""))(q_read_dataset)
 
 
@@ -1268,3 +1291,26 @@ def q_stream_score_fitted(spark, sf_dir):
 
 
 register("t1_stream_score_fitted", ORACLE["p15_score_applications_fitted"])(q_stream_score_fitted)
+
+
+def q_log_rows_all(spark, sf_dir):
+    """S5 + S6: log rows of the fitted scorecard with all features and the attribution as JSON, read back from that JSON."""
+    m = scorecard_of(spark, sf_dir)
+    apps = _apps(spark, sf_dir).select(*_APP_COLS, "applied_at")
+    wide = m.transform(XP.scorecard_arrays(apps, m, 5, keep=apps.columns))
+    wide = wide.withColumn("default_probability", round_dp(MO.PROB_COL, 6))
+    factors = F.transform("top", lambda t: F.struct(t["feature"].alias("feature"), t["impact"].alias("impact")))
+    log = PL.log_rows(wide, S.ALL_FEATURES, "default_probability", m.version, ts=F.col("applied_at"), attribution=factors)
+    schema = T.StructType([T.StructField(c, T.DoubleType() if c in S.NUMERIC_FEATURES else T.StringType()) for c in S.ALL_FEATURES])
+    kept = ("application_id", "timestamp", "default_prob", "risk_score", "decision", "confidence", "model_version", "shap_json")
+    back = LR.read_log_features(log, schema, hours=None, keep=kept)
+    return back.select(*kept[:-1], F.get_json_object("shap_json", "$[0].feature").alias("top_factor"),
+                       *[r6(c).alias(c) for c in S.NUMERIC_FEATURES], *S.CATEGORICAL_FEATURES)
+
+
+register("s5_log_rows_all_features", _scf_oracle(SCQ.sql_impacts(),
+    f"SELECT application_id, applied_at AS timestamp, p AS default_prob, {SC.sql_score('p')} AS risk_score, "
+    f"{SC.sql_prob_decision('p')} AS decision, {SC.sql_confidence('p')} AS confidence, 'scorecard-v1' AS model_version, top_factor, "
+    + ", ".join(f"round({c}, 6) AS {c}" for c in S.NUMERIC_FEATURES) + ", " + ", ".join(S.CATEGORICAL_FEATURES)
+    + " FROM (SELECT a.*, round(s.p, 6) AS p, t.feature AS top_factor FROM apps_d a JOIN sc_prob s USING (application_id) "
+    "JOIN sc_attr t USING (application_id) WHERE t.rank = 1)"))(q_log_rows_all)

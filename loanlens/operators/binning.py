@@ -78,6 +78,32 @@ def bin_index(value: Column, edges: list[float]) -> Column:
     return out.otherwise(F.lit(len(interior)))
 
 
+def bin_label(lo: Column, hi: Column) -> Column:
+    """``(lo, hi]`` with four significant digits, zeros at the end left out; exponents below -4 and from 4 on."""
+    def four(x: Column) -> Column:
+        power = F.floor(F.log10(F.abs(x)))
+        unit = F.pow(F.lit(10.0), F.lit(3) - power)
+        text = F.format_string("%.3e", F.round(x * unit, 0) / unit)
+        head, tail = F.split_part(text, F.lit("e"), F.lit(1)), F.split_part(text, F.lit("e"), F.lit(2))
+        e = tail.cast("int")
+        out = F.concat(F.regexp_replace(head, r"\.?0+$", ""), F.lit("e"), tail)
+        fixed = None
+        for d in range(-4, 4):
+            now = F.format_string(f"%.{3 - d}f", text.cast("double"))
+            now = now if d == 3 else F.regexp_replace(now, r"\.?0+$", "")
+            fixed = F.when(e == d, now) if fixed is None else fixed.when(e == d, now)
+        return F.when(x == 0, "0").otherwise(fixed.otherwise(out))
+    return F.concat(F.lit("("), four(lo), F.lit(", "), four(hi), F.lit("]"))
+
+
+def sql_bin_label(lo: str, hi: str) -> str:
+    """DuckDB twin of ``bin_label``."""
+    def four(x):
+        unit = f"pow(10e0, 3 - floor(log10(abs({x}))))"
+        return f"CASE WHEN {x} = 0 THEN '0' ELSE printf('%.4g', round({x} * {unit}) / {unit}) END"
+    return f"'(' || {four(lo)} || ', ' || {four(hi)} || ']'"
+
+
 def sql_bin_index(value: str, edges_expr: str) -> str:
     """DuckDB twin of ``bin_index`` over a list of edges."""
     return (f"CASE WHEN {value} IS NULL THEN NULL ELSE "

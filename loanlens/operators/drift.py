@@ -118,9 +118,10 @@ def categorical_psi(reference: DataFrame, current: DataFrame, cols: list[str],
         return spark.createDataFrame([], "feature string, psi double")
     dist = compare_distributions(_category_counts(reference, cols), _category_counts(current, cols),
                                  ["feature", "category"])
-    w = Window.partitionBy("feature")
-    shares = (dist.withColumn("e", F.col("n_ref") / F.sum("n_ref").over(w))
-              .withColumn("a", F.col("n_cur") / F.sum("n_cur").over(w)))
+    # totals are a row per feature, so a feature of many categories is never gathered in one task
+    totals = dist.groupBy("feature").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
+    shares = (dist.join(F.broadcast(totals), "feature").withColumn("e", F.col("n_ref") / F.col("t_ref"))
+              .withColumn("a", F.col("n_cur") / F.col("t_cur")))
     return shares.groupBy("feature").agg(F.sum(_psi_terms(shares, epsilon)).alias("psi"))
 
 
@@ -131,6 +132,13 @@ def category_union(reference: DataFrame, current: DataFrame, col: str) -> DataFr
             .where(F.col("category").isNotNull()).distinct())
 
 
+def category_unions(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
+    """U2 for several columns: (feature, category) seen on either side, by one aggregate over both."""
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in cols])
+    both = reference.select(F.inline(entries)).union(current.select(F.inline(entries)))
+    return both.where("category is not null").distinct()
+
+
 def drift_report(reference: DataFrame, current: DataFrame, numeric_cols=None,
                  categorical_cols=None, n_bins: int = 10, epsilon: float = S.PSI_EPSILON) -> DataFrame:
     """Feature, psi, status, n_reference, n_current; PSI descending."""

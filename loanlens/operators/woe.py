@@ -18,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,19 +162,17 @@ def woe_counts(df: DataFrame, target: str, numeric_cols: list[str], categorical_
 
 def woe_from_counts(counts: DataFrame, edges_df: DataFrame | None,
                     smoothing: float = S.WOE_SMOOTHING, guard: bool = False) -> DataFrame:
-    """WoE and IV part per group; totals and bin counts by windows over the counts.
+    """WoE and IV part per group; totals and group counts per feature by a second, map-side combined aggregate.
 
+    A feature of many categories is so never gathered in one task; the totals are a row per feature.
     ``guard``: a target of one class fails when the table is computed (A7).
     """
     s = F.lit(float(smoothing))
-    w = Window.partitionBy("feature")
     missing = F.when(F.col("kind") == "numeric", F.col("bin").isNull()).otherwise(F.col("category").isNull())
-    t = (counts
-         .withColumn("n_nev", F.col("n") - F.col("n_ev"))
-         .withColumn("is_missing", missing)
-         .withColumn("tot_ev", F.sum("n_ev").over(w))
-         .withColumn("tot_nev", F.sum("n_nev").over(w))
-         .withColumn("n_groups", F.sum(F.when(F.col("is_missing"), 0).otherwise(1)).over(w)))
+    t = counts.withColumn("n_nev", F.col("n") - F.col("n_ev")).withColumn("is_missing", missing)
+    totals = t.groupBy("feature").agg(F.sum("n_ev").alias("tot_ev"), F.sum("n_nev").alias("tot_nev"),
+                                      F.sum(F.when(F.col("is_missing"), 0).otherwise(1)).alias("n_groups"))
+    t = t.join(F.broadcast(totals), "feature")
     if guard:
         one_class = (F.col("tot_ev") == 0) | (F.col("tot_nev") == 0)
         t = t.withColumn("tot_ev", F.when(one_class, F.raise_error("target must contain both classes (0 and 1)")
