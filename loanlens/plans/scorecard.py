@@ -10,7 +10,7 @@ reaches the driver.
 A ``Scorecard`` is those numbers. Scaling, coefficient and WoE of a bin collapse into the *points*
 it adds to a fold's logit. ``transform`` finds all bins of a row with one ``Bucketizer`` (binary search over the
 folds' merged edges), reads the points of all folds from a literal table and sums them: narrow work over a
-batch or a stream. ``probability`` is the same as a single Column of CASE chains, usable wherever a ``Scorer`` is.
+batch or a stream. ``probability`` is the same as a single Column, usable wherever a ``Scorer`` is.
 """
 
 from __future__ import annotations
@@ -83,50 +83,52 @@ class Scorecard:
         """A feature's value from the columns that ``get`` gives; derived ones are computed."""
         return rules.derived_value(name, get) if name in S.DERIVED_FEATURES else get(name)
 
-    def fold_points(self, name: str, fold: int, value: Column) -> Column:
-        """Points that a feature's value adds to a fold's logit: one CASE chain against literals."""
+    def _table(self, name: str) -> tuple[list, Column]:
+        """What a feature's value is looked up in, and the points of all folds by place, as a literal array of arrays.
+
+        Numeric: the folds' merged edges, a row per interval and one for a missing value. Categorical: the known
+        categories, after a row for all others."""
+        k = range(self.folds)
         if name in self.numeric:
-            v = F.coalesce(value.cast("double"), F.lit(self.medians[name][fold]))
-            edges, points = self.edges[name][fold], self.points[name][fold]
-            out = None
-            for e, p in zip(edges, points):
-                out = F.when(v < F.lit(e), F.lit(p)) if out is None else out.when(v < F.lit(e), F.lit(p))
-            return F.lit(points[-1]) if out is None else out.otherwise(F.lit(points[-1]))
-        v, out = F.coalesce(value.cast("string"), F.lit(MISSING)), None
-        for c, p in sorted(self.categories[name][fold].items()):
-            out = F.when(v == F.lit(c), F.lit(p)) if out is None else out.when(v == F.lit(c), F.lit(p))
-        return out.otherwise(F.lit(self.unseen[name][fold]))
+            keys = sorted({e for fold in self.edges[name] for e in fold})
+
+            def at(g, v):
+                return self.points[name][g][bisect_right(self.edges[name][g], v)]
+            rows = [[at(g, v) for g in k] for v in [-math.inf, *keys]] + [[at(g, self.medians[name][g]) for g in k]]
+        else:
+            keys = sorted({c for fold in self.categories[name] for c in fold})
+            rows = [self.unseen[name]] + [[self.categories[name][g].get(c, self.unseen[name][g]) for g in k] for c in keys]
+        return keys, F.expr("array(" + ", ".join(f"array({', '.join(f'{p!r}D' for p in row)})" for row in rows) + ")")
+
+    def points_of(self, name: str, value: Column) -> Column:
+        """Points that a feature's value adds in all folds, as an array (compact: one search, one look-up)."""
+        keys, table = self._table(name)
+        if name not in self.numeric:
+            return F.get(table, F.array_position(F.lit(keys), F.coalesce(value.cast("string"), F.lit(MISSING))).cast("int"))
+        v = value.cast("double")
+        place = F.lit(0)
+        if keys:
+            place = F.size(F.filter(F.expr(f"array({', '.join(f'{e!r}D' for e in keys)})"), lambda e: e <= v))
+        return F.get(table, F.when(v.isNull() | F.isnan(v), F.lit(len(keys) + 1)).otherwise(place))
 
     def with_points(self, df: DataFrame, wanted: dict[str, tuple[str, Column]]) -> DataFrame:
-        """``df`` with a column for each of ``wanted`` (name -> feature and its value): points in all folds, as an array."""
-        before, values, splits, index = df.columns, {}, [], {}
+        """``df`` with a column for each of ``wanted`` (name -> feature and its value): points in all folds, as an array.
+
+        The bins of all numeric values are found by one ``Bucketizer``."""
+        before, values, splits, found = df.columns, {}, [], {}
         for out, (name, value) in wanted.items():
-            if name not in self.numeric:
-                known = sorted({c for fold in self.categories[name] for c in fold})
-                index[out] = F.array_position(F.lit(known), F.coalesce(value.cast("string"), F.lit(MISSING)))
-                rows = [self.unseen[name], *([self.categories[name][g].get(c, self.unseen[name][g])
-                                              for g in range(self.folds)] for c in known)]
+            keys, table = self._table(name)
+            if name in self.numeric and keys:
+                values[out] = F.coalesce(value.cast("double"), F.lit(float("nan")))  # kept as a bucket after the others
+                splits.append([-math.inf, *keys, math.inf])
+                found[out] = F.get(table, F.col(f"_b_{out}").cast("int"))
             else:
-                cuts = sorted({e for fold in self.edges[name] for e in fold})
-                rows = [[self.points[name][g][bisect_right(self.edges[name][g], at)] for g in range(self.folds)]
-                        for at in [-math.inf, *cuts]]
-                # a missing value has a bucket of its own, after the others
-                rows.append([self.points[name][g][bisect_right(self.edges[name][g], self.medians[name][g])]
-                             for g in range(self.folds)])
-                v = F.coalesce(value.cast("double"), F.lit(float("nan")))
-                if cuts:
-                    values[out] = v
-                    splits.append([-math.inf, *cuts, math.inf])
-                    index[out] = F.col(f"_b_{out}")
-                else:
-                    index[out] = F.isnan(v)
-            table = "array(" + ", ".join(f"array({', '.join(f'{p!r}D' for p in row)})" for row in rows) + ")"
-            index[out] = F.get(F.expr(table), index[out].cast("int")).alias(out)
+                found[out] = self.points_of(name, value)
         if splits:
             staged = df.select("*", *(v.alias(f"_v_{out}") for out, v in values.items()))
             df = Bucketizer(splitsArray=splits, inputCols=[f"_v_{out}" for out in values],
                             outputCols=[f"_b_{out}" for out in values], handleInvalid="keep").transform(staged)
-        return df.select(*before, *index.values())
+        return df.select(*before, *(c.alias(out) for out, c in found.items()))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``probability_default``, as the calibrated models of ``plans.models``."""
@@ -143,8 +145,11 @@ class Scorecard:
             out.append(z)
         return out
 
-    def logits(self, get: Callable[[str], Column] = F.col) -> list[Column]:
-        return self.sums(lambda c, g: self.fold_points(c, g, self.value(c, get)))
+    def logits(self, get: Callable[[str], Column] = F.col) -> Column:
+        """The folds' logits as one array column."""
+        points = F.array(*(self.points_of(c, self.value(c, get)) for c in self.features))
+        start = F.expr(f"array({', '.join(f'{b!r}D' for b in self.intercepts)})")
+        return F.aggregate(points, start, lambda total, p: F.zip_with(total, p, lambda x, y: x + y))
 
     def calibrated(self, logits: list[Column]) -> Column:
         """Mean of the folds' calibrated probabilities."""
@@ -157,7 +162,11 @@ class Scorecard:
 
     def probability(self, get: Callable[[str], Column] = F.col) -> Column:
         """Calibrated probability of default."""
-        return self.calibrated(self.logits(get))
+        a, b = (F.expr(f"array({', '.join(f'{v[i]!r}D' for v in self.sigmoids)})") for i in (0, 1))
+        one = F.lit(1.0)
+        each = F.transform(self.logits(get), lambda z, g: one / (one + F.exp(
+            F.get(a, g) * (one / (one + F.exp(-z))) + F.get(b, g))))
+        return F.aggregate(each, F.lit(0.0), lambda total, q: total + q) / F.lit(float(self.folds))
 
     def scorer(self) -> Callable[[dict[str, Column]], Column]:
         """``Scorer`` of the explanations: probability with some columns substituted."""
@@ -196,12 +205,23 @@ def _by_fold(frame: DataFrame, column: str, k: int, names: list[str]) -> dict[st
     return {c: [got.get(f"{g}:{c}") for g in range(k)] for c in names}
 
 
+def _categories(rows: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted categories of each column, NULL as ``MISSING``."""
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    if columns:
+        pairs = F.array(*(F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("category"))
+                          for c in columns))
+        for r in rows.select(F.inline(pairs)).distinct().collect():
+            out[r["feature"]].append(r["category"])
+    return {c: sorted(v) for c, v in out.items()}
+
+
 def _woe_by_fold(counts: list, k: int, names: list[str], numeric: list[str], smoothing: float):
     """``woe[name][fold][bin]``, mean and scale of the training rows, from the counts."""
     woe: dict[str, list[dict]] = {c: [{} for _ in range(k)] for c in names}
     n_of = {c: [{} for _ in range(k)] for c in names}
     for r in counts:
-        n_of[r["feature"]][r["g"]][r["b"]] = (r["n"], r["n_ev"])
+        n_of[names[r["pos"] % len(names)]][r["pos"] // len(names)][r["b"]] = (r["n"], r["n_ev"])
     stats: dict[str, list[tuple[float, float]]] = {c: [] for c in names}
     for c in names:
         for g in range(k):
@@ -315,37 +335,39 @@ def fit_scorecard(df: DataFrame, label: str = S.TARGET_COL, id_col: str = S.ID_C
             F.col("value").isNotNull() & ~F.isnan("value"))
         medians = {c: [q[0] for q in v] for c, v in _by_fold(
             ranking.percentiles(present, "value", [0.5], "feature"), "q", k, numeric).items()}
-    filled = lambda g, c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c][g]))
+    filled = lambda g, c: F.coalesce(
+        F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(medians[c][g]))
     if numeric:
         edges = _by_fold(binning.edges_of_long(_keyed(rows, k, numeric, filled), n_bins), "edges", k, numeric)
 
-    def group(g: int, c: str) -> Column:
-        if c in medians:
-            return binning.bin_index(filled(g, c), edges[c][g]).cast("string")
-        return F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
-    entries = [F.struct(F.lit(g).alias("g"), F.lit(c).alias("feature"), group(g, c).alias("b"))
-               for g in range(k) for c in features]
-    counts = rows.select("fold", "y", F.inline(F.array(*entries))).where("g <> fold").groupBy("g", "feature", "b").agg(
-        F.count("*").alias("n"), F.sum("y").alias("n_ev")).collect()
+    # every feature's place under every fold: bins by one Bucketizer, categories by their number among all of them
+    names = _categories(rows, categorical)
+    splits = {(g, c): [-math.inf, *edges[c][g][1:-1], math.inf] for g in range(k) for c in numeric}
+    cut = [key for key, v in splits.items() if len(v) > 2]
+    placed = rows.select("*", *(filled(g, c).alias(f"_v_{g}_{c}") for g, c in cut))
+    if cut:
+        placed = Bucketizer(splitsArray=[splits[key] for key in cut], inputCols=[f"_v_{g}_{c}" for g, c in cut],
+                            outputCols=[f"_b_{g}_{c}" for g, c in cut], handleInvalid="keep").transform(placed)
+
+    def place(g: int, c: str) -> Column:
+        if c in categorical:
+            return (F.array_position(F.lit(names[c]), F.coalesce(F.col(c).cast("string"), F.lit(MISSING))) - 1).cast("int")
+        return F.col(f"_b_{g}_{c}").cast("int") if (g, c) in cut else F.lit(0)
+    m = len(features)
+    binned = cut_lineage(placed.select("fold", "y", F.array(*(place(g, c) for g in range(k) for c in features)).alias("idx")))
+    counts = binned.select("fold", "y", F.posexplode("idx").alias("pos", "b")).withColumn("g", F.floor(F.col("pos") / m)).where(
+        "g <> fold").groupBy("pos", "b").agg(F.count("*").alias("n"), F.sum("y").alias("n_ev")).collect()
     woe, stats = _woe_by_fold(counts, k, features, numeric, smoothing)
 
-    # scaled WoE by bin; categories are numbered, with one more number for those a fold did not see
-    names = {c: [sorted(woe[c][g]) for g in range(k)] for c in categorical}
+    # scaled WoE by place; a category that a fold did not see has a WoE of zero, as have all others (one place more)
     tables: list[list[np.ndarray]] = []
     for g in range(k):
         row = []
         for c in features:
             mean, scale = stats[c][g]
-            keys = [str(b) for b in range(max(1, len(edges[c][g]) - 1))] if c in medians else [*names[c][g], None]
-            row.append(np.array([(woe[c][g].get(b, 0.0) - mean) / scale for b in keys]))
+            size = len(names[c]) + 1 if c in categorical else max(1, len(splits[g, c]) - 1)
+            row.append(np.array([(woe[c][g].get(b, 0.0) - mean) / scale for b in range(size)]))
         tables.append(row)
-
-    def number(g: int, c: str) -> Column:
-        if c in medians:
-            return binning.bin_index(filled(g, c), edges[c][g])
-        at = F.array_position(F.array(*(F.lit(v) for v in names[c][g])), group(g, c))
-        return F.when(at > 0, at - 1).otherwise(len(names[c][g])).cast("int")
-    binned = cut_lineage(rows.select("fold", "y", F.array(*(number(g, c) for g in range(k) for c in features)).alias("idx")))
     design = _designer(tables, k)
     beta = _newton(binned, design, len(features) + 1, k, ridge)
 
@@ -363,7 +385,7 @@ def fit_scorecard(df: DataFrame, label: str = S.TARGET_COL, id_col: str = S.ID_C
         features=features, numeric=numeric, medians=medians,
         edges={c: [e[1:-1] for e in edges[c]] for c in numeric},
         points={c: scaled[c] for c in numeric},
-        categories={c: [dict(zip(names[c][g], scaled[c][g])) for g in range(k)] for c in categorical},
+        categories={c: [{names[c][b]: scaled[c][g][b] for b in woe[c][g]} for g in range(k)] for c in categorical},
         unseen={c: [scaled[c][g][-1] for g in range(k)] for c in categorical},
         coefficients=[dict(zip(features, map(float, beta[g, 1:]))) for g in range(k)],
         intercepts=beta[:, 0].tolist(), sigmoids=sigmoids, version=version)

@@ -40,10 +40,7 @@ def test_save_and_load(spark, model, tmp_path):
 
 def test_points_are_centred_and_impacts_add_up(spark, apps, model):
     frame = explain.scorecard_arrays(apps, model, len(model.features))
-    logit = F.lit(0.0)
-    for z in model.logits():
-        logit = logit + z / model.folds
-    want = {r[0]: r[1] for r in apps.select("application_id", logit).collect()}
+    want = {r[0]: sum(r[1]) / model.folds for r in apps.select("application_id", model.logits()).collect()}
     for r in frame.collect():
         assert math.isclose(sum(t["impact"] for t in r["top"]) + r["base_value"], want[r["application_id"]], abs_tol=1e-9)
         assert [t["k1"] for t in r["top"]] == sorted(t["k1"] for t in r["top"])
