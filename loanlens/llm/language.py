@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, ship
+from .common import cut_lineage, ship, small
 
 ORDER, BUCKETS = 3, 1 << 18
 #: Documents the model is fitted and calibrated on, at most.
@@ -194,8 +194,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     idf = (np.log((1 + total) / (1 + holds)) + 1)
     key = F.xxhash64("doc_id", "text")
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    # of each language, about twice the sample by hash is ranked, however many documents it has
+    rows_of = small(known.groupBy("lang").agg(F.count("*").alias("rows")))
+    share = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    some = known.join(rows_of, "lang").where(share * F.col("rows") < 2 * sample)
     # every language takes its turn, so the sample is bounded whatever their number and shares
-    chosen = (known.select("doc_id", "lang", key.alias("h")).withColumn("turn", F.row_number().over(order))
+    chosen = (some.select("doc_id", "lang", key.alias("h")).withColumn("turn", F.row_number().over(order))
               .where(F.col("turn") <= sample).orderBy("turn", "h", "lang").limit(sample).select(F.col("h").alias("wanted")))
     wanted = cut_lineage(chosen.distinct())  # at most ``sample`` rows
     rows = known.withColumn("h", key).join(F.broadcast(wanted), F.col("h") == F.col("wanted"), "left_semi").select(
