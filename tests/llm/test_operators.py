@@ -319,7 +319,7 @@ def test_archives(spark):
     assert archives.round_trip(df.where("false")).count() == 0
     assert {tuple(r) for r in got.select(*archives.COLUMNS).collect()} == want and got.count() == len(want)
     ids = {r.page_id: r for r in got.collect()}
-    assert ids[1].target_uri == "http://a%20b/%0A" and len({r.record_id for r in ids.values()}) == len(want)
+    assert ids[1].target_uri == "http://a%20b/%0A" and len({r.record_id for r in got.collect()}) == len(want)
     assert archives.round_trip(df.where("page_id = 4")).count() == 1
 
 
