@@ -116,3 +116,38 @@ def test_ranking_metrics_of_clustered_scores(spark):
     assert m.auc_roc == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)
     cuts = np.unique(p)
     assert m.ks_statistic == pytest.approx(max(abs((pos >= c).mean() - (neg >= c).mean()) for c in cuts), abs=1e-12)
+
+
+def test_vif_rounds_take_the_rows_complete_in_their_columns(spark):
+    """Moments by null pattern give, in every round, what numpy gives on the rows complete in its columns."""
+    import numpy as np
+    from loanlens.operators import prepare
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((600, 4)) * [1, 50, 1e-3, 1] + [0, 1e6, 0, 5]
+    x = np.column_stack([x, x[:, 0] + 0.05 * rng.standard_normal(600), x[:, 1] - 30 * x[:, 3] + rng.standard_normal(600)])
+    names = [f"c{i}" for i in range(6)]
+    gone = rng.random(x.shape) < [0.0, 0.1, 0.0, 0.05, 0.3, 0.0]
+    rows = [tuple(None if g else float(v) for v, g in zip(r, m)) for r, m in zip(x, gone)] + [(float("nan"),) * 6, (None,) * 6]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names)).repartition(3)
+    rounds, kept, final = prepare.vif_rounds(df, names)
+    cols, want = list(range(6)), []
+    while True:
+        full = ~gone[:, cols].any(1)
+        inv = np.diag(np.linalg.inv(np.corrcoef(x[full][:, cols].T)))
+        worst = max(range(len(cols)), key=lambda i: (round(inv[i], 2), names[cols[i]]))
+        if round(inv[worst], 2) <= 10:
+            want.append((int(full.sum()), None))
+            break
+        want.append((int(full.sum()), names[cols[worst]]))
+        cols.pop(worst)
+    assert [(n, c) for n, c, _ in rounds] == want and len(want) == 3 and want[0][0] < want[-1][0]
+    assert kept == [names[i] for i in cols]
+    assert all(abs(final[names[c]] - v) < 1e-6 for c, v in zip(cols, inv))
+
+
+def test_unions_of_categories(spark):
+    from loanlens.operators import drift
+    a = spark.createDataFrame([("x", "p"), (None, "q"), ("x", None)], "g string, h string")
+    b = spark.createDataFrame([("y", "p")], "g string, h string")
+    assert sorted(tuple(r) for r in drift.category_unions(a, b, ["g", "h"]).collect()) == [
+        ("g", "x"), ("g", "y"), ("h", "p"), ("h", "q")]

@@ -44,8 +44,11 @@ def test_calibrated_scorecard_save_load(spark, apps):
 
 def test_isotonic_is_monotone(spark, apps):
     m = M.fit_calibrated(apps, "dflt", kind="logistic", method="isotonic", cv=2, parallelism=2)
-    rows = m.transform(apps, keep_raw=True).select("p_raw0", "probability_default").collect()
-    assert all(0.0 <= r[1] <= 1.0 for r in rows)
+    scored = m.transform(apps, keep_raw=True)
+    for i, c in enumerate(m.calibrators):
+        rows = c.transform(scored).select(f"p_raw{i}", f"p_cal{i}").orderBy(f"p_raw{i}", f"p_cal{i}").collect()
+        assert all(0.0 <= r[1] <= 1.0 for r in rows)
+        assert all(a[1] <= b[1] for a, b in zip(rows, rows[1:])) and len({r[1] for r in rows}) > 2
 
 
 def test_calibrated_booster_small(spark, apps):
