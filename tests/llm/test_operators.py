@@ -415,3 +415,24 @@ def test_quality(spark, nothing):
     assert got[900].score == got[901].score and not got[None].held_out
     assert quality.classify(nothing, labels).count() == 0
     assert {r.score for r in quality.classify(df, labels.where("false")).collect()} == {0.5}
+
+
+def test_jaccard_cells_and_folded_parities(spark, docs, monkeypatch):
+    """Cells of two rows a side find what large ones find; folding a signature gives the shorter one's parities."""
+    rng = np.random.default_rng(2)
+    for n in (40, 90, 127, 129, 200, 1100, 3000):
+        s = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        words = jaccard._parities(s)
+        assert len(words) in (4, 8, 16, 32) and (64 * len(words) >= 2 * len(s) or len(words) == 32)
+        bits = np.unpackbits(words.view(np.uint8))
+        half = np.bincount((s >> np.uint64(53)).astype(np.int64) & (len(bits) // 2 - 1), minlength=len(bits) // 2) & 1
+        assert np.array_equal(bits[:len(bits) // 2] ^ bits[len(bits) // 2:], half)
+    a, b = (np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (120, 140))
+    b = np.union1d(a[:110], b[:25])
+    df = spark.createDataFrame([(jaccard._parities(a).tolist(), jaccard._parities(b).tolist())], "a array<long>, b array<long>")
+    low, high = df.select(jaccard._flips(F.col("a"), F.col("b")), jaccard._flips(F.col("b"), F.col("a"))).first()
+    assert low == high and 0 < low <= len(np.setxor1d(a, b)) and (low - len(np.setxor1d(a, b))) % 2 == 0
+    found = lambda: sorted(tuple(r) for r in jaccard.link_components(docs, 5, 8, 10).na.fill(-99).collect())
+    large = found()
+    monkeypatch.setattr(jaccard, "CELL", 2)
+    assert found() == large and len({r[2] for r in large}) < len(large)
