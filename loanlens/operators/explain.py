@@ -225,7 +225,7 @@ def scorecard_counterfactual(df: DataFrame, model, max_changes: int = 4, target:
 
     A lever changes the points of its own feature and of those derived from it, so a candidate costs
     those points and a sum, however many features the model has. Columns and ties as there."""
-    feats, k = [f for f, _ in MUTABLE_FEATURES], model.folds
+    feats = [f for f, _ in MUTABLE_FEATURES]
     touched = {f: [d for d in [f, *S.DERIVED_FEATURES] if d in model.features
                    and (d == f or (d in S.DERIVED_FEATURES and f in rules.derived_inputs(d)))] for f in feats}
     pts = sorted({d for ds in touched.values() for d in ds})
@@ -234,7 +234,7 @@ def scorecard_counterfactual(df: DataFrame, model, max_changes: int = 4, target:
         return SC.probability_to_decision(p, threshold_approve, threshold_decline)
 
     def probability(logits: str) -> Column:
-        return model.calibrated([F.col(logits)[g] for g in range(k)])
+        return model.calibrated_array(F.col(logits))
 
     def met(p):
         return F.coalesce(decision(p) == target, F.lit(False))
@@ -254,13 +254,13 @@ def scorecard_counterfactual(df: DataFrame, model, max_changes: int = 4, target:
         state = model.with_points(state, {f"n{i}_{d}": (d, model.value(d, over(f)))
                                           for i, f in enumerate(feats) for d in touched[f]})
 
-        def moved(i, f, g):
-            change = F.lit(0.0)
-            for j, d in enumerate(touched[f]):
-                step = F.col(f"n{i}_{d}")[g] - F.col(f"pt_{d}")[g]
-                change = step if j == 0 else change + step
-            return F.col("_lg")[g] + change
-        state = state.select("*", *[F.array(*(moved(i, f, g) for g in range(k))).alias(f"l{i}") for i, f in enumerate(feats)])
+        def moved(i, f):
+            change = None
+            for d in touched[f]:
+                step = F.zip_with(f"n{i}_{d}", f"pt_{d}", lambda new, old: new - old)
+                change = step if change is None else F.zip_with(change, step, lambda x, y: x + y)
+            return F.col("_lg") if change is None else F.zip_with("_lg", change, lambda z, x: z + x)
+        state = state.select("*", *[moved(i, f).alias(f"l{i}") for i, f in enumerate(feats)])
         state = state.select("*", *[(F.round((F.col("p_cur") - probability(f"l{i}")) * F.lit(1e12), 0) / F.lit(1e12)).alias(f"d{i}")
                                     for i in range(len(feats))])
         cands = []

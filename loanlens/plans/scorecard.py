@@ -162,9 +162,13 @@ class Scorecard:
 
     def probability(self, get: Callable[[str], Column] = F.col) -> Column:
         """Calibrated probability of default."""
+        return self.calibrated_array(self.logits(get))
+
+    def calibrated_array(self, logits: Column) -> Column:
+        """``calibrated`` of an array column: a few nodes, where many probabilities stand in one projection."""
         a, b = (F.expr(f"array({', '.join(f'{v[i]!r}D' for v in self.sigmoids)})") for i in (0, 1))
         one = F.lit(1.0)
-        each = F.transform(self.logits(get), lambda z, g: one / (one + F.exp(
+        each = F.transform(logits, lambda z, g: one / (one + F.exp(
             F.get(a, g) * (one / (one + F.exp(-z))) + F.get(b, g))))
         return F.aggregate(each, F.lit(0.0), lambda total, q: total + q) / F.lit(float(self.folds))
 
