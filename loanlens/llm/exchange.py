@@ -11,6 +11,7 @@ documents hold is asked once per chunk, so no hash range is hot.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,6 +29,16 @@ _PACKED = "bid long, n int, body binary, extra binary"
 ASK = "p int, bid long, body binary"
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def let_go() -> None:
+    """Give freed memory back: workers outlive a stage, and what they keep adds to the next one's."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def squeeze(data: bytes) -> bytes:
     """zstd, with the plain length in front."""
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
@@ -101,6 +112,7 @@ def _chunk(bid: int, n: int, body: bytes, extra: bytes | None) -> Chunk:
 def _rows(batch):
     for row in zip(*(batch.column(c) for c in ("bid", "n", "body", "extra")), strict=True):
         yield _chunk(*(x.as_py() for x in row))
+        let_go()
 
 
 def ask(blobs: DataFrame, fn: Callable[[Chunk], list[tuple[int, bytes]]]) -> DataFrame:
@@ -118,8 +130,10 @@ def ask(blobs: DataFrame, fn: Callable[[Chunk], list[tuple[int, bytes]]]) -> Dat
 def answer(asks: DataFrame, fn: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
     """Per hash range: the bodies of all chunks -> one answer for each, in the same order."""
     def run(t: pa.Table) -> pa.Table:
-        return pa.table({"p": t["p"], "bid": t["bid"],
-                         "body": pa.array(fn(t["body"].to_pylist()), pa.binary())})
+        out = pa.table({"p": t["p"], "bid": t["bid"],
+                        "body": pa.array(fn(t["body"].to_pylist()), pa.binary())})
+        let_go()
+        return out
     return asks.groupBy("p").applyInArrow(run, ASK)
 
 
@@ -128,7 +142,9 @@ def meet(blobs: DataFrame, answers: DataFrame, fn: Callable[[Chunk, dict[int, by
     """Every chunk with its answers by hash range."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         got = dict(zip(right["p"].to_pylist(), right["body"].to_pylist(), strict=True))
-        return pa.concat_tables([fn(c, got) for b in left.to_batches() for c in _rows(b)])
+        out = pa.concat_tables([fn(c, got) for b in left.to_batches() for c in _rows(b)])
+        let_go()
+        return out
     return blobs.groupBy("bid").cogroup(answers.groupBy("bid")).applyInArrow(run, schema)
 
 
