@@ -72,6 +72,17 @@ def test_streams_on_unordered_files(spark, sf_dir, tmp_path):
     assert ids[0] == ids[1] and ids[0]
 
 
+def test_stream_writes_a_file_per_date(spark, sf_dir):
+    """Each date is written by one task, so files grow with dates, not with dates x tasks."""
+    from pyspark.sql import functions as F
+
+    from loanlens.streaming import streams
+    log = spark.read.parquet(streams.stream_score(spark, sf_dir)).withColumn("file", F.input_file_name())
+    per_date = log.groupBy("date").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"))
+    most = per_date.agg(F.max("files"), F.max("n")).first()
+    assert most[0] == 1 and most[1] > 1
+
+
 def test_replayed_drift_batch_changes_nothing(spark, sf_dir, tmp_path):
     from loanlens.sources import fixtures as FX
     from loanlens.streaming import streams
