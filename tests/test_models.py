@@ -78,3 +78,25 @@ def test_latest_models(spark):
                                 "role string, version string, created_at int, is_latest boolean")
     got = {r.role: r.version for r in M.latest_models(reg).collect()}
     assert got == {"champion": "latest", "challenger": "c1"}
+
+
+def test_booster_input_is_held_in_few_partitions(spark, sf_dir, monkeypatch):
+    apps = FX.applications(spark, sf_dir).withColumn("dflt", F.col("dflt").cast("double"))
+    cores = spark.sparkContext.defaultParallelism
+    seen = []
+    fit = M.GBTClassifier.fit
+
+    def spied(self, dataset, *more):
+        seen.append((dataset.rdd.getNumPartitions(), dataset.count(), sorted(dataset.columns)))
+        return fit(self, dataset, *more)
+    monkeypatch.setattr(M.GBTClassifier, "fit", spied)
+    params = {"n_estimators": 3}
+    M.fit_plain(apps.repartition(5 * cores), "dflt", kind="champion", params=params, class_weight_ratio=3.0)
+    assert seen == [(cores, apps.count(), sorted(["features0", "dflt", M.WEIGHT_COL]))]
+    # the same trees as from one pipeline, where the partitions are few anyway
+    few = M.with_class_weight(M.DerivedFeatureAdder().transform(apps.coalesce(1)), "dflt", 1.0)
+    stages, vec = M.feature_stages(M.MODEL_FEATURES, "dflt", "0")
+    whole = M.Pipeline(stages=stages + [M.classifier("champion", "0", vec, "dflt", params)]).fit(few)
+    got = M.fit_plain(apps.coalesce(1), "dflt", kind="champion", params=params).folds[0]
+    assert got.stages[-1].toDebugString.split("\n", 1)[1] == whole.stages[-1].toDebugString.split("\n", 1)[1]
+    assert len(got.stages) == len(whole.stages)
