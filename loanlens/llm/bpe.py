@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
+from .exchange import let_go
 
 #: Distinct pre-tokens a task remembers before it starts afresh.
 REMEMBER = 200_000
@@ -128,24 +130,38 @@ def replay(words: list[bytes], ranks: Ranks) -> list[bytes]:
     return [ids[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
 
 
+class _Numbers(dict):
+    """Numbers the words it is asked for, from 0 in order of their first appearance."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Encoder:
-    """Pre-tokenises documents and keeps the ids of the distinct pre-tokens met so far."""
+    """Pre-tokenises documents and keeps the ids of the distinct pre-tokens met so far.
+
+    A document's pre-tokens are held as numbers, so of a run only its distinct ones stay as strings.
+    """
 
     def __init__(self, path: str, pattern: str):
         # white space as Unicode defines it, which leaves out U+001C to U+001F
         self.find = regex.compile(pattern, regex.V0).findall
         self.ranks = Ranks(path)
-        self.known: dict[str, bytes] = {}
+        self.known, self.coded = _Numbers(), []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         if len(self.known) > REMEMBER:
-            self.known = {}
-        found = [self.find(t) for t in texts]
-        new = list({w for ws in found for w in ws if w not in self.known})
-        self.known.update(zip(new, replay([w.encode() for w in new], self.ranks), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in found]
+            self.known, self.coded = _Numbers(), []
+        found = [self._numbers(t) for t in texts]
+        self.coded += replay([w.encode() for w in islice(self.known, len(self.coded), None)], self.ranks)
+        get = self.coded.__getitem__
+        return [b"".join(map(get, f.tolist())) for f in found]
+
+    def _numbers(self, text: str) -> np.ndarray:
+        words = self.find(text)
+        return np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.ranks.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -178,7 +194,11 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: bool = True) -> DataFr
                     columns.append(pa.array([np.frombuffer(c, "<u4").astype(np.int32) for c in coded],
                                             pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+                del coded, columns
+                let_go()
                 at = to
+        del coder
+        let_go()
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids"] if ids else [])]
     kind = dict(docs.dtypes)["doc_id"]

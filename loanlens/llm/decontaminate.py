@@ -307,6 +307,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 13, coverage: floa
                 columns = got.columns()
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *own)), *columns.values()],
                                                  names=["doc_id", *own, *columns])
+                del got, columns
+                X.let_go()
         return named(docs.select("doc_id", *own, "_text").mapInArrow(run, schema))
 
     packed = docs.select("doc_id", *own, "_text", F.lit(0).alias("_id"), F.col("_text").isNull().alias("_missing"))

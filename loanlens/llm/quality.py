@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from . import textkit as T
 from .common import carried, ship
+from .exchange import let_go
 
 #: Documents the field is fitted on, at most.
 SAMPLE = 4000
@@ -255,6 +256,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample:
                     [*(batch.column(c).slice(at, n) for c in ("doc_id", *own)), pa.array(score)],
                     names=["doc_id", *own, "_score"])
                 at += n
+            let_go()
 
     types = dict(docs.dtypes)
     schema = ", ".join([f"doc_id {types['doc_id']}", *(f"{o} {types[c]}" for o, c in zip(own, kept, strict=True)),

@@ -256,7 +256,8 @@ def _outcome(parts: int, keep_text: bool, keep: tuple[str, ...]):
             again = (np.repeat(runs.first[more], count) + step)[again]
             np.add.at(edge, again, 1)
             np.add.at(edge, again + WIDTH, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge[:-1], out=edge[:-1]) > 0
+        del edge
         out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
         texts = []
         for i in range(len(chunk.ids)):
