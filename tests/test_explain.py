@@ -98,3 +98,48 @@ def test_tree_attribution_additive(spark, sf_dir):
     assert rows
     assert all(r.s + r.b == pytest.approx(r.m, abs=1e-9) for r in rows)
     assert all(r.m == pytest.approx(r.r, abs=1e-9) for r in rows)
+
+
+def test_tree_attribution_ranks_in_batches(spark):
+    # against a plain walk: a leaf above the last level, a feature twice on a path, unused ones (equal
+    # impacts rank by name), NaN values, a NULL id, an id that comes twice, and more rows than a step
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+
+    def row(i):
+        x = [float(i % 7), float(i % 5), 1.0, float(i * 37 % 101)]
+        if i % 50 == 3:
+            x[i % 4] = float("nan")
+        return (None if i == 5 else f"A{i % 3000}", Vectors.dense(x), float(x[0] > 2 and x[3] < 40 or i % 11 == 0))
+    rows = [row(i) for i in range(5000)]
+    df = spark.createDataFrame(rows, ["application_id", "v", "y"]).coalesce(1)
+    model = GBTClassifier(featuresCol="v", labelCol="y", maxIter=4, maxDepth=5, minInstancesPerNode=20, seed=1).fit(
+        spark.createDataFrame([r for r in rows if not any(v != v for v in r[1])], df.schema).coalesce(1))
+    names = ["d", "b", "c", "a"]
+    t = XP.tree_tables(model, spark)
+
+    def walk(x):
+        impacts, margin, base = [0.0] * 4, 0.0, 0.0
+        for pred, left, right, feat, thr, w in zip(*(t[c] for c in ("pred", "left", "right", "feat", "thr", "weights"))):
+            node, base = 0, base + w * pred[0]
+            while left[node] >= 0:
+                to = left[node] if x[feat[node]] <= thr[node] else right[node]
+                impacts[feat[node]] += w * (pred[to] - pred[node])
+                node = to
+            margin += w * pred[node]
+        return sorted(zip([-abs(v) for v in impacts], names, impacts))[:3], base, margin
+
+    att = XP.tree_attribution(df, model, "v", names, top_n=3)
+    plan = att._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "sort_array" not in plan  # ranked where it is attributed
+    got = sorted(((r.application_id or "", r.rank, r.feature, r.impact, r.base_value, r.margin) for r in att.collect()),
+                 key=lambda r: (r[0], r[5], r[1]))
+    want = []
+    for app, x, _ in rows:
+        top, base, margin = walk(x)
+        want += [(app or "", i, f, v, base, margin) for i, (_, f, v) in enumerate(top, 1)]
+    want.sort(key=lambda r: (r[0], r[5], r[1]))
+    assert len(got) == len(want) == 3 * 5000 and {r[2] for r in got} > {"d", "a"}
+    assert sorted((r[0], r[1], r[2]) for r in got) == sorted((r[0], r[1], r[2]) for r in want)
+    assert [v for r in got for v in r[3:]] == pytest.approx([v for r in want for v in r[3:]], abs=1e-12)
+    assert all(r.direction == ("increases_risk" if r.impact > 0 else "decreases_risk") for r in att.collect())
