@@ -100,3 +100,30 @@ def test_booster_input_is_held_in_few_partitions(spark, sf_dir, monkeypatch):
     got = M.fit_plain(apps.coalesce(1), "dflt", kind="champion", params=params).folds[0]
     assert got.stages[-1].toDebugString.split("\n", 1)[1] == whole.stages[-1].toDebugString.split("\n", 1)[1]
     assert len(got.stages) == len(whole.stages)
+
+
+def test_folds_share_one_look_up(spark, apps):
+    from loanlens import catalog
+    # a column without values, NULLs, a category that comes in no fold and one (in the column's place) that is NULL
+    rows = M.DerivedFeatureAdder().transform(apps)
+    train = rows.withColumn("revolving_balance", F.lit(None).cast("double"))
+    m = M.fit_calibrated(train.drop(*M.S.DERIVED_FEATURES), "dflt", kind="logistic", method="sigmoid", cv=3, parallelism=3)
+    odd = F.expr("hash(application_id) % 5 = 0")
+    score = (train.withColumn("age", F.when(odd, None).otherwise(F.col("age")))
+             .withColumn("debt_to_income", F.when(odd, float("nan")).otherwise(F.col("debt_to_income")))
+             .withColumn("grade", F.when(odd, "unseen").otherwise(F.col("grade")))
+             .withColumn("loan_purpose", F.when(odd, None).otherwise(F.col("loan_purpose"))))
+    chain = score
+    for i, pm in enumerate(m.folds):
+        chain = pm.transform(chain).withColumn(f"p{i}", M.vector_to_array(F.col(f"prob{i}"))[1])
+    got = m.transform(score, keep_raw=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # one Python worker a task, not one a fold
+    assert got.columns == [*score.columns, M.PROB_COL, "p_raw0", "p_raw1", "p_raw2"]
+    a = sorted(tuple(r) for r in chain.select("application_id", "p0", "p1", "p2").collect())
+    b = sorted(tuple(r) for r in got.select("application_id", *m.raw_columns()).collect())
+    assert a == b and len({r[1] for r in a}) > 100
+    # the rows are scored once for all metrics
+    report = catalog._test_report(m, score.drop(*M.S.DERIVED_FEATURES))
+    assert "ArrowEvalPython" not in report._jdf.queryExecution().executedPlan().toString()
+    assert report.first()["n_samples"] == apps.count()
